@@ -1,0 +1,47 @@
+"""From raw files to the cleaned fact, the KPI tables and, if wanted, the mart database."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from salesmill.plans.clean import clean
+from salesmill.plans.kpi import null_dates_from_one_pass, one_pass, tables_from_one_pass
+from salesmill.sources.sales_csv import read_sales_csv
+from salesmill.sources.sinks import (
+    publish_tables,
+    write_parquet,
+    write_tables_csv,
+    write_tables_parquet,
+)
+
+
+def run(
+    spark: SparkSession,
+    input_path: str,
+    out_dir: str,
+    infer: bool = False,
+    partition_by: str | None = None,
+    csv: bool = False,
+    database: str | None = None,
+) -> dict[str, DataFrame]:
+    """Write everything under ``out_dir`` and return the tables, read from there.
+
+    The text files are parsed once. The cleaned fact is written and read back as Parquet
+    instead of cached: it survives lost executors, and later scans read only the columns
+    they need. All KPI tables come from one scan of it; the rest works on group rows.
+    """
+    write_parquet(
+        clean(read_sales_csv(spark, input_path, infer)),
+        f"{out_dir}/cleaned_parquet",
+        partition_by,
+    )
+    fact = spark.read.parquet(f"{out_dir}/cleaned_parquet")
+    write_parquet(one_pass(fact), f"{out_dir}/kpi_parts_parquet")
+    parts = spark.read.parquet(f"{out_dir}/kpi_parts_parquet")
+    tables = tables_from_one_pass(parts)
+    write_tables_parquet(tables, out_dir)
+    if csv:
+        write_tables_csv(tables, out_dir)
+    if database:
+        publish_tables(tables, database)
+    return {"cleaned": fact, "null_dates": null_dates_from_one_pass(parts), **tables}
