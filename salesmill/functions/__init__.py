@@ -1,17 +1,19 @@
 from salesmill.functions.columns import (
+    exact_sum,
+    from_units,
     margin_pct,
-    mean_of_hundredths,
     parse_sales_date,
     percent_of,
     plain_number,
-    to_hundredths,
+    to_units,
 )
 
 __all__ = [
+    "exact_sum",
+    "from_units",
     "margin_pct",
-    "mean_of_hundredths",
     "parse_sales_date",
     "percent_of",
     "plain_number",
-    "to_hundredths",
+    "to_units",
 ]

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from salesmill.schema import DATE_FORMAT
 
+_LOW_BITS = 20
+
 
 def parse_sales_date(text: Column) -> Column:
     """Date of an ``M/d/yyyy`` text; null, not an error, where it is no date."""
@@ -24,19 +26,30 @@ def margin_pct(profit: Column, revenue: Column) -> Column:
     return percent_of(profit, revenue)
 
 
-def to_hundredths(two_digit: Column) -> Column:
-    """A two-digit double as a whole number of hundredths.
+def to_units(value: Column, digits: int) -> Column:
+    """A number with at most ``digits`` decimals as a whole number of its last digit.
+
+    The double nearest to such a number, scaled, lies well within half a unit of the whole
+    number meant (for money, up to 11 places before the point), so ``rint`` finds it.
+    """
+    return F.rint(value.cast("double") * 10**digits).cast("bigint")
+
+
+def exact_sum(units: Column) -> Column:
+    """Sum of whole numbers: the same in any order, and past the range of a bigint.
 
-    Whole numbers add up the same in any order, so a mean built on their sum does not
-    depend on how the rows are partitioned. ``rint`` is exact here and much cheaper than
-    casting the double to a scaled decimal, which goes through its text.
+    High and low bits are summed as two bigints and put together once per group. That runs
+    in generated code at nearly the speed of a double sum, where summing wide decimals
+    allocates objects per row. There is room for 2^43 rows and a sum of 2^83 units.
     """
-    return F.rint(two_digit * 100).cast("bigint").cast("decimal(20,0)")
+    high = F.sum(F.shiftright(units, _LOW_BITS)).cast("decimal(20,0)")
+    low = F.sum(units.bitwiseAND(2**_LOW_BITS - 1)).cast("decimal(20,0)")
+    return high * F.lit(Decimal(2**_LOW_BITS)) + low
 
 
-def mean_of_hundredths(total: Column, n: Column) -> Column:
-    """Mean of two-digit values from the sum of their hundredths; null where n is 0."""
-    return F.try_divide((total * F.lit(Decimal("0.01"))).cast("double"), n)
+def from_units(total: Column, digits: int) -> Column:
+    """A sum of units as a double, rounded once."""
+    return (total * F.lit(Decimal(1).scaleb(-digits))).cast("double")
 
 
 def plain_number(value: Column) -> Column:

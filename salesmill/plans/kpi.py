@@ -1,8 +1,8 @@
 """The KPI tables of the cleaned fact.
 
-Every measure is built from parts that add up exactly (counts, decimal sums, sums of
-hundredths), so a table can be aggregated from the fact directly (``kpi_table``) or taken
-out of one shared scan (``one_pass``), with the same result bit for bit.
+Every measure is built from parts that add up exactly (counts and sums of whole numbers),
+so a table can be aggregated from the fact directly (``kpi_table``) or taken out of one
+shared scan (``one_pass``), with the same result bit for bit.
 """
 
 from __future__ import annotations
@@ -13,8 +13,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesmill.functions import mean_of_hundredths, to_hundredths
+from salesmill.functions import exact_sum, from_units, to_units
 from salesmill.operators.ranking import by_measure
+from salesmill.schema import MONEY
 
 
 @dataclass(frozen=True)
@@ -96,28 +97,38 @@ _PART_INPUT = {
     "null_order_dates": "order_date",
     "null_ship_dates": "ship_date",
 }
+# Parts summed in units of the last decimal -> the number of decimals.
+_PART_DIGITS = {"revenue": MONEY.scale, "profit": MONEY.scale, "margin_total": 2}
+
+
+def _part_value(name: str) -> Column:
+    """What a part aggregates, computed once per row."""
+    if name == "n":
+        return F.lit(1).alias(name)
+    value = F.col(_PART_INPUT[name])
+    if name in _PART_DIGITS:
+        value = to_units(value, _PART_DIGITS[name])
+    elif name.startswith("null_"):
+        value = value.isNull()
+    return value.alias(name)
 
 
 def _part(name: str) -> Column:
-    source = _PART_INPUT[name]
-    if name in ("n", "margin_n"):
-        part = F.count(source or "*")
+    if name in _PART_DIGITS:
+        part = exact_sum(F.col(name))
     elif name.startswith("null_"):
-        part = F.count_if(F.col(source).isNull())
-    elif name == "margin_total":
-        part = F.sum(to_hundredths(F.col(source)))
+        part = F.count_if(F.col(name))
     else:
-        part = F.sum(source)
+        part = F.sum(name) if name == "units" else F.count(name)
     return part.alias(name)
 
 
 def _measure(name: str) -> Column:
     if name == "margin":
-        return mean_of_hundredths(F.col("margin_total"), F.col("margin_n"))
+        total = from_units(F.col("margin_total"), _PART_DIGITS["margin_total"])
+        return F.try_divide(total, F.col("margin_n"))
     (part,) = _MEASURE_PARTS[name]
-    column = F.col(part)
-    # Money is summed as decimal and becomes a double once, after the last addition.
-    return column.cast("double") if name in ("revenue", "profit") else column
+    return from_units(F.col(part), _PART_DIGITS[part]) if part in _PART_DIGITS else F.col(part)
 
 
 def _group_column(key: str) -> Column:
@@ -194,11 +205,12 @@ def kpi_table(
     key whatever the size or skew of the groups. ``columns`` narrows the output (and so
     the scan); ``ordered=False`` leaves out the sort where the caller ranks by itself.
     """
-    parts = [_part(p) for p in _parts_of(kpi, _needed(kpi, columns, ordered))]
-    if kpi.key is None:
-        grouped = fact.agg(*parts)
-    else:
-        grouped = fact.groupBy(_group_column(kpi.key).alias(f"group_{kpi.key}")).agg(*parts)
+    parts = _parts_of(kpi, _needed(kpi, columns, ordered))
+    keys = [kpi.key] if kpi.key else []
+    rows = fact.select(
+        *[_group_column(key).alias(f"group_{key}") for key in keys], *map(_part_value, parts)
+    )
+    grouped = rows.groupBy(*[f"group_{key}" for key in keys]).agg(*map(_part, parts))
     return _finish(grouped, kpi, columns, ordered)
 
 
@@ -211,18 +223,16 @@ def one_pass(fact: DataFrame) -> DataFrame:
     """
     keys = [kpi.key for kpi in KPIS.values() if kpi.key]
     groups = [f"group_{key}" for key in keys]
-    inputs = list(dict.fromkeys(c for c in _PART_INPUT.values() if c))
-    keyed = fact.select(
-        *[_group_column(key).alias(group) for key, group in zip(keys, groups)], *inputs
+    rows = fact.select(
+        *[_group_column(key).alias(group) for key, group in zip(keys, groups)],
+        *map(_part_value, _PART_INPUT),
     )
     grain = F.lit(SUMMARY.name)
     for kpi in KPIS.values():
         if kpi.key:
             grain = F.when(F.grouping(f"group_{kpi.key}") == 0, kpi.name).otherwise(grain)
     sets = [[]] + [[F.col(group)] for group in groups]
-    return keyed.groupingSets(sets, *groups).agg(
-        grain.alias("grain"), *[_part(name) for name in _PART_INPUT]
-    )
+    return rows.groupingSets(sets, *groups).agg(grain.alias("grain"), *map(_part, _PART_INPUT))
 
 
 def tables_from_one_pass(parts: DataFrame, ordered: bool = True) -> dict[str, DataFrame]:

@@ -30,12 +30,10 @@ def run(
     instead of cached: it survives lost executors, and later scans read only the columns
     they need. All KPI tables come from one scan of it; the rest works on group rows.
     """
-    write_parquet(
-        clean(read_sales_csv(spark, input_path, infer)),
-        f"{out_dir}/cleaned_parquet",
-        partition_by,
-    )
-    fact = spark.read.parquet(f"{out_dir}/cleaned_parquet")
+    cleaned = clean(read_sales_csv(spark, input_path, infer))
+    write_parquet(cleaned, f"{out_dir}/cleaned_parquet", partition_by)
+    # The schema is stated because partition values are otherwise typed by their text.
+    fact = spark.read.schema(cleaned.schema).parquet(f"{out_dir}/cleaned_parquet")
     write_parquet(one_pass(fact), f"{out_dir}/kpi_parts_parquet")
     parts = spark.read.parquet(f"{out_dir}/kpi_parts_parquet")
     tables = tables_from_one_pass(parts)

@@ -10,12 +10,19 @@ from pyspark.sql import functions as F
 from salesmill.plans.clean import add_profit_margin, add_time_features
 from salesmill.schema import CLEANED_SCHEMA, DATE_COLUMNS, DATE_FORMAT, RENAME
 
-# Fact column -> expression over the star schema, and the lookup tables it needs.
+# Prices have two decimals: products of whole cents and percents are exact, and far cheaper
+# than decimals made from doubles, which go through text.
 _REVENUE = (
-    "cast(cast(l_extendedprice as decimal(12,2))"
-    " * (cast(1 as decimal(3,2)) - cast(l_discount as decimal(3,2))) as decimal(14,4))"
+    "cast(rint(l_extendedprice * 100) as bigint) * (100 - cast(rint(l_discount * 100) as bigint))"
 )
-_COST = "cast(cast(p_retailprice as decimal(10,2)) * cast(l_quantity as int) as decimal(14,4))"
+_COST = "cast(rint(p_retailprice * 100) as bigint) * cast(l_quantity as bigint) * 100"
+
+
+def _money(units: str) -> str:
+    return f"cast(cast({units} as decimal(14,0)) * 0.0001BD as decimal(14,4))"
+
+
+# Fact column -> expression over the star schema, and the lookup tables it needs.
 _COLUMNS: dict[str, tuple[str, tuple[str, ...]]] = {
     "region": ("r_name", ("orders", "customer", "nation", "region")),
     "country": ("n_name", ("orders", "customer", "nation")),
@@ -28,9 +35,9 @@ _COLUMNS: dict[str, tuple[str, tuple[str, ...]]] = {
     "units_sold": ("cast(l_quantity as int)", ()),
     "unit_price": ("cast(l_extendedprice as decimal(14,4))", ()),
     "unit_cost": ("cast(p_retailprice as decimal(14,4))", ("part",)),
-    "total_revenue": (_REVENUE, ()),
-    "total_cost": (_COST, ("part",)),
-    "total_profit": (f"cast({_REVENUE} - {_COST} as decimal(14,4))", ("part",)),
+    "total_revenue": (_money(_REVENUE), ()),
+    "total_cost": (_money(_COST), ("part",)),
+    "total_profit": (_money(f"{_REVENUE} - {_COST}"), ("part",)),
 }
 _FEATURES = {
     "order_year": ("order_date",),
