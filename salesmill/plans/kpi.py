@@ -235,10 +235,27 @@ def one_pass(fact: DataFrame) -> DataFrame:
     return rows.groupingSets(sets, *groups).agg(grain.alias("grain"), *map(_part, _PART_INPUT))
 
 
+def _total_parts(parts: DataFrame) -> DataFrame:
+    """The grand total, which Spark leaves out of grouping sets over no rows at all."""
+    row = parts.filter(F.col("grain") == SUMMARY.name)
+    counts = [name for name in _PART_INPUT if name in ("n", "margin_n") or name.startswith("null_")]
+    return row.agg(
+        *[
+            (F.coalesce(F.max(name), F.lit(0)) if name in counts else F.max(name)).alias(name)
+            for name in _PART_INPUT
+        ]
+    )
+
+
 def tables_from_one_pass(parts: DataFrame, ordered: bool = True) -> dict[str, DataFrame]:
     """Every KPI table out of the rows written from ``one_pass``."""
     return {
-        name: _finish(parts.filter(F.col("grain") == name), kpi, None, ordered)
+        name: _finish(
+            parts.filter(F.col("grain") == name) if kpi.key else _total_parts(parts),
+            kpi,
+            None,
+            ordered,
+        )
         for name, kpi in KPIS.items()
     }
 
@@ -256,6 +273,4 @@ def one_pass_report(parts: DataFrame) -> DataFrame:
 
 
 def null_dates_from_one_pass(parts: DataFrame) -> DataFrame:
-    return parts.filter(F.col("grain") == SUMMARY.name).select(
-        "null_order_dates", "null_ship_dates"
-    )
+    return _total_parts(parts).select("null_order_dates", "null_ship_dates")

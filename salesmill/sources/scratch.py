@@ -11,7 +11,13 @@ from pyspark.sql import SparkSession
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new folder name under the cluster's shared ``spark.checkpoint.dir``.
 
-    Only where the session names none, as in local tests, is it a temporary folder.
+    A local session that names none, as in tests, gets a temporary folder. On a cluster a
+    machine's own folder would be out of reach for the other machines, so the setting is
+    required there.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="salesmill-")
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
+        base = tempfile.mkdtemp(prefix="salesmill-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

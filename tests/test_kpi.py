@@ -1,0 +1,167 @@
+from collections import defaultdict
+from decimal import ROUND_HALF_UP, Decimal
+
+import pytest
+
+from helpers import collect, make_fact
+from salesmill.plans.kpi import (
+    CHANNELS,
+    COUNTRIES,
+    ITEMS,
+    KPIS,
+    MONTHLY,
+    PRIORITIES,
+    SUMMARY,
+    fact_columns,
+    kpi_table,
+    null_dates_from_one_pass,
+    one_pass,
+    tables_from_one_pass,
+)
+from salesmill.sources.star import sales_fact
+
+ROWS = [
+    ("A", "x", "Online", "M", "2010-01-05", "2010-01-06", 3, "10.10", "5.05"),
+    ("A", "y", "Online", "L", "2010-01-31", None, 2, "0.00", "-0.50"),
+    ("B", "x", "Offline", "M", "2010-02-01", "2010-02-02", 7, "30.00", "-10.00"),
+    (None, "y", "Offline", None, None, "2010-02-02", None, "7.7777", "7.7777"),
+    ("B", "z", "Online", "H", "2010-02-28", None, 1, None, None),
+]
+
+
+def _brute(rows, key):
+    """Every measure by key, in Python decimals."""
+    groups = defaultdict(list)
+    for row in rows:
+        groups[key(row)].append(row)
+    out = {}
+    for k, members in groups.items():
+        units = [r[6] for r in members if r[6] is not None]
+        revenue = [Decimal(r[7]) for r in members if r[7] is not None]
+        profit = [Decimal(r[8]) for r in members if r[8] is not None]
+        margins = [
+            (Decimal(r[8]) / Decimal(r[7]) * 100).quantize(Decimal("0.01"), ROUND_HALF_UP)
+            for r in members
+            if r[7] is not None and Decimal(r[7]) != 0
+        ]
+        out[k] = {
+            "orders": len(members),
+            "units": sum(units) if units else None,
+            "revenue": float(sum(revenue)) if revenue else None,
+            "profit": float(sum(profit)) if profit else None,
+            "margin": float(sum(margins)) / len(margins) if margins else None,
+        }
+    return out
+
+
+KEYS = {
+    "summary": lambda r: None,
+    "monthly_kpi": lambda r: r[4] and r[4][:7],
+    "top_countries": lambda r: r[0],
+    "channel_kpi": lambda r: r[2],
+    "item_kpi": lambda r: r[1],
+    "priority_kpi": lambda r: r[3],
+}
+
+
+@pytest.mark.parametrize("name", KPIS)
+def test_against_brute_force(spark, name):
+    kpi = KPIS[name]
+    found = {
+        row.asDict().get(kpi.key): {m: row[c] for c, m in kpi.measures.items()}
+        for row in kpi_table(make_fact(spark, ROWS), kpi).collect()
+    }
+    expected = {
+        k: {m: v[m] for m in kpi.measures.values()} for k, v in _brute(ROWS, KEYS[name]).items()
+    }
+    assert found == expected
+
+
+def test_columns_are_in_the_published_order(spark):
+    fact = make_fact(spark, ROWS)
+    for kpi in KPIS.values():
+        keys = [kpi.key] if kpi.key else []
+        assert kpi_table(fact, kpi).columns == keys + list(kpi.measures)
+
+
+def test_row_order(spark):
+    fact = make_fact(spark, ROWS)
+    assert [r[0] for r in collect(kpi_table(fact, MONTHLY))] == [None, "2010-01", "2010-02"]
+    assert [r[0] for r in collect(kpi_table(fact, CHANNELS))] == ["Offline", "Online"]
+    # A null revenue ranks last.
+    assert [r[0] for r in collect(kpi_table(fact, PRIORITIES))] == ["M", None, "L", "H"]
+
+
+def test_tie_at_the_tenth_rank(spark):
+    rows = [(f"C{i:02}", f"I{i:02}", "Online", "M", "2010-01-01", None, 1, "5", "1") for i in range(12)]
+    rows[11] = ("C11", "I11", "Online", "M", "2010-01-01", None, 1, "6", "1")
+    fact = make_fact(spark, rows)
+    assert [r[0] for r in collect(kpi_table(fact, COUNTRIES))] == ["C11"] + [
+        f"C{i:02}" for i in range(9)
+    ]
+    assert [r[0] for r in collect(kpi_table(fact, ITEMS))] == ["I11"] + [
+        f"I{i:02}" for i in range(9)
+    ]
+
+
+def test_zero_revenue_counts_but_has_no_margin(spark):
+    fact = make_fact(spark, ROWS)
+    (row,) = kpi_table(fact, SUMMARY).collect()
+    assert row["rows"] == 5
+    assert row["avg_profit_margin_pct"] == (50.0 - 33.33 + 100.0) / 3
+
+
+def test_narrowed_columns(spark, sf_dir):
+    full = kpi_table(sales_fact(spark, sf_dir), ITEMS, ordered=False)
+    narrow = kpi_table(
+        sales_fact(spark, sf_dir, fact_columns(ITEMS, ["profit"])), ITEMS, ["profit"]
+    )
+    assert narrow.columns == ["item_type", "profit"]
+    assert sorted(collect(narrow)) == sorted(collect(full.select("item_type", "profit")))
+    assert fact_columns(CHANNELS, ["revenue"], ordered=False) == ["sales_channel", "total_revenue"]
+
+
+@pytest.mark.parametrize("make", [lambda s, d: make_fact(s, ROWS), sales_fact])
+def test_one_pass_gives_the_same_tables(spark, sf_dir, make):
+    fact = make(spark, sf_dir)
+    parts = one_pass(fact)
+    for name, table in tables_from_one_pass(parts).items():
+        direct = kpi_table(fact, KPIS[name])
+        assert table.schema == direct.schema
+        assert collect(table) == collect(direct)
+
+
+def test_one_pass_null_dates(spark):
+    assert collect(null_dates_from_one_pass(one_pass(make_fact(spark, ROWS)))) == [(1, 2)]
+
+
+def test_one_pass_of_nothing(spark):
+    parts = one_pass(make_fact(spark, []))
+    tables = tables_from_one_pass(parts)
+    assert collect(tables["summary"]) == [(0, None, None, None)]
+    assert collect(null_dates_from_one_pass(parts)) == [(0, 0)]
+    assert all(collect(t) == [] for name, t in tables.items() if name != "summary")
+
+
+def test_totals_agree_across_tables(spark, sf_dir):
+    fact = sales_fact(spark, sf_dir)
+    (total,) = kpi_table(fact, SUMMARY).collect()
+    channels = kpi_table(fact, CHANNELS).collect()
+    priorities = kpi_table(fact, PRIORITIES).collect()
+    months = kpi_table(fact, MONTHLY).collect()
+    assert sum(r.orders for r in channels) == total["rows"]
+    assert sum(r.orders for r in priorities) == total["rows"]
+    for tables, column in ((channels, "revenue"), (priorities, "revenue")):
+        assert sum(r[column] for r in tables) == pytest.approx(total.total_revenue, rel=1e-12)
+    assert sum(r.monthly_revenue for r in months) == pytest.approx(total.total_revenue, rel=1e-12)
+    assert sum(r.monthly_profit for r in months) == pytest.approx(total.total_profit, rel=1e-12)
+    weighted = sum(r.orders * r.avg_profit_margin_pct for r in channels) / total["rows"]
+    assert weighted == pytest.approx(total.avg_profit_margin_pct, rel=1e-12)
+    # The mean of the row margins is not the ratio of the sums.
+    assert abs(total.avg_profit_margin_pct - total.total_profit / total.total_revenue * 100) > 1
+
+
+def test_months_are_unique(spark, sf_dir):
+    months = [r[0] for r in collect(kpi_table(sales_fact(spark, sf_dir), MONTHLY))]
+    assert len(months) == len(set(months)) and None not in months
+    assert months == sorted(months)
