@@ -181,6 +181,12 @@ def fact_columns(
     return list(dict.fromkeys(i for i in inputs if i))
 
 
+def one_pass_columns() -> list[str]:
+    """The fact columns that ``one_pass`` reads."""
+    columns = [c for kpi in KPIS.values() for c in fact_columns(kpi)]
+    return list(dict.fromkeys([*columns, *filter(None, _PART_INPUT.values())]))
+
+
 def _finish(
     grouped: DataFrame, kpi: Kpi, columns: Sequence[str] | None, ordered: bool
 ) -> DataFrame:
