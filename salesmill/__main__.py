@@ -6,7 +6,7 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from salesmill.operators import column_list, null_counts, sample, shape
+from salesmill.operators import column_profile, sample, top_nulls
 from salesmill.plans.kpi import KPIS, MONTHLY
 from salesmill.plans.pipeline import run
 from salesmill.sources.sales_csv import read_sales_csv
@@ -26,8 +26,11 @@ def main() -> None:
     spark = SparkSession.builder.appName("salesmill").getOrCreate()
     if args.profile:
         raw = read_sales_csv(spark, args.input, args.infer)
-        for result in (shape(raw), column_list(raw), sample(raw), null_counts(raw)):
-            result.show(len(raw.columns), truncate=False)
+        # One row per column; kept so that the text files are read once for both views of it.
+        columns = column_profile(raw).cache()
+        columns.orderBy("position").show(len(raw.columns), truncate=False)
+        sample(raw).show(truncate=False)
+        top_nulls(columns).show(truncate=False)
         return
     results = run(
         spark, args.input, args.output, args.infer, args.partition_by, args.csv, args.database

@@ -38,9 +38,9 @@ def to_units(value: Column, digits: int) -> Column:
 def exact_sum(units: Column) -> Column:
     """Sum of whole numbers: the same in any order, and past the range of a bigint.
 
-    High and low bits are summed as two bigints and put together once per group. That runs
-    in generated code at nearly the speed of a double sum, where summing wide decimals
-    allocates objects per row. There is room for 2^43 rows and a sum of 2^83 units.
+    High and low bits are summed as two bigints and put together once per group. That stays
+    in primitive arithmetic, where summing wide decimals allocates objects per row. There is
+    room for 2^43 rows and a sum of 2^83 units.
     """
     high = F.sum(F.shiftright(units, _LOW_BITS)).cast("decimal(20,0)")
     low = F.sum(units.bitwiseAND(2**_LOW_BITS - 1)).cast("decimal(20,0)")

@@ -1,11 +1,20 @@
 from salesmill.operators.growth import first_last_growth
-from salesmill.operators.profile import column_list, null_counts, null_dates, sample, shape
+from salesmill.operators.profile import (
+    column_list,
+    column_profile,
+    null_counts,
+    null_dates,
+    sample,
+    shape,
+    top_nulls,
+)
 from salesmill.operators.ranking import by_measure, top_k
 from salesmill.operators.share import share_of_total
 
 __all__ = [
     "by_measure",
     "column_list",
+    "column_profile",
     "first_last_growth",
     "null_counts",
     "null_dates",
@@ -13,4 +22,5 @@ __all__ = [
     "shape",
     "share_of_total",
     "top_k",
+    "top_nulls",
 ]

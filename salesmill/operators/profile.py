@@ -16,32 +16,45 @@ def shape(df: DataFrame) -> DataFrame:
     )
 
 
-def column_list(df: DataFrame) -> DataFrame:
-    """One row per column in schema order, with the column's null count."""
-    position = F.create_map(
-        *[F.lit(part) for i, name in enumerate(df.columns, 1) for part in (name, i)]
+def column_profile(df: DataFrame) -> DataFrame:
+    """One row per column: position, name, nulls, and the number of rows, from one scan."""
+    # count(*) - count(c) rather than a conditional count: a Parquet reader that pushes
+    # aggregates down can answer it from the file footers.
+    one_row = df.agg(
+        F.count("*").alias("row_count"),
+        *[(F.count("*") - F.count(_quoted(c))).alias(f"{i}") for i, c in enumerate(df.columns, 1)],
+    )
+    nulls = one_row.unpivot(
+        ["row_count"], [f"{i}" for i in range(1, len(df.columns) + 1)], "position", "nulls"
     )
-    return _nulls_by_column(df).select(
-        position[F.col("column_name")].alias("position"), "column_name", "nulls"
+    position = F.col("position").cast("int")
+    names = F.array(*[F.lit(c) for c in df.columns])
+    return nulls.select(
+        position.alias("position"),
+        F.element_at(names, position).alias("column_name"),
+        "nulls",
+        "row_count",
     )
 
 
+def column_list(df: DataFrame) -> DataFrame:
+    """One row per column in schema order, with the column's null count."""
+    return column_profile(df).select("position", "column_name", "nulls")
+
+
 def null_counts(df: DataFrame, k: int = 10) -> DataFrame:
     """The k columns with the most nulls."""
+    return top_nulls(column_profile(df), k)
+
+
+def top_nulls(profile: DataFrame, k: int = 10) -> DataFrame:
     return (
-        _nulls_by_column(df)
+        profile.select("column_name", "nulls")
         .orderBy(F.desc("nulls"), F.asc("column_name"))
         .limit(k)
     )
 
 
-def _nulls_by_column(df: DataFrame) -> DataFrame:
-    # count(*) - count(c) rather than a conditional count: a Parquet reader that pushes
-    # aggregates down can answer it from the file footers.
-    one_row = df.agg(*[(F.count("*") - F.count(_quoted(c))).alias(c) for c in df.columns])
-    return one_row.unpivot([], [_quoted(c) for c in df.columns], "column_name", "nulls")
-
-
 def _quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 

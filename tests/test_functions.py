@@ -3,7 +3,7 @@ import random
 from decimal import Decimal
 
 import pytest
-from hypothesis import HealthCheck, given, settings
+from hypothesis import HealthCheck, Phase, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
@@ -55,8 +55,10 @@ def _sum(spark, values, partitions=3):
 
 
 @settings(
-    max_examples=25,
+    max_examples=15,
     deadline=None,
+    derandomize=True,
+    phases=[Phase.generate],
     suppress_health_check=[HealthCheck.function_scoped_fixture],
 )
 @given(st.lists(st.integers(-(10**14) + 1, 10**14 - 1), min_size=1, max_size=50))
@@ -101,8 +103,10 @@ def test_plain_number(spark):
 
 
 @settings(
-    max_examples=25,
+    max_examples=15,
     deadline=None,
+    derandomize=True,
+    phases=[Phase.generate],
     suppress_health_check=[HealthCheck.function_scoped_fixture],
 )
 @given(

@@ -2,6 +2,8 @@ from collections import defaultdict
 from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
+from hypothesis import HealthCheck, Phase, given, settings
+from hypothesis import strategies as st
 
 from helpers import collect, make_fact
 from salesmill.plans.kpi import (
@@ -42,7 +44,7 @@ def _brute(rows, key):
         margins = [
             (Decimal(r[8]) / Decimal(r[7]) * 100).quantize(Decimal("0.01"), ROUND_HALF_UP)
             for r in members
-            if r[7] is not None and Decimal(r[7]) != 0
+            if r[7] is not None and r[8] is not None and Decimal(r[7]) != 0
         ]
         out[k] = {
             "orders": len(members),
@@ -77,6 +79,52 @@ def test_against_brute_force(spark, name):
     assert found == expected
 
 
+MONEY = st.one_of(
+    st.none(),
+    st.integers(-(10**8), 10**8).map(lambda cents: str(Decimal(cents).scaleb(-2))),
+)
+RANDOM_ROWS = st.lists(
+    st.tuples(
+        st.sampled_from(["A", "B", "C", None]),
+        st.sampled_from(["x", "y"]),
+        st.sampled_from(["Online", "Offline"]),
+        st.sampled_from(["M", "L", None]),
+        st.sampled_from(["2010-01-05", "2010-01-31", "2011-12-31", None]),
+        st.none(),
+        st.one_of(st.none(), st.integers(0, 10**6)),
+        MONEY,
+        MONEY,
+    ),
+    max_size=30,
+)
+
+
+@settings(
+    max_examples=6,
+    deadline=None,
+    derandomize=True,
+    phases=[Phase.generate],  # Each example is several Spark jobs: no shrinking.
+    suppress_health_check=[HealthCheck.function_scoped_fixture],
+)
+@given(RANDOM_ROWS)
+def test_random_rows_against_brute_force(spark, rows):
+    fact = make_fact(spark, rows).repartition(3)
+    for name, table in tables_from_one_pass(one_pass(fact)).items():
+        kpi = KPIS[name]
+        found = {
+            row.asDict().get(kpi.key): {
+                m: row[c] for c, m in kpi.measures.items() if m != "margin"
+            }
+            for row in table.collect()
+        }
+        expected = {
+            k: {m: v[m] for m in kpi.measures.values() if m != "margin"}
+            for k, v in _brute(rows, KEYS[name]).items()
+        }
+        if rows:
+            assert found == expected
+
+
 def test_columns_are_in_the_published_order(spark):
     fact = make_fact(spark, ROWS)
     for kpi in KPIS.values():
