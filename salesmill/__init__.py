@@ -2,7 +2,7 @@
 
 from salesmill.plans.clean import clean
 from salesmill.plans.kpi import KPIS, kpi_table, one_pass, tables_from_one_pass
-from salesmill.plans.pipeline import run
+from salesmill.plans.build import run
 from salesmill.sources.sales_csv import read_sales_csv
 
 __all__ = [

@@ -1,4 +1,4 @@
-"""spark-submit entry: run the pipeline and show a preview of each result."""
+"""spark-submit entry: build all results and show a preview of each result."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession
 
 from salesmill.operators import column_profile, sample, top_nulls
 from salesmill.plans.kpi import KPIS, MONTHLY
-from salesmill.plans.pipeline import run
+from salesmill.plans.build import run
 from salesmill.sources.sales_csv import read_sales_csv
 
 

@@ -41,5 +41,5 @@ def run(
     if csv:
         write_tables_csv(tables, out_dir)
     if database:
-        publish_tables(tables, database)
+        publish_tables(spark, out_dir, database)
     return {"cleaned": fact, "null_dates": null_dates_from_one_pass(parts), **tables}

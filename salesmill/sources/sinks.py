@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,14 +67,22 @@ def write_tables_csv(tables: Mapping[str, DataFrame], out_dir: str) -> None:
 
 
 def publish_tables(
-    tables: Mapping[str, DataFrame], database: str = "kpi", location: str | None = None
+    spark: SparkSession, out_dir: str, database: str = "kpi", location: str | None = None
 ) -> None:
-    """Save the tables in ``database``, where SQL can query them by name."""
-    spark = next(iter(tables.values())).sparkSession
+    """Make the tables written by ``write_tables_parquet`` readable by name in ``database``.
+
+    The tables lie over the written files: nothing is copied, and publishing again after a
+    new run replaces them. ``location`` is the folder of a database created here.
+    """
     where = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`{where}")
-    for name, table in tables.items():
-        table.write.mode("overwrite").saveAsTable(f"`{database}`.`{name}`")
+    for name in KPIS:
+        written = spark.read.parquet(f"{out_dir}/{name}_parquet")
+        # A catalog takes relative paths from its own folder, so the full one is looked up.
+        folder = unquote(written.inputFiles()[0].rpartition("/")[0])
+        table = f"`{database}`.`{name}`"
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        spark.catalog.createTable(table, path=folder, source="parquet", schema=written.schema)
 
 
 def mart_tables(spark: SparkSession, database: str = "kpi") -> dict[str, DataFrame]:

@@ -5,7 +5,7 @@ from helpers import collect, make_fact
 from salesmill.operators import first_last_growth, share_of_total, top_k
 from salesmill.plans.kpi import KPIS, kpi_table
 from salesmill.plans.mart import MART_QUERIES, query_columns, query_fact, query_tables
-from salesmill.sources.sinks import mart_tables, publish_tables
+from salesmill.sources.sinks import mart_tables, publish_tables, write_tables_parquet
 from salesmill.sources.star import sales_fact
 
 BEST = ("2013-10", 1672472823.19, 498536665.12, 34.52359482758613)
@@ -93,9 +93,10 @@ SQL = {
 }
 
 
-def test_sql_text_on_published_tables(spark, golden):  # noqa: F811
-    publish_tables(golden, "kpi")
-    publish_tables(golden, "kpi")  # Publishing again replaces.
+def test_sql_text_on_published_tables(spark, golden, tmp_path):  # noqa: F811
+    out = str(tmp_path / "out folder")
+    write_tables_parquet(golden, out)
+    publish_tables(spark, out, "kpi")
     tables = mart_tables(spark, "kpi")
     assert list(tables) == list(KPIS)
     for name, sql in SQL.items():

@@ -1,3 +1,4 @@
+import os
 import sys
 from pathlib import Path
 
@@ -8,7 +9,7 @@ from golden import CSV, golden  # noqa: F401
 from helpers import collect, csv_row, write_raw_csv
 from salesmill.plans.kpi import KPIS, kpi_table
 from salesmill.plans.clean import clean
-from salesmill.plans.pipeline import run
+from salesmill.plans.build import run
 from salesmill.sources.sales_csv import read_sales_csv
 from salesmill.sources.scratch import scratch_dir
 from salesmill.sources.sinks import (
@@ -75,14 +76,14 @@ def test_scratch_is_under_the_shared_folder(spark):
     assert first.startswith(shared) and second.startswith(shared) and first != second
 
 
-def test_pipeline(spark, sf_dir, tmp_path):
+def test_run(spark, sf_dir, tmp_path):
     raw, out = str(tmp_path / "raw"), str(tmp_path / "out")
     write_csv(raw_sales(spark, sf_dir), raw)
-    results = run(spark, raw, out, csv=True, database="kpi_pipeline")
+    results = run(spark, raw, out, csv=True, database="kpi_run")
     fact = sales_fact(spark, sf_dir)
     assert sorted(collect(results["cleaned"])) == sorted(collect(fact))
     assert collect(results["null_dates"]) == [(0, 0)]
-    parquet, saved = read_tables_parquet(spark, out), mart_tables(spark, "kpi_pipeline")
+    parquet, saved = read_tables_parquet(spark, out), mart_tables(spark, "kpi_run")
     for name, kpi in KPIS.items():
         expected = collect(kpi_table(fact, kpi))
         assert collect(results[name]) == expected
@@ -91,8 +92,16 @@ def test_pipeline(spark, sf_dir, tmp_path):
         assert len(_files(f"{out}/csv/{name}.csv", ".csv")) == 1
 
 
+def test_publishing_again_replaces(spark, tmp_path):
+    for country in ("Japan", "Chile"):
+        path = write_raw_csv(tmp_path / f"{country}.csv", [csv_row(Country=country)])
+        run(spark, path, os.path.relpath(tmp_path / "out"), database="kpi_again")
+        found = collect(spark.sql("SELECT country, revenue FROM kpi_again.top_countries"))
+        assert found == [(country, 25.0)]
+
+
 @pytest.mark.parametrize("partition_by", [None, "order_year_month"])
-def test_pipeline_with_undated_rows(spark, tmp_path, partition_by):
+def test_run_with_undated_rows(spark, tmp_path, partition_by):
     rows = [csv_row(), csv_row(Order_Date="2/30/2010"), csv_row(Ship_Date="")]
     path = write_raw_csv(tmp_path / "s.csv", rows)
     results = run(spark, path, str(tmp_path / "out"), partition_by=partition_by)
