@@ -1,6 +1,7 @@
 import os
 import sys
 from pathlib import Path
+from types import SimpleNamespace
 
 import pytest
 
@@ -76,6 +77,17 @@ def test_scratch_is_under_the_shared_folder(spark):
     assert first.startswith(shared) and second.startswith(shared) and first != second
 
 
+def test_a_cluster_must_name_its_shared_folder():
+    def session(master, **settings):
+        conf = SimpleNamespace(get=lambda name, default: settings.get("shared", default))
+        return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+
+    assert "salesmill-" in scratch_dir(session("local[2]"), "x")
+    assert scratch_dir(session("yarn", shared="hdfs://n/c/"), "x").startswith("hdfs://n/c/x-")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_dir(session("yarn"), "x")
+
+
 def test_run(spark, sf_dir, tmp_path):
     raw, out = str(tmp_path / "raw"), str(tmp_path / "out")
     write_csv(raw_sales(spark, sf_dir), raw)
