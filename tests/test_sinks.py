@@ -4,6 +4,7 @@ from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import functions as F
 
 import salesmill.__main__ as cli
 from golden import CSV, golden  # noqa: F401
@@ -71,6 +72,20 @@ def test_partitioned_fact(spark, sf_dir, tmp_path):
     assert len(_files(path, ".parquet")) <= 2 * len(years)
 
 
+def test_hot_partition_is_written_by_several_tasks(spark, sf_dir, tmp_path, conf):
+    # Splitting goes by the blocks that different tasks wrote, so the input has many files.
+    source, path = str(tmp_path / "source"), str(tmp_path / "fact")
+    hot_year = F.when(F.col("units_sold") > 2, 2000).otherwise(F.col("order_year"))
+    sales_fact(spark, sf_dir).withColumn("order_year", hot_year).repartition(16).write.parquet(source)
+    conf("spark.sql.files.maxPartitionBytes", "50KB")
+    conf("spark.sql.files.openCostInBytes", "0")
+    conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64KB")
+    fact = spark.read.parquet(source)
+    write_parquet(fact, path, partition_by="order_year")
+    assert len(_files(f"{path}/order_year=2000", ".parquet")) > 2
+    assert spark.read.parquet(path).count() == fact.count()
+
+
 def test_scratch_is_under_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     first, second = scratch_dir(spark, "x"), scratch_dir(spark, "x")
