@@ -1,11 +1,15 @@
 """Every registered query against its SQL, on whole tables."""
 
+import re
+
 import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 
 TABLES = "region nation customer supplier part orders lineitem".split()
+# The training-data operators have tests of their own.
+SALES = [name for name in queries() if not re.match(r"op\d+_|pipeline$", name)]
 
 
 @pytest.fixture(scope="module")
@@ -17,10 +21,10 @@ def duck(sf_dir):
 
 
 def test_every_query_has_sql():
-    assert queries().keys() == oracle_sql().keys()
+    assert set(SALES) <= oracle_sql().keys()
 
 
-@pytest.mark.parametrize("name", queries())
+@pytest.mark.parametrize("name", SALES)
 def test_query_equals_sql(spark, sf_dir, duck, name):
     df = queries()[name](spark, sf_dir)
     cursor = duck.execute(oracle_sql()[name])
