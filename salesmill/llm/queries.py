@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmill.llm import quality_rules
+from salesmill.llm import quality_rules, sharding, url_filter
 from salesmill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,9 +27,28 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return sharding.shard(docs).select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op2_quality_rules": op2_quality_rules,
+        "op5_sharding": op5_sharding,
+        "op6_url_filter": op6_url_filter,
     }
 
 
