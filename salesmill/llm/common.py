@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import shutil
+import tempfile
 from collections.abc import Iterator
+from functools import cache
+from pathlib import Path
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +17,21 @@ from salesmill.sources.scratch import scratch_dir
 BLANKS = " \t\n\x0b\f\r"
 
 
+@cache
+def _archive() -> str:
+    """This package as a file, on the driver."""
+    package = Path(__file__).resolve().parents[1]
+    folder = Path(tempfile.mkdtemp(prefix="salesmill-"))
+    return shutil.make_archive(str(folder / "salesmill"), "zip", package.parent, package.name)
+
+
+def ship(spark: SparkSession) -> None:
+    """Let Spark hand this package to its Python workers, wherever they run."""
+    context = spark.sparkContext
+    if not any(name.endswith(Path(_archive()).name) for name in context._python_includes):
+        context.addPyFile(_archive())
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

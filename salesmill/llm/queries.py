@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmill.llm import quality_rules, sharding, url_filter
-from salesmill.llm.common import table
+from salesmill.llm import packing, quality_rules, sharding, token_files, url_filter
+from salesmill.llm.common import ship, table
+from salesmill.sources.scratch import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -44,12 +46,47 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url"))
 
 
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_dir(spark, "tokens")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    token_files.write(token_files.encode(docs, vocabulary), folder)
+    return token_files.documents(token_files.read(spark, folder)).withColumnRenamed(
+        "key", "doc_id"
+    )
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    return packing.packed(docs, vocabulary).select(
+        F.col("key").alias("doc_id"),
+        "start",
+        F.col("length").cast("long").alias("length"),
+        "ids_crc32",
+        "doc_tokens",
+        "sequence_id",
+        "offset",
+    )
+
+
+def _shipped(query: Query) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
 def queries() -> dict[str, Query]:
-    return {
+    found = {
         "op2_quality_rules": op2_quality_rules,
         "op5_sharding": op5_sharding,
         "op6_url_filter": op6_url_filter,
+        "op7_token_files": op7_token_files,
+        "op8_packing": op8_packing,
     }
+    return {name: _shipped(query) for name, query in found.items()}
 
 
 def oracle_sql() -> dict[str, str]:

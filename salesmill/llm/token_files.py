@@ -1,18 +1,17 @@
 """Token ids in ORC files that are read by document id.
 
-Files hold ``key``, ``start`` (ids of all documents before), ``n_tokens`` and ``ids`` in ascending
-key order. ORC stores the integers run-length encoded in stripes; every stripe has a row index with
-minima and maxima and a Bloom filter of the keys, so a reader takes stripes in parallel and skips
-those that cannot hold what it asks for.
-
-Sampled key ranges make the partitions, one file or more each, so no task holds more than its
-range; equal keys stay in one range. ``start`` follows from the totals of the ranges before, one
-number per range, and a running sum inside each. Every row's range is written down before it is
-used, so a repeated task cannot move it.
-
-A null text counts as empty: it has the end id only. A null key sorts first. Repeated rows are kept;
-rows with equal keys lie side by side in the order of their ids. An empty table writes a file
-without rows.
+Files hold ``key``, ``part``, ``place`` and ``ids`` in ascending key order. ORC stores the integers
+run-length encoded in stripes; every stripe has a row index with minima and maxima and a Bloom
+filter of the keys, so a reader takes stripes in parallel and skips those that cannot hold what it
+asks for.
+
+The texts are dealt by sampled key ranges (``part`` numbers them, ``place`` the rows inside one),
+so no task holds more than its range; a key that many rows share is split by a hash of the text.
+Where a document starts in the whole row of ids follows on reading: the totals of the parts before,
+one number per part, and a running sum inside each.
+
+A null text counts as empty: it has the end id only. A null key sorts first. Repeated rows are kept,
+side by side. An empty table writes files without rows.
 """
 
 from __future__ import annotations
@@ -25,35 +24,75 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from salesmill.llm.common import pieces, stash
+from salesmill.llm.common import pieces
 from salesmill.llm.tokens import ID, encoder
 
-#: Rows per entry of the row index and per Bloom filter.
+#: Rows per entry of the row index, each with a Bloom filter.
 INDEX_ROWS = 1000
 STRIPE_BYTES = 64 * 1024 * 1024
+SCHEMA = "key long, part int, place long, ids array<int>"
 
 
 def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key`` and ``ids`` (the text's and the end id) of every row."""
+    """``SCHEMA`` for every row, dealt and sorted by key; ``ids`` are the text's and the end id."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in pieces(frames, "text", 8_000_000):
-            ids = encoder(path)([t if isinstance(t, str) else None for t in frame["text"]])
+        place = 0
+        for frame in pieces(frames, "text", 4_000_000):
+            ids = encoder(path)(list(frame["text"]))
             yield pd.DataFrame(
-                {"key": frame["key"], "ids": [np.frombuffer(b, ID).view("<i4") for b in ids]}
+                {
+                    "key": frame["key"],
+                    "part": frame["part"],
+                    "place": np.arange(place, place + len(ids)),
+                    "ids": [np.frombuffer(b, ID).view("<i4") for b in ids],
+                }
             )
+            place += len(ids)
 
     rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
-    return rows.mapInPandas(run, "key long, ids array<int>")
+    tie = F.xxhash64("text")
+    dealt = rows.repartitionByRange("key", tie).sortWithinPartitions("key", tie)
+    return dealt.select("key", "text", F.spark_partition_id().alias("part")).mapInPandas(run, SCHEMA)
+
+
+def write(tokens: DataFrame, folder: str, compression: str = "zstd") -> None:
+    (
+        tokens.write.option("compression", compression)
+        .option("orc.stripe.size", STRIPE_BYTES)
+        .option("orc.create.index", "true")
+        .option("orc.row.index.stride", INDEX_ROWS)
+        .option("orc.bloom.filter.columns", "key")
+        .option("orc.bloom.filter.fpp", "0.01")
+        .orc(folder)
+    )
 
 
-def write(tokens: DataFrame, folder: str, **options: str) -> None:
-    """Write ``key`` and ``ids`` to ``folder`` as ORC, in key order."""
-    ranges = stash(
-        tokens.withColumn("n_tokens", F.size("ids").cast("long"))
-        .repartitionByRange("key")
-        .sortWithinPartitions("key", "ids")
-        .withColumn("range", F.spark_partition_id()),
-        "token_ranges",
+def read(spark: SparkSession, folder: str) -> DataFrame:
+    """The rows of the files; a condition on ``key`` skips stripes and row groups."""
+    return spark.read.schema(SCHEMA).orc(folder)
+
+
+def ids_crc32(ids: pd.Series) -> pd.Series:
+    """Unsigned CRC-32 of ids as little-endian unsigned 32-bit integers."""
+    return ids.map(lambda row: zlib.crc32(np.asarray(row).astype(ID).tobytes()))
+
+
+def documents(files: DataFrame) -> DataFrame:
+    """``key``, ``start`` (ids of all documents before), ``n_tokens`` and ``ids_crc32``."""
+    crc = F.pandas_udf(ids_crc32, "long")
+    rows = files.select(
+        "key", "part", "place", F.size("ids").cast("long").alias("n_tokens"),
+        crc("ids").alias("ids_crc32"),
+    )
+    inside = Window.partitionBy("part").orderBy("place").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    # One row per part.
+    totals = files.groupBy("part").agg(F.sum(F.size("ids")).alias("total"))
+    ahead = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = totals.select("part", F.coalesce(F.sum("total").over(ahead), F.lit(0)).alias("ahead"))
+    placed = rows.withColumn("within", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)))
+    return placed.join(F.broadcast(parts), "part").select(
+        "key", (F.col("ahead") + F.col("within")).alias("start"), "n_tokens", "ids_crc32"
     )
-    raise NotImplementedError(options, ranges, folder)

@@ -2,9 +2,9 @@
 
 Both public byte-pair vocabularies cut a text at white space before any merge, so the ids of a text
 are the ids of its chunks (a word and the white space before it) in a row. Each worker keeps the ids
-of chunks it has seen, as bytes, and asks the library only for new ones, many at once. Texts with
-other white space than blanks and line breaks, or with control characters, are encoded whole: for
-them the cut would need the library's own rules.
+of chunks it has seen, as bytes, and asks the library only for new ones. A new chunk that is a plain
+word goes straight to the library's merges; any other one takes its whole path. Texts with other
+white space than blanks and line breaks, or with control characters, are encoded whole.
 """
 
 from __future__ import annotations
@@ -17,10 +17,18 @@ import numpy as np
 
 ID = np.dtype("<u4")
 #: Chunks that a worker remembers at most, about 200 bytes each; beyond that it starts anew.
-REMEMBERED = 600_000
+REMEMBERED = 500_000
 
 _CHUNK = re.compile("[ \n]*[^ \n]+|[ \n]+")
 _ODD = re.compile("[^\\S \n]|[\x00-\x09\x0b-\x1f\x7f-\xa0]")
+_PLAIN = re.compile("([ \n]?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!]*)")
+
+
+def _byte_letters() -> list[str]:
+    """The letter that stands for each byte in byte-level vocabularies."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    return [chr(b) if b in printable else chr(next(others)) for b in range(256)]
 
 
 class Encoder:
@@ -33,36 +41,59 @@ class Encoder:
         self.library = Tokenizer.from_file(path)
         self.end = b"" if end is None else np.array([end], ID).tobytes()
         self.known: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+        self.letters = dict(enumerate(_byte_letters()))
+        #: Whether blanks are dropped and words made lower case before the merges.
+        self.lowers = self.whole(" ÀB") == self.whole("àb")
 
-    def _whole(self, text: str) -> bytes:
+    def whole(self, text: str) -> bytes:
         ids = self.library.encode(text, add_special_tokens=False).ids
         return np.array(ids, ID).tobytes()
 
-    def _learn(self, chunks: list[str]) -> None:
-        if len(self.known) + len(chunks) > REMEMBERED:
-            self.known.clear()
-        for chunk, found in zip(
-            chunks, self.library.encode_batch_fast(chunks, add_special_tokens=False), strict=True
-        ):
-            self.known[chunk] = np.array(found.ids, ID).tobytes()
+    def _part(self, part: str) -> bytes:
+        """The ids of what the library's rules do not cut any further."""
+        if part not in self.parts:
+            if len(self.parts) >= REMEMBERED:
+                self.parts.clear()
+            spelled = part.encode().decode("latin-1").translate(self.letters)
+            ids = [token.id for token in self.library.model.tokenize(spelled)]
+            self.parts[part] = np.array(ids, ID).tobytes()
+        return self.parts[part]
+
+    def _chunk(self, chunk: str) -> bytes:
+        plain = _PLAIN.fullmatch(chunk)
+        if not plain:
+            return self.whole(chunk)
+        lead, word, tail = plain.groups()
+        if self.lowers:
+            ids = self._part(word.lower())
+        elif lead == "\n":
+            ids = self._part(lead) + self._part(word)
+        else:
+            ids = self._part(lead + word)
+        return ids + self._part(tail) if tail else ids
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers; a null is empty."""
-        cut = [None if not t or _ODD.search(t) else _CHUNK.findall(t) for t in texts]
-        new = set().union(*filter(None, cut)).difference(self.known)
-        if len(new) > REMEMBERED // 2:  # one batch of very long texts: nothing to remember
-            return [self._whole(t or "") + self.end for t in texts]
-        if new:
-            self._learn(list(new))
-            if len(self.known) == len(new):  # started anew: older chunks of this batch are gone
-                again = set().union(*filter(None, cut)).difference(self.known)
-                self._learn(list(again)) if again else None
-        ids = self.known
-        return [
-            (self._whole(text or "") if chunks is None else b"".join([ids[c] for c in chunks]))
-            + self.end
-            for text, chunks in zip(texts, cut, strict=True)
-        ]
+        out = []
+        for text in texts:
+            if not text:
+                out.append(self.end)
+            elif _ODD.search(text):
+                out.append(self.whole(text) + self.end)
+            else:
+                chunks, known = _CHUNK.findall(text), self.known
+                try:
+                    ids = b"".join([known[chunk] for chunk in chunks])
+                except KeyError:
+                    if len(known) > REMEMBERED:
+                        known.clear()
+                    for chunk in chunks:
+                        if chunk not in known:
+                            known[chunk] = self._chunk(chunk)
+                    ids = b"".join([known[chunk] for chunk in chunks])
+                out.append(ids + self.end)
+        return out
 
 
 @cache
