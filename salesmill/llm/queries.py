@@ -8,13 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmill.llm import packing, quality_rules, sharding, token_files, url_filter
+from salesmill.llm import packing, quality_rules, sharding, simhash, token_files, url_filter
 from salesmill.llm.common import ship, table
 from salesmill.sources.scratch import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality_rules.judge(docs).select(
@@ -80,6 +84,7 @@ def _shipped(query: Query) -> Query:
 
 def queries() -> dict[str, Query]:
     found = {
+        "op1_simhash_dedup": op1_simhash_dedup,
         "op2_quality_rules": op2_quality_rules,
         "op5_sharding": op5_sharding,
         "op6_url_filter": op6_url_filter,
