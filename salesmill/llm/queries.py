@@ -8,7 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmill.llm import packing, quality_rules, sharding, simhash, token_files, url_filter
+from salesmill.llm import (
+    packing,
+    quality_classifier,
+    quality_rules,
+    sharding,
+    simhash,
+    token_files,
+    url_filter,
+)
 from salesmill.llm.common import ship, table
 from salesmill.sources.scratch import scratch_dir
 
@@ -74,6 +82,10 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.score(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def _shipped(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship(spark)
@@ -90,6 +102,7 @@ def queries() -> dict[str, Query]:
         "op6_url_filter": op6_url_filter,
         "op7_token_files": op7_token_files,
         "op8_packing": op8_packing,
+        "op10_quality_classifier": op10_quality_classifier,
     }
     return {name: _shipped(query) for name, query in found.items()}
 
