@@ -1,10 +1,11 @@
-"""Token ids of whole texts by the tokenizers library, with a cache of recurring chunks.
-
-Both public byte-pair vocabularies cut a text at white space before any merge, so the ids of a text
-are the ids of its chunks (a word and the white space before it) in a row. Each worker keeps the ids
-of chunks it has seen, as bytes, and asks the library only for new ones. A new chunk that is a plain
-word goes straight to the library's merges; any other one takes its whole path. Texts with other
-white space than blanks and line breaks, or with control characters, are encoded whole.
+"""Token ids of whole texts by the tokenizers library, with a cache of what recurs.
+
+The byte-pair vocabularies cut a text before any merge: at white space, and between letters and other
+characters. So the ids of a text are those of its parts in a row, a part being a run of letters with
+a blank before it, or a run of other characters. Each worker keeps the ids of parts it has seen, as
+bytes, and asks the library only for new ones. That holds for texts of Latin-1 characters with single
+blanks and line breaks, without apostrophes (contractions are cut otherwise) and without the start of
+a special token; the library encodes any other text whole.
 """
 
 from __future__ import annotations
@@ -16,12 +17,13 @@ from functools import cache
 import numpy as np
 
 ID = np.dtype("<u4")
-#: Chunks that a worker remembers at most, about 200 bytes each; beyond that it starts anew.
-REMEMBERED = 500_000
+#: Parts that a worker remembers at most, about 200 bytes each; beyond that it starts anew.
+REMEMBERED = 900_000
 
-_CHUNK = re.compile("[ \n]*[^ \n]+|[ \n]+")
-_ODD = re.compile("[^\\S \n]|[\x00-\x09\x0b-\x1f\x7f-\xa0]")
-_PLAIN = re.compile("([ \n]?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!]*)")
+_LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ÿ"
+_PARTS = re.compile(f" ?[{_LETTERS}]+|(?: (?![{_LETTERS}])|[^ {_LETTERS}])+")
+_WORD = re.compile(f" ?[{_LETTERS}]+")
+_WHOLE = ("'", "<|", "  ", "\n\n", " \n", "\n ")
 
 
 def _byte_letters() -> list[str]:
@@ -41,7 +43,6 @@ class Encoder:
         self.library = Tokenizer.from_file(path)
         self.end = b"" if end is None else np.array([end], ID).tobytes()
         self.known: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
         self.letters = dict(enumerate(_byte_letters()))
         #: Whether blanks are dropped and words made lower case before the merges.
         self.lowers = self.whole(" ÀB") == self.whole("àb")
@@ -51,49 +52,39 @@ class Encoder:
         return np.array(ids, ID).tobytes()
 
     def _part(self, part: str) -> bytes:
-        """The ids of what the library's rules do not cut any further."""
-        if part not in self.parts:
-            if len(self.parts) >= REMEMBERED:
-                self.parts.clear()
-            spelled = part.encode().decode("latin-1").translate(self.letters)
-            ids = [token.id for token in self.library.model.tokenize(spelled)]
-            self.parts[part] = np.array(ids, ID).tobytes()
-        return self.parts[part]
-
-    def _chunk(self, chunk: str) -> bytes:
-        plain = _PLAIN.fullmatch(chunk)
-        if not plain:
-            return self.whole(chunk)
-        lead, word, tail = plain.groups()
+        if not _WORD.fullmatch(part):
+            return self.whole(part)
+        # Letters go straight to the merges, in the spelling of byte-level vocabularies.
+        word = part.lstrip(" ") if self.lowers else part
+        spelled = word.encode().decode("latin-1").translate(self.letters)
+        ids = [token.id for token in self.library.model.tokenize(spelled)]
+        return np.array(ids, ID).tobytes()
+
+    def _text(self, text: str) -> bytes:
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return self.whole(text)
+        if any(sign in text for sign in _WHOLE) or not text.replace("\n", " ").isprintable():
+            return self.whole(text)
         if self.lowers:
-            ids = self._part(word.lower())
-        elif lead == "\n":
-            ids = self._part(lead) + self._part(word)
-        else:
-            ids = self._part(lead + word)
-        return ids + self._part(tail) if tail else ids
+            text = text.lower()
+        parts, known = _PARTS.findall(text), self.known
+        ids = list(map(known.get, parts))
+        if None in ids:
+            if len(known) > REMEMBERED:
+                known.clear()
+            for at, found in enumerate(ids):
+                if found is None:
+                    part = parts[at]
+                    if part not in known:
+                        known[part] = self._part(part)
+                    ids[at] = known[part]
+        return b"".join(ids)
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers; a null is empty."""
-        out = []
-        for text in texts:
-            if not text:
-                out.append(self.end)
-            elif _ODD.search(text):
-                out.append(self.whole(text) + self.end)
-            else:
-                chunks, known = _CHUNK.findall(text), self.known
-                try:
-                    ids = b"".join([known[chunk] for chunk in chunks])
-                except KeyError:
-                    if len(known) > REMEMBERED:
-                        known.clear()
-                    for chunk in chunks:
-                        if chunk not in known:
-                            known[chunk] = self._chunk(chunk)
-                    ids = b"".join([known[chunk] for chunk in chunks])
-                out.append(ids + self.end)
-        return out
+        return [(self._text(text) if text else b"") + self.end for text in texts]
 
 
 @cache
