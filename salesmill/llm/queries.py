@@ -12,12 +12,14 @@ from salesmill.llm import (
     packing,
     quality_classifier,
     quality_rules,
+    sentencepiece,
     sharding,
     simhash,
     token_files,
     url_filter,
 )
 from salesmill.llm.common import ship, table
+from salesmill.llm.tokens import ids_crc32
 from salesmill.sources.scratch import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +43,20 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    decoded = sentencepiece.decode(path)("ids")
+    crc = F.pandas_udf(ids_crc32, "long")
+    return sentencepiece.encode(docs, path).select(
+        F.col("key").alias("doc_id"),
+        F.size("ids").cast("long").alias("n_tokens"),
+        crc("ids").alias("ids_crc32"),
+        F.crc32(decoded).alias("text_crc32"),
+        (decoded == F.coalesce("text", F.lit(""))).alias("lossless"),
+    )
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return sharding.shard(docs).select(
@@ -98,6 +114,7 @@ def queries() -> dict[str, Query]:
     found = {
         "op1_simhash_dedup": op1_simhash_dedup,
         "op2_quality_rules": op2_quality_rules,
+        "op4_sentencepiece": op4_sentencepiece,
         "op5_sharding": op5_sharding,
         "op6_url_filter": op6_url_filter,
         "op7_token_files": op7_token_files,

@@ -16,7 +16,6 @@ side by side. An empty table writes files without rows.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from salesmill.llm.common import pieces
-from salesmill.llm.tokens import ID, encoder
+from salesmill.llm.tokens import ID, encoder, ids_crc32
 
 #: Rows per entry of the row index, each with a Bloom filter.
 INDEX_ROWS = 1000
@@ -73,11 +72,6 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(SCHEMA).orc(folder)
 
 
-def ids_crc32(ids: pd.Series) -> pd.Series:
-    """Unsigned CRC-32 of ids as little-endian unsigned 32-bit integers."""
-    return ids.map(lambda row: zlib.crc32(np.asarray(row).astype(ID).tobytes()))
-
-
 def documents(files: DataFrame) -> DataFrame:
     """``key``, ``start`` (ids of all documents before), ``n_tokens`` and ``ids_crc32``."""
     crc = F.pandas_udf(ids_crc32, "long")

@@ -12,9 +12,11 @@ from __future__ import annotations
 
 import os
 import re
+import zlib
 from functools import cache
 
 import numpy as np
+import pandas as pd
 
 ID = np.dtype("<u4")
 #: Parts that a worker remembers at most, about 200 bytes each; beyond that it starts anew.
@@ -91,3 +93,8 @@ class Encoder:
 def encoder(path: str, end: int | None = 1) -> Encoder:
     """One per worker process and vocabulary."""
     return Encoder(path, end)
+
+
+def ids_crc32(ids: pd.Series) -> pd.Series:
+    """Unsigned CRC-32 of ids as little-endian unsigned 32-bit integers."""
+    return ids.map(lambda row: zlib.crc32(np.asarray(row).astype(ID).tobytes()))
