@@ -40,6 +40,12 @@ BYTES_WEIGHT = -40.0
 EDGES = 6_000_000
 _ROW, _PART, _STEP = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 _BASE = np.uint64(0x100000001B3)
+_TABLE_BITS = 18
+
+# Letters are what \w has besides digits, underscores and the numbers among Latin signs.
+_OTHER = r"\d_\u00b2\u00b3\u00b9\u00bc-\u00be"
+_FINE = re.compile(rf" *[^\W{_OTHER}]+| *(?:[^\w \n]|[{_OTHER}])+| +|\n")
+_COARSE = re.compile(r" *[^ \n]+| +|\n")
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -73,15 +79,13 @@ class Vocabulary:
         self.weight = np.full(self.size, -np.inf)
         for i in plain:
             self.weight[i] = -sharpness * math.log(10 - model.get_score(i))
-        hashes = np.array([self._hash(name) for name in self.ids], np.uint64)
-        order = np.argsort(hashes)
-        self.hashes, self.hash_ids = hashes[order], np.array(list(self.ids.values()))[order]
-        mixed = any(re.search(r"[^\W\d_](?=[\W\d_])|[^\w ](?=[^\W\d_])|[\d_](?=[^\W\d_])", n) for n in self.ids)
-        if any(" " in n.lstrip(" ") or "\n" in n for n in self.ids):
-            raise ValueError("pieces that cross a blank or hold a line break are not supported")
-        self.parts = re.compile(
-            r" *[^ \n]+| +|\n" if mixed else r" *[^\W\d_]+| *(?:[^\w \n]|[\d_])+| +|\n"
-        )
+        self._index([(self._hash(name), i) for name, i in self.ids.items()])
+        if any("\n" in name for name in self.ids):
+            raise ValueError("pieces that hold a line break are not supported")
+        fits = [all(map(parts.fullmatch, self.ids)) for parts in (_FINE, _COARSE)]
+        if not any(fits):
+            raise ValueError("pieces that cross a blank are not supported")
+        self.parts = _FINE if fits[0] else _COARSE
         self._forget()
 
     @staticmethod
@@ -91,15 +95,47 @@ class Vocabulary:
             h = (h * int(_BASE) + ord(c) + 1) & 0xFFFFFFFFFFFFFFFF
         return h
 
+    def _index(self, entries: list[tuple[int, int]]) -> None:
+        """Hash tables of pieces: each has its place in the first one where that is free."""
+        self.tables: list[tuple[np.uint64, np.ndarray, np.ndarray]] = []
+        factor = 1
+        while entries:
+            factor = factor * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF
+            hashes = np.zeros(1 << _TABLE_BITS, np.uint64)
+            ids = np.full(1 << _TABLE_BITS, -1)
+            rest = []
+            for h, i in entries:
+                at = (h * factor & 0xFFFFFFFFFFFFFFFF) >> (64 - _TABLE_BITS)
+                if ids[at] >= 0:
+                    rest.append((h, i))
+                else:
+                    hashes[at], ids[at] = h, i
+            self.tables.append((np.uint64(factor), hashes, ids))
+            entries = rest
+
+    def _find(self, h: np.ndarray) -> np.ndarray:
+        """The id of the piece with each hash, or -1."""
+        found = np.full(len(h), -1)
+        for factor, hashes, ids in self.tables:
+            at = (h * factor) >> np.uint64(64 - _TABLE_BITS)
+            hit = hashes[at] == h
+            found[hit] = ids[at[hit]]
+        return found
+
     def _forget(self) -> None:
         self.known: dict[str, int] = {}
-        #: State of a part's end; states of a part follow each other, one per character.
+        #: Of each known part: the state of its end (one per character, in order) and its length.
+        self.ends, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.states = 0
-        self.cum = np.zeros(0)  # state + cumulative probability of each edge into it
+        self.first = np.zeros(0, np.int64)  # of the edges into each state, the likeliest
+        self.cum = np.zeros(0)  # probability of an edge and those before it
         self.edge_id, self.edge_len = np.zeros(0, np.int32), np.zeros(0, np.int32)
 
     def _filter(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Edges of parts of one length (rows of code points): state, probability, id, length."""
+        """Lattices of parts of one length (rows of code points).
+
+        Where the edges of each state start; cumulative probability, id and length of each edge.
+        """
         n, size = codes.shape
         prefix = np.zeros((n, size + 1), np.uint64)
         for j in range(size):
@@ -113,9 +149,8 @@ class Vocabulary:
             score, ids = np.full((n, len(lengths)), -np.inf), np.full((n, len(lengths)), -1)
             for k, length in enumerate(lengths):
                 h = prefix[:, j] - prefix[:, j - length] * power[length]
-                at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
-                hit = self.hashes[at] == h
-                own = self.hash_ids[at]
+                own = self._find(h)
+                hit = own >= 0
                 if length == 1:  # every character has an edge of its own
                     hit &= codes[:, j - 1] != ord(BLANK)
                     own = np.where(hit, own, self.size + codes[:, j - 1].astype(np.int64))
@@ -129,45 +164,54 @@ class Vocabulary:
             share = np.exp(score - top[:, None])
             total = share.sum(1)
             alpha[:, j] = top + np.log(total)
-            rising = np.cumsum(share, 1) / total[:, None]
             row, k = np.nonzero(ids >= 0)
-            found.append((row * size + j - 1, rising[row, k], ids[row, k], k + 1))
-        state, rising, ids, length = (np.concatenate(x) for x in zip(*found, strict=True))
-        order = np.lexsort((length, state))
-        state, rising = state[order], rising[order]
-        rising[np.r_[state[1:] != state[:-1], True]] = 1.0
-        return state, rising, ids[order], length[order]
+            found.append((row * size + j - 1, (share / total[:, None])[row, k], ids[row, k], k + 1))
+        state, share, ids, length = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.lexsort((length, -share, state))
+        state, share = state[order], share[order]
+        first = np.flatnonzero(np.r_[True, state[1:] != state[:-1]])
+        rising = np.cumsum(share)
+        rising -= np.repeat(rising[first] - share[first], np.diff(np.r_[first, len(state)]))
+        rising[np.r_[first[1:], len(state)] - 1] = 1.0
+        return first, rising, ids[order], length[order]
 
     def learn(self, new: list[str]) -> None:
         """Filter the lattices of parts."""
         by_length: dict[int, list[str]] = {}
         for part in new:
             by_length.setdefault(len(part), []).append(part)
-        cum, ids, lengths = [self.cum], [self.edge_id], [self.edge_len]
+        firsts, cum, ids, lengths = [self.first], [self.cum], [self.edge_id], [self.edge_len]
+        ends, sizes, edges = [self.ends], [self.sizes], len(self.cum)
         for size, parts in by_length.items():
             codes = np.frombuffer("".join(parts).encode("utf-32-le", "surrogatepass"), "<u4").reshape(-1, size)
-            state, rising, own, length = self._filter(codes.astype(np.uint64))
-            cum.append(self.states + state + rising)
+            first, rising, own, length = self._filter(codes.astype(np.uint64))
+            firsts.append(first + edges)
+            edges += len(rising)
+            cum.append(rising)
             ids.append(own.astype(np.int32))
             lengths.append(length.astype(np.int32))
-            for k, part in enumerate(parts):
-                self.known[part] = self.states + (k + 1) * size - 1
+            self.known.update(zip(parts, range(len(self.known), len(self.known) + len(parts)), strict=True))
+            ends.append(self.states + np.arange(1, len(parts) + 1) * size - 1)
+            sizes.append(np.full(len(parts), size))
             self.states += len(parts) * size
-        self.cum, self.edge_id, self.edge_len = map(np.concatenate, (cum, ids, lengths))
+        self.first, self.cum, self.edge_id, self.edge_len = map(
+            np.concatenate, (firsts, cum, ids, lengths)
+        )
+        self.ends, self.sizes = np.concatenate(ends), np.concatenate(sizes)
 
     def sample(self, texts: list[str], keys: np.ndarray, seed: int) -> list[np.ndarray]:
         """Ids of each text, drawn with the random numbers of its key."""
         cut = [self.parts.findall(" " + text) if text else [] for text in texts]
         new = set().union(*cut).difference(self.known)
         if new:
-            if len(self.cum) > EDGES // 2:
+            if len(self.cum) > EDGES:
                 self._forget()
                 new = set().union(*cut)
             self.learn(sorted(new))
         counts = np.array([len(parts) for parts in cut])
         known = self.known
-        end = np.array([known[part] for parts in cut for part in parts], np.int64)
-        size = np.array([len(part) for parts in cut for part in parts], np.int64)
+        part_of = np.array([known[part] for parts in cut for part in parts], np.int64)
+        end, size = self.ends[part_of], self.sizes[part_of]
         starts = np.cumsum(counts) - counts
         place = np.arange(len(end)) - np.repeat(starts, counts)
         row = _mix((keys.astype(np.uint64) ^ np.uint64(seed & 0xFFFFFFFFFFFFFFFF)) + _ROW)
@@ -175,11 +219,14 @@ class Vocabulary:
         left, live = size.copy(), np.arange(len(end))
         steps, drawn = 0, []
         while len(live):
-            random = _mix(stream[live] + np.uint64(steps + 1) * _STEP)
+            random = _mix(stream[live] + np.uint64((steps + 1) * int(_STEP) & 0xFFFFFFFFFFFFFFFF))
             state = end[live] - size[live] + left[live]
-            # 24 bits: state + u is exact and stays below state + 1.
-            u = (random >> np.uint64(40)).astype(np.float64) * 2.0**-24
-            edge = np.searchsorted(self.cum, state + u, "right")
+            u = (random >> np.uint64(11)).astype(np.float64) * 2.0**-53
+            edge = self.first[state]
+            beyond = np.flatnonzero(self.cum[edge] <= u)
+            while len(beyond):
+                edge[beyond] += 1
+                beyond = beyond[self.cum[edge[beyond]] <= u[beyond]]
             drawn.append((live, self.edge_id[edge]))
             left[live] -= self.edge_len[edge]
             live = live[left[live] > 0]
@@ -191,11 +238,13 @@ class Vocabulary:
         ids = np.empty(stop[-1] if len(stop) else 0, np.int64)
         for step, (live, own) in enumerate(drawn):
             ids[stop[live] - 1 - step] = own  # the walk goes backwards
+        ascii_ = (ids >= self.size) & (ids < self.size + 128)
+        ids[ascii_] = self.byte_ids[ids[ascii_] - self.size]
         bounds = np.r_[0, stop][np.r_[starts, len(end)]]
         return [self._spell(ids[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
 
     def _spell(self, ids: np.ndarray) -> np.ndarray:
-        """Characters without a piece as the ids of their bytes."""
+        """Characters without a piece as the ids of their bytes; ASCII is done before."""
         for at in np.flatnonzero(ids >= self.size)[::-1]:
             own = np.frombuffer(chr(ids[at] - self.size).encode("utf-8", "surrogatepass"), np.uint8)
             ids = np.r_[ids[:at], self.byte_ids[own], ids[at + 1 :]]
