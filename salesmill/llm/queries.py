@@ -17,6 +17,7 @@ from salesmill.llm import (
     simhash,
     token_files,
     url_filter,
+    vector_dedup,
 )
 from salesmill.llm.common import ship, table
 from salesmill.llm.tokens import ids_crc32
@@ -98,6 +99,10 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.score(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -119,10 +124,11 @@ def queries() -> dict[str, Query]:
         "op6_url_filter": op6_url_filter,
         "op7_token_files": op7_token_files,
         "op8_packing": op8_packing,
+        "op9_vector_dedup": op9_vector_dedup,
         "op10_quality_classifier": op10_quality_classifier,
     }
     return {name: _shipped(query) for name, query in found.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_quality_rules": quality_rules.SQL}
+    return {"op2_quality_rules": quality_rules.SQL, "op9_vector_dedup": vector_dedup.SQL}
