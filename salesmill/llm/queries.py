@@ -15,6 +15,7 @@ from salesmill.llm import (
     sentencepiece,
     sharding,
     simhash,
+    substring_dedup,
     token_files,
     url_filter,
     vector_dedup,
@@ -44,6 +45,17 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring_dedup.dedup(docs).select(
+        "doc_id",
+        "_dedup.n_bytes",
+        "_dedup.n_removed",
+        "_dedup.n_spans",
+        F.sha2("_dedup.kept", 256).alias("kept_sha256"),
+    )
+
+
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("piece_bpe_32k.model")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -119,6 +131,7 @@ def queries() -> dict[str, Query]:
     found = {
         "op1_simhash_dedup": op1_simhash_dedup,
         "op2_quality_rules": op2_quality_rules,
+        "op3_substring_dedup": op3_substring_dedup,
         "op4_sentencepiece": op4_sentencepiece,
         "op5_sharding": op5_sharding,
         "op6_url_filter": op6_url_filter,
