@@ -119,6 +119,12 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.score(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def _shipped(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship(spark)
@@ -139,6 +145,7 @@ def queries() -> dict[str, Query]:
         "op8_packing": op8_packing,
         "op9_vector_dedup": op9_vector_dedup,
         "op10_quality_classifier": op10_quality_classifier,
+        "pipeline": pipeline,
     }
     return {name: _shipped(query) for name, query in found.items()}
 
