@@ -173,8 +173,13 @@ def judge(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES)
 
 
 def keep(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """The rows of ``docs`` that pass, with their columns as they are."""
-    return judge(docs, text, rules).where("kept").select("row.*")
+    """The rows of ``docs`` that pass, with their columns as they are.
+
+    The condition asks for a number that Spark gives out row by row, so that it stays behind the
+    measures. Moved before them it would hold each of them in full, arrays inside lambdas included.
+    """
+    judged = judge(docs, text, rules).withColumn("at", F.monotonically_increasing_id())
+    return judged.where(F.col("kept") & (F.col("at") >= 0)).select("row.*")
 
 
 # Fixed values shared with the expressions above.
