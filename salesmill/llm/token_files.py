@@ -6,7 +6,7 @@ filter of the keys, so a reader takes stripes in parallel and skips those that c
 asks for.
 
 The texts are dealt by sampled key ranges (``part`` numbers them, ``place`` the rows inside one),
-so no task holds more than its range; a key that many rows share is split by a hash of the text.
+so no task holds more than its range; a key that many rows share is split by their places in the input.
 Where a document starts in the whole row of ids follows on reading: the totals of the parts before,
 one number per part, and a running sum inside each.
 
@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from salesmill.llm.common import pieces
+from salesmill.llm.common import pieces, stash
 from salesmill.llm.tokens import ID, encoder, ids_crc32
 
 #: Rows per entry of the row index, each with a Bloom filter.
@@ -50,12 +50,14 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text")
             place += len(ids)
 
     rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
-    tie = F.xxhash64("text")
-    dealt = rows.repartitionByRange("key", tie).sortWithinPartitions("key", tie)
+    # The row's place in the input splits a key that many rows share; unlike a hash of the text, it
+    # costs the sampling nothing.
+    placed = rows.withColumn("row", F.monotonically_increasing_id())
+    dealt = placed.repartitionByRange("key", "row").sortWithinPartitions("key", "row")
     return dealt.select("key", "text", F.spark_partition_id().alias("part")).mapInPandas(run, SCHEMA)
 
 
-def write(tokens: DataFrame, folder: str, compression: str = "zstd") -> None:
+def write(tokens: DataFrame, folder: str, compression: str = "none") -> None:
     (
         tokens.write.option("compression", compression)
         .option("orc.stripe.size", STRIPE_BYTES)
@@ -75,15 +77,21 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
 def documents(files: DataFrame) -> DataFrame:
     """``key``, ``start`` (ids of all documents before), ``n_tokens`` and ``ids_crc32``."""
     crc = F.pandas_udf(ids_crc32, "long")
-    rows = files.select(
-        "key", "part", "place", F.size("ids").cast("long").alias("n_tokens"),
-        crc("ids").alias("ids_crc32"),
-    )
+    rows = stash(
+        files.select(
+            "key",
+            "part",
+            "place",
+            F.size("ids").cast("long").alias("n_tokens"),
+            crc("ids").alias("ids_crc32"),
+        ),
+        "token_rows",
+    )
     inside = Window.partitionBy("part").orderBy("place").rowsBetween(
         Window.unboundedPreceding, -1
     )
     # One row per part.
-    totals = files.groupBy("part").agg(F.sum(F.size("ids")).alias("total"))
+    totals = rows.groupBy("part").agg(F.sum("n_tokens").alias("total"))
     ahead = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = totals.select("part", F.coalesce(F.sum("total").over(ahead), F.lit(0)).alias("ahead"))
     placed = rows.withColumn("within", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)))

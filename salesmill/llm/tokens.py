@@ -13,6 +13,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from collections.abc import Callable
 from functools import cache
 
 import numpy as np
@@ -35,6 +36,17 @@ def _byte_letters() -> list[str]:
     return [chr(b) if b in printable else chr(next(others)) for b in range(256)]
 
 
+class _Known(dict):
+    """The ids of parts; a new one is asked for once."""
+
+    def __init__(self, ask: Callable[[str], bytes]) -> None:
+        self.ask = ask
+
+    def __missing__(self, part: str) -> bytes:
+        self[part] = ids = self.ask(part)
+        return ids
+
+
 class Encoder:
     """Encodes texts with the vocabulary file at ``path``; ``end`` follows each text's ids."""
 
@@ -44,7 +56,7 @@ class Encoder:
 
         self.library = Tokenizer.from_file(path)
         self.end = b"" if end is None else np.array([end], ID).tobytes()
-        self.known: dict[str, bytes] = {}
+        self.known = _Known(self._part)
         self.letters = dict(enumerate(_byte_letters()))
         #: Whether blanks are dropped and words made lower case before the merges.
         self.lowers = self.whole(" ÀB") == self.whole("àb")
@@ -71,18 +83,9 @@ class Encoder:
             return self.whole(text)
         if self.lowers:
             text = text.lower()
-        parts, known = _PARTS.findall(text), self.known
-        ids = list(map(known.get, parts))
-        if None in ids:
-            if len(known) > REMEMBERED:
-                known.clear()
-            for at, found in enumerate(ids):
-                if found is None:
-                    part = parts[at]
-                    if part not in known:
-                        known[part] = self._part(part)
-                    ids[at] = known[part]
-        return b"".join(ids)
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
+        return b"".join(map(self.known.__getitem__, _PARTS.findall(text)))
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers; a null is empty."""
