@@ -217,33 +217,29 @@ def _walk(frames: Iterator[pd.DataFrame], distance: int) -> Iterator[pd.DataFram
 
 def near_links(classes: DataFrame, distance: int = DISTANCE) -> DataFrame:
     """Links ``a``, ``b`` that connect all fingerprints ``fp`` within ``distance`` bits."""
+    spark = classes.sparkSession
     full = (1 << BITS) - 1
-    # A trie is named by the bits on which its members agree and the members' value there.
-    dealt = [(full, classes.select("fp"))]
     found = None
-    while dealt:
-        free, rows = dealt.pop()
-        tries = [(free & ~block, full & ~free | block) for block in _blocks(free, distance + 1)]
-        copies = F.explode(
-            F.array(
-                *(
-                    F.struct(
-                        F.lit(_signed(agreed)).alias("trie"),
-                        F.col("fp").bitwiseAND(F.lit(_signed(agreed))).alias("value"),
-                    )
-                    for _, agreed in tries
-                )
-            )
+    # Members of a trie agree on the bits ``trie``, where they all have ``value``.
+    rows, agreed = classes.select("fp", F.lit(0).cast("long").alias("agreed")), [0]
+    while agreed:
+        masks = [
+            (bits, _signed(bits & full | block))
+            for bits in agreed
+            for block in _blocks(full & ~bits, distance + 1)
+        ]
+        masks = spark.createDataFrame(masks, "agreed long, trie long")
+        named = rows.join(F.broadcast(masks), "agreed").select(
+            "fp", "trie", F.col("fp").bitwiseAND(F.col("trie")).alias("value")
         )
-        named = rows.select("fp", copies.alias("t")).select("fp", "t.trie", "t.value")
         counts = named.groupBy("trie", "value").agg(F.count("*").alias("n"))
         crowded = stash(counts.where(F.col("n") > TRIE_MEMBERS).select("trie", "value"), "crowded")
-        masks = [r.trie for r in crowded.select("trie").distinct().collect()]  # one per block
-        if masks:
-            for left, agreed in tries:
-                if _signed(agreed) in masks:
-                    own = named.where(F.col("trie") == _signed(agreed))
-                    dealt.append((left, stash(own.join(crowded, ["trie", "value"], "left_semi").select("fp"), "dealt")))
+        # Each level agrees on a fifth more of the bits that are left: a few masks at most.
+        agreed = [r.trie for r in crowded.select("trie").distinct().collect()]
+        rows = None
+        if agreed:
+            apart = named.join(crowded, ["trie", "value"], "left_semi")
+            rows = stash(apart.select("fp", F.col("trie").alias("agreed")), "dealt")
             named = named.join(crowded, ["trie", "value"], "left_anti")
         walked = (
             named.repartition("trie", "value")
