@@ -48,11 +48,11 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return substring_dedup.dedup(docs).select(
-        "doc_id",
-        "_dedup.n_bytes",
-        "_dedup.n_removed",
-        "_dedup.n_spans",
-        F.sha2("_dedup.kept", 256).alias("kept_sha256"),
+        "row.doc_id",
+        "n_bytes",
+        "n_removed",
+        "n_spans",
+        F.sha2("kept", 256).alias("kept_sha256"),
     )
 
 

@@ -15,7 +15,8 @@ smaller id, or earlier in the same one) is removed, all judged on the input.
    left; the common prefixes of neighbours in both orders say for every window of every run which
    other runs hold it. The first holder keeps it.
 3. *Boundaries.* Suffixes with the k-gram of a bucket's first or last one may go on in the next
-   bucket, so their windows are compared across buckets, by 128-bit digest and pre-aggregated.
+   bucket, so those of their windows that are first in the bucket are compared across buckets, by
+   128-bit digest and pre-aggregated.
 
 Rows with equal ids are documents in the order of a hash of their text; rows equal in both are one
 document, and each gets its result. A null id is smaller than all others. A null text is empty.
@@ -250,26 +251,26 @@ def _marks(rows: pd.DataFrame, later: np.ndarray, length: int) -> pd.DataFrame:
 
 
 def _sorted(frames: Iterator[pd.DataFrame], length: int, gram: int) -> Iterator[pd.DataFrame]:
-    """Settle a bucket: spans without digest, and windows at its ends with theirs."""
+    """Settle a bucket: spans without digest; first windows of the groups at its ends with theirs."""
     whole = [frame for frame in frames if len(frame)]
     if not whole:
         return
     rows = pd.concat(whole, ignore_index=True)
+    later = bucket(rows, length)
+    yield _marks(rows, later, length).assign(high=None, low=None)
     heads = [own[:gram] for own in rows["right"]]
     ends = {min(heads), max(heads)}
-    open_ = np.array([head in ends for head in heads])
-    inner = rows[~open_].reset_index(drop=True)
-    if len(inner):
-        marks = _marks(inner, bucket(inner, length), length)
-        yield marks.assign(high=None, low=None)
     found = []
-    for own in rows[open_].itertuples():
-        text = own.left + own.right
-        for k in range(own.more + 1):
-            high, low = np.frombuffer(
-                blake2b(text[k : k + length], digest_size=16).digest(), np.int64
-            ).tolist()
-            found.append((own.doc, own.start + k, own.start + k + length, high, low))
+    for at in [at for at, head in enumerate(heads) if head in ends]:
+        own = rows.iloc[at]
+        text = own["left"] + own["right"]
+        for k in range(own["more"] + 1):
+            if later[at, own["ahead"] - k]:
+                continue
+            digest = blake2b(text[k : k + length], digest_size=16).digest()
+            high, low = np.frombuffer(digest, np.int64).tolist()
+            start = int(own["start"]) + k
+            found.append((own["doc"], start, start + length, high, low))
         if len(found) >= 100_000:
             yield pd.DataFrame(found, columns=["doc", "start", "stop", "high", "low"])
             found = []
@@ -302,33 +303,32 @@ def _contexts(frames: Iterator[pd.DataFrame], length: int) -> Iterator[pd.DataFr
         yield pd.DataFrame(found, columns=["right", "left", "doc", "start", "more", "ahead"])
 
 
-def _numbered(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """``docs`` with a number ``_doc`` in document order.
+def _numbered(rows: DataFrame) -> DataFrame:
+    """Rows with ``key`` and ``text``, and a number ``doc`` in document order.
 
     An id that is an integer and that no two rows share is that number.
     """
-    ids = docs.select(F.col(key).alias("key"))
-    integer = ids.schema["key"].dataType.simpleString() in ("bigint", "int", "smallint", "tinyint")
-    if integer:
-        twice = ids.groupBy("key").agg(F.count("*").alias("n")).where("n > 1 OR key IS NULL")
+    if rows.schema["key"].dataType.simpleString() in ("bigint", "int", "smallint", "tinyint"):
+        twice = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1 OR key IS NULL")
         if twice.isEmpty():
-            return docs.withColumn("_doc", F.col(key).cast("long"))
-    tie = F.xxhash64(F.col(text))
+            return rows.withColumn("doc", F.col("key").cast("long"))
+    tied = rows.withColumn("tie", F.xxhash64("text"))
     known = (
-        docs.select(F.col(key).alias("_key"), tie.alias("_tie"))
+        tied.select(F.col("key").alias("own"), F.col("tie").alias("own_tie"))
         .distinct()
-        .repartitionByRange("_key", "_tie")
-        .sortWithinPartitions("_key", "_tie")
-        .withColumn("_doc", F.monotonically_increasing_id())
+        .repartitionByRange("own", "own_tie")
+        .sortWithinPartitions("own", "own_tie")
+        .withColumn("doc", F.monotonically_increasing_id())
     )
     known = stash(known, "document_numbers")
-    on = docs[key].eqNullSafe(known["_key"]) & (tie == known["_tie"])
-    return docs.join(known, on).drop("_key", "_tie")
+    return tied.join(
+        known, tied["key"].eqNullSafe(known["own"]) & (tied["tie"] == known["own_tie"])
+    ).drop("own", "own_tie", "tie")
 
 
-def spans(docs: DataFrame, text: str, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """``doc`` and the ``start`` and ``stop`` of spans to remove, from rows with a number ``_doc``."""
-    rows = docs.select(F.col("_doc").alias("doc"), F.col(text).alias("text"))
+def spans(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+    """``doc`` and the ``start`` and ``stop`` of spans to remove, from ``doc`` and ``text``."""
+    rows = rows.select("doc", "text")
     anchors = rows.mapInPandas(
         lambda frames: _sampled(frames, length, gram), "gram long, run long, doc long, place long"
     ).repartition("gram")
@@ -388,16 +388,19 @@ def _kept(raw: bytes, starts: np.ndarray, stops: np.ndarray) -> tuple[bytes, int
 
 
 def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """All columns of ``docs``, and a struct ``_dedup`` of n_bytes, n_removed, n_spans and kept bytes."""
-    numbered = _numbered(docs, key, text)
+    """``row`` (the input's columns but the text), n_bytes, n_removed, n_spans and kept bytes."""
+    others = [F.col(c) for c in docs.columns if c != text]
+    rows = _numbered(
+        docs.select(F.struct(*others).alias("row"), F.col(key).alias("key"), F.col(text).alias("text"))
+    )
     found = (
-        spans(numbered, text)
+        spans(rows)
         .groupBy("doc")
-        .agg(F.collect_list(F.struct("start", "stop")).alias("_spans"))
+        .agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
         .select(
-            F.col("doc").alias("_span_doc"),
-            F.transform("_spans", lambda s: s["start"]).alias("_starts"),
-            F.transform("_spans", lambda s: s["stop"]).alias("_stops"),
+            "doc",
+            F.transform("spans", lambda s: s["start"]).alias("starts"),
+            F.transform("spans", lambda s: s["stop"]).alias("stops"),
         )
     )
 
@@ -412,12 +415,10 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
 
     result = F.pandas_udf(cut, "n_bytes long, n_removed long, n_spans long, kept binary")
     zipped = F.pandas_udf(_zipped, "binary")
-    joined = numbered.withColumn(text, zipped(F.col(text))).join(
-        found, F.col("_doc") == F.col("_span_doc"), "left"
+    joined = rows.select("row", "doc", zipped("text").alias("zipped")).join(found, "doc", "left")
+    return joined.select("row", result("zipped", "starts", "stops").alias("result")).select(
+        "row", "result.*"
     )
-    return joined.select(
-        *(F.col(c) for c in docs.columns if c != text), F.col(text).alias("_zipped"), "_starts", "_stops"
-    ).select(*(c for c in docs.columns if c != text), result("_zipped", "_starts", "_stops").alias("_dedup"))
 
 
 def keep(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -429,5 +430,7 @@ def keep(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     def read(kept: pd.Series) -> pd.Series:
         return kept.map(lambda raw: raw.decode(errors="ignore"))
 
-    written = F.pandas_udf(read, "string")(F.col("_dedup.kept")).alias(text)
-    return dedup(docs, key, text).select(*(written if c == text else F.col(c) for c in docs.columns))
+    written = F.pandas_udf(read, "string")("kept").alias(text)
+    return dedup(docs, key, text).select(
+        *(written if c == text else F.col("row").getField(c).alias(c) for c in docs.columns)
+    )
