@@ -41,7 +41,7 @@ LENGTH = 100
 #: Bytes of an anchor's k-gram. Shorter ones are fewer, longer ones recur less by chance.
 GRAM = 32
 #: Bytes of text that are hashed at once.
-BATCH = 2_000_000
+BATCH = 500_000
 #: Segments that multikey quicksort leaves to a plain sort.
 SMALL = 64
 
