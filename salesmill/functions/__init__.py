@@ -1,19 +1,13 @@
 from salesmill.functions.columns import (
-    exact_sum,
-    from_units,
     margin_pct,
     parse_sales_date,
     percent_of,
     plain_number,
-    to_units,
 )
 
 __all__ = [
-    "exact_sum",
-    "from_units",
     "margin_pct",
     "parse_sales_date",
     "percent_of",
     "plain_number",
-    "to_units",
 ]

@@ -2,19 +2,16 @@
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from salesmill.schema import DATE_FORMAT
 
-_LOW_BITS = 20
-
 
 def parse_sales_date(text: Column) -> Column:
-    """Date of an ``M/d/yyyy`` text; null, not an error, where it is no date."""
-    return F.try_to_date(text, DATE_FORMAT)
+    """Date of an ``M/d/yyyy`` or ISO text; null, not an error, where it is no date."""
+    iso = F.when(text.rlike("^\\s*\\d{4}-\\d{1,2}-\\d{1,2}\\s*$"), text.try_cast("date"))
+    return F.coalesce(F.try_to_date(text, DATE_FORMAT), iso)
 
 
 def percent_of(part: Column, whole: Column) -> Column:
@@ -26,35 +23,20 @@ def margin_pct(profit: Column, revenue: Column) -> Column:
     return percent_of(profit, revenue)
 
 
-def to_units(value: Column, digits: int) -> Column:
-    """A number with at most ``digits`` decimals as a whole number of its last digit.
-
-    The double nearest to such a number, scaled, lies well within half a unit of the whole
-    number meant (for money, up to 11 places before the point), so ``rint`` finds it.
-    """
-    return F.rint(value.cast("double") * 10**digits).cast("bigint")
-
-
-def exact_sum(units: Column) -> Column:
-    """Sum of whole numbers: the same in any order, and past the range of a bigint.
+def plain_number(value: Column) -> Column:
+    """A double as text without an exponent, as spreadsheets and other databases write it.
 
-    High and low bits are summed as two bigints and put together once per group. That stays
-    in primitive arithmetic, where summing wide decimals allocates objects per row. There is
-    room for 2^43 rows and a sum of 2^83 units.
+    Spark writes ``d.ddEn`` from 1e7 on and below 1e-3; the digits are the shortest that read back as
+    the same double, so only the point has to move.
     """
-    high = F.sum(F.shiftright(units, _LOW_BITS)).cast("decimal(20,0)")
-    low = F.sum(units.bitwiseAND(2**_LOW_BITS - 1)).cast("decimal(20,0)")
-    return high * F.lit(Decimal(2**_LOW_BITS)) + low
-
-
-def from_units(total: Column, digits: int) -> Column:
-    """A sum of units as a double, rounded once."""
-    return (total * F.lit(Decimal(1).scaleb(-digits))).cast("double")
-
-
-def plain_number(value: Column) -> Column:
-    """A double as text without an exponent, as spreadsheets and other databases write it."""
-    digits = F.rtrim(value.try_cast("decimal(38,10)").cast("string"), F.lit("0"))
-    plain = F.when(digits.endswith("."), F.concat(digits, F.lit("0"))).otherwise(digits)
-    # From 1e7 on a double has at most ten decimals; below it Spark writes no exponent.
-    return F.when(F.abs(value).between(1e7, 1e20), plain).otherwise(value.cast("string"))
+    text = value.cast("string")
+    sign = F.when(text.startswith("-"), "-").otherwise("")
+    lead = F.regexp_extract(text, r"(\d)\.\d+E", 1)
+    rest = F.regexp_replace(F.regexp_extract(text, r"\.(\d+)E", 1), "^0$", "")
+    power = F.regexp_extract(text, r"E(-?\d+)$", 1).try_cast("int")
+    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -power - 1), lead, rest)
+    whole = F.concat(lead, F.left(F.rpad(rest, F.greatest(power, F.lit(1)), "0"), power))
+    point = F.substring(rest, power + 1, F.length(rest))
+    large = F.concat(whole, F.lit("."), F.when(point != "", point).otherwise("0"))
+    moved = F.concat(sign, F.when(power < 0, small).otherwise(large))
+    return F.when(power.isNull(), text).otherwise(moved)

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from salesmill.sources.scratch import scratch_dir
 
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 #: What separates words: space, tab, line feed, vertical tab, form feed, carriage return.
 BLANKS = " \t\n\x0b\f\r"
 
@@ -26,7 +27,10 @@ def _archive() -> str:
 
 
 def ship(spark: SparkSession) -> None:
-    """Let Spark hand this package to its Python workers, wherever they run."""
+    """Let Spark hand this package to its Python workers, wherever they run, in small batches."""
+    # Texts are large: batches of the default 10,000 rows would fill the memory of a worker.
+    if spark.conf.get(_BATCH_ROWS) == "10000":
+        spark.conf.set(_BATCH_ROWS, "2000")
     context = spark.sparkContext
     if not any(name.endswith(Path(_archive()).name) for name in context._python_includes):
         context.addPyFile(_archive())

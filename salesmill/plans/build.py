@@ -2,19 +2,35 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from salesmill.plans.clean import clean
-from salesmill.plans.kpi import null_dates_from_one_pass, one_pass, tables_from_one_pass
-from salesmill.sources.sales_csv import read_sales_csv
+from salesmill.plans.kpi import (
+    KPIS,
+    kpi_order,
+    null_dates_from_one_pass,
+    one_pass,
+    tables_from_one_pass,
+)
+from salesmill.sources.sales_csv import (
+    inferred_types,
+    read_sales_text,
+    reject_counts,
+    typed_sales,
+)
 from salesmill.sources.sinks import (
     publish_tables,
+    read_tables_parquet,
     write_parquet,
     write_tables_csv,
     write_tables_parquet,
 )
 
 
+class RejectedFields(ValueError):
+    """Fields that do not convert, or malformed lines, where the caller asked for none."""
+
+
 def run(
     spark: SparkSession,
     input_path: str,
@@ -23,23 +39,43 @@ def run(
     partition_by: str | None = None,
     csv: bool = False,
     database: str | None = None,
+    on_reject: str = "count",
 ) -> dict[str, DataFrame]:
     """Write everything under ``out_dir`` and return the tables, read from there.
 
-    The text files are parsed once. The cleaned fact is written and read back as Parquet
-    instead of cached: it survives lost executors, and later scans read only the columns
-    they need. All KPI tables come from one scan of it; the rest works on group rows.
+    The text files are parsed once; that pass also counts what does not convert (``rejects``, and
+    with ``on_reject="fail"`` an error before any table is built). The cleaned fact is written and
+    read back as Parquet instead of cached: it survives lost executors, and later scans read only
+    the columns they need. All KPI tables come from one scan of it; the rest works on group rows.
     """
-    cleaned = clean(read_sales_csv(spark, input_path, infer))
+    seen = Observation("rejects")
+    text = read_sales_text(spark, input_path)
+    counts = reject_counts(text)
+    watched = text.observe(seen, *(count.alias(name) for name, count in counts.items()))
+    raw = typed_sales(watched, inferred_types(spark, input_path) if infer else None)
+    cleaned = clean(raw)
     write_parquet(cleaned, f"{out_dir}/cleaned_parquet", partition_by)
+    rejected = seen.get
+    if on_reject == "fail" and any(rejected.values()):
+        raise RejectedFields(f"rejected: { {k: v for k, v in rejected.items() if v} }")
     # The schema is stated because partition values are otherwise typed by their text.
     fact = spark.read.schema(cleaned.schema).parquet(f"{out_dir}/cleaned_parquet")
     write_parquet(one_pass(fact), f"{out_dir}/kpi_parts_parquet")
     parts = spark.read.parquet(f"{out_dir}/kpi_parts_parquet")
-    tables = tables_from_one_pass(parts)
-    write_tables_parquet(tables, out_dir)
+    # Parquet keeps no order, so none is made.
+    write_tables_parquet(tables_from_one_pass(parts, ordered=False), out_dir)
+    tables = {
+        name: table.orderBy(*kpi_order(KPIS[name])) if KPIS[name].key else table
+        for name, table in read_tables_parquet(spark, out_dir).items()
+    }
     if csv:
         write_tables_csv(tables, out_dir)
     if database:
         publish_tables(spark, out_dir, database)
-    return {"cleaned": fact, "null_dates": null_dates_from_one_pass(parts), **tables}
+    rejects = spark.createDataFrame(list(rejected.items()), "column_name string, rejected long")
+    return {
+        "cleaned": fact,
+        "null_dates": null_dates_from_one_pass(parts),
+        "rejects": rejects,
+        **tables,
+    }

@@ -1,7 +1,6 @@
 """The KPI tables of the cleaned fact.
 
-Every measure is built from parts that add up exactly (counts and sums of whole numbers),
-so a table can be aggregated from the fact directly (``kpi_table``) or taken out of one
+Every measure is built from parts that add up exactly (counts and sums of decimals), so a table can be aggregated from the fact directly (``kpi_table``) or taken out of one
 shared scan (``one_pass``), with the same result bit for bit.
 """
 
@@ -12,8 +11,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from salesmill.functions import exact_sum, from_units, to_units
 from salesmill.operators.ranking import by_measure
 from salesmill.schema import MONEY
 
@@ -97,8 +96,8 @@ _PART_INPUT = {
     "null_order_dates": "order_date",
     "null_ship_dates": "ship_date",
 }
-# Parts summed in units of the last decimal -> the number of decimals.
-_PART_DIGITS = {"revenue": MONEY.scale, "profit": MONEY.scale, "margin_total": 2}
+# Parts summed as decimals -> their type. Margins have two decimals.
+_PART_TYPES = {"revenue": MONEY, "profit": MONEY, "margin_total": T.DecimalType(38, 2)}
 
 
 def _part_value(name: str) -> Column:
@@ -106,29 +105,26 @@ def _part_value(name: str) -> Column:
     if name == "n":
         return F.lit(1).alias(name)
     value = F.col(_PART_INPUT[name])
-    if name in _PART_DIGITS:
-        value = to_units(value, _PART_DIGITS[name])
+    if name in _PART_TYPES:
+        value = value.cast(_PART_TYPES[name])
     elif name.startswith("null_"):
         value = value.isNull()
     return value.alias(name)
 
 
 def _part(name: str) -> Column:
-    if name in _PART_DIGITS:
-        part = exact_sum(F.col(name))
-    elif name.startswith("null_"):
+    if name.startswith("null_"):
         part = F.count_if(F.col(name))
     else:
-        part = F.sum(name) if name == "units" else F.count(name)
+        part = F.sum(name) if name == "units" or name in _PART_TYPES else F.count(name)
     return part.alias(name)
 
 
 def _measure(name: str) -> Column:
     if name == "margin":
-        total = from_units(F.col("margin_total"), _PART_DIGITS["margin_total"])
-        return F.try_divide(total, F.col("margin_n"))
+        return F.try_divide(F.col("margin_total").cast("double"), F.col("margin_n"))
     (part,) = _MEASURE_PARTS[name]
-    return from_units(F.col(part), _PART_DIGITS[part]) if part in _PART_DIGITS else F.col(part)
+    return F.col(part).cast("double") if part in _PART_TYPES else F.col(part)
 
 
 def _group_column(key: str) -> Column:
@@ -280,3 +276,16 @@ def one_pass_report(parts: DataFrame) -> DataFrame:
 
 def null_dates_from_one_pass(parts: DataFrame) -> DataFrame:
     return _total_parts(parts).select("null_order_dates", "null_ship_dates")
+
+
+def kpi_schema(kpi: Kpi) -> T.StructType:
+    """The columns of a table, so that reading one back needs no look into its files."""
+    whole = ("orders", "units")
+    fields = [T.StructField(kpi.key, T.StringType())] if kpi.key else []
+    return T.StructType(
+        fields
+        + [
+            T.StructField(column, T.LongType() if measure in whole else T.DoubleType())
+            for column, measure in kpi.measures.items()
+        ]
+    )

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-MONEY = T.DecimalType(14, 4)
+#: Twenty digits before the point hold any amount that a double holds to the unit; a sum has ten more.
+MONEY = T.DecimalType(28, 8)
 
 # Raw header, cleaned name, type.
 SALES_COLUMNS: list[tuple[str, str, T.DataType]] = [
@@ -16,7 +17,7 @@ SALES_COLUMNS: list[tuple[str, str, T.DataType]] = [
     ("Order Date", "order_date", T.StringType()),
     ("Order ID", "order_id", T.LongType()),
     ("Ship Date", "ship_date", T.StringType()),
-    ("Units Sold", "units_sold", T.IntegerType()),
+    ("Units Sold", "units_sold", T.LongType()),
     ("Unit Price", "unit_price", MONEY),
     ("Unit Cost", "unit_cost", MONEY),
     ("Total Revenue", "total_revenue", MONEY),

@@ -2,10 +2,75 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from salesmill.schema import RAW_TYPES
+from salesmill.functions import parse_sales_date
+from salesmill.schema import RAW_TYPES, RENAME
+
+#: Holds the text of a line with too few or too many fields.
+MALFORMED = "_malformed_line"
+_DATES = ("Order Date", "Ship Date")
+_CSV = {"header": True, "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": MALFORMED}
+
+
+def read_sales_text(spark: SparkSession, path: str, **options: str) -> DataFrame:
+    """The fields of headed CSV files as text, in the order of the header, and ``MALFORMED``.
+
+    Only the header line is read beforehand. Each file's header is checked against it, so a file
+    with another column order fails instead of filling the wrong columns.
+    """
+    reader = spark.read.options(**_CSV).options(**options)
+    headers = [h for h in reader.csv(path).columns if h != MALFORMED]
+    fields = [T.StructField(h, T.StringType()) for h in [*headers, MALFORMED]]
+    return reader.schema(T.StructType(fields)).option("enforceSchema", False).csv(path)
+
+
+def _converted(header: str, dtype: T.DataType) -> Column:
+    return F.col(f"`{header}`").try_cast(dtype)
+
+
+def reject_counts(text: DataFrame) -> dict[str, Column]:
+    """Aggregates: fields per column that are there but do not convert, and malformed lines."""
+    counts = {}
+    for header in text.columns:
+        value = F.col(f"`{header}`")
+        if header in _DATES:
+            fits = parse_sales_date(value)
+        elif RAW_TYPES.get(header, T.StringType()) != T.StringType():
+            fits = _converted(header, RAW_TYPES[header])
+        else:
+            continue
+        bad = value.isNotNull() & (F.trim(value) != "") & fits.isNull()
+        counts[RENAME[header]] = F.count_if(bad)
+    counts["malformed_lines"] = F.count_if(F.col(MALFORMED).isNotNull())
+    return counts
+
+
+def rejects(text: DataFrame) -> DataFrame:
+    """One row per typed column, and one for malformed lines: how many fields were rejected."""
+    counts = reject_counts(text)
+    row = text.agg(*(count.alias(name) for name, count in counts.items()))
+    return row.unpivot([], list(counts), "column_name", "rejected")
+
+
+def typed_sales(text: DataFrame, extra: dict[str, T.DataType] | None = None) -> DataFrame:
+    """Known columns in their types; what does not convert is null. Dates stay text."""
+    types = {**(extra or {}), **RAW_TYPES}
+    return text.select(
+        *(
+            _converted(h, types.get(h, T.StringType())).alias(h)
+            for h in text.columns
+            if h != MALFORMED
+        )
+    )
+
+
+def inferred_types(spark: SparkSession, path: str, **options: str) -> dict[str, T.DataType]:
+    """What Spark infers for the columns whose type is not known."""
+    guessed = spark.read.options(header=True, escape='"', inferSchema=True, **options).csv(path)
+    return {f.name: f.dataType for f in guessed.schema if f.name not in RAW_TYPES}
 
 
 def read_sales_csv(
@@ -13,17 +78,9 @@ def read_sales_csv(
 ) -> DataFrame:
     """Sales rows of headed CSV files under ``path``.
 
-    Types come from the known headers, in whatever order the file has them; unknown columns
-    are read as text. Only the header line is read beforehand, where ``infer=True`` costs a
-    pass over all the data. Each file's header is checked against the schema, so a file with
-    another column order fails instead of filling the wrong columns. Fields that do not fit
-    their type become null (pass ``mode="FAILFAST"`` to stop on them).
+    Known headers have known types, in whatever order a file has them; other columns are text, or
+    with ``infer=True``, which costs a pass over all the data, what Spark infers for them. Fields
+    that do not convert become null; ``rejects`` counts them.
     """
-    reader = spark.read.option("header", True).options(**options)
-    if infer:
-        return reader.option("inferSchema", True).csv(path)
-    headers = reader.csv(path).columns
-    schema = T.StructType(
-        [T.StructField(h, RAW_TYPES.get(h, T.StringType())) for h in headers]
-    )
-    return reader.schema(schema).option("enforceSchema", False).csv(path)
+    extra = inferred_types(spark, path, **options) if infer else None
+    return typed_sales(read_sales_text(spark, path, **options), extra)

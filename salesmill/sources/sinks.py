@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from salesmill.functions import plain_number
-from salesmill.plans.kpi import KPIS, kpi_order
+from salesmill.plans.kpi import KPIS, kpi_order, kpi_schema
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: str | None = None) -> None:
@@ -27,28 +26,47 @@ def write_parquet(df: DataFrame, path: str, partition_by: str | None = None) ->
         df.write.mode("overwrite").parquet(path)
 
 
-def write_csv(
-    df: DataFrame, path: str, single_file: bool = False, order: Sequence[Column] = ()
-) -> None:
-    """Replace ``path`` with headed UTF-8 CSV; doubles are written without exponents.
+# Text comes back as it was: quotes are doubled, blanks stay, null is not the empty text.
+_CSV = {
+    "header": True,
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
+#: What unquoted nothing is read as, so that it differs from a quoted empty text.
+_NOTHING = "\u0000"
 
-    ``single_file``, with its row ``order``, is for the KPI tables, which have one row per
-    group; a fact is written by all tasks.
-    """
-    if single_file:
-        df = df.coalesce(1)
-        if order:
-            df = df.sortWithinPartitions(*order)
+
+def write_csv(df: DataFrame, path: str) -> None:
+    """Replace the folder ``path`` with headed UTF-8 CSV; doubles are written without exponents."""
     columns = [
         plain_number(F.col(f.name)).alias(f.name) if f.dataType == T.DoubleType() else f.name
         for f in df.schema
     ]
-    df.select(*columns).write.mode("overwrite").option("header", True).csv(path)
+    writer = df.select(*columns).write.mode("overwrite").options(**_CSV)
+    writer.option("nullValue", "").option("emptyValue", '""').csv(path)
+
+
+def _write_csv_file(table: DataFrame, path: str, order: Sequence[Column]) -> None:
+    """One file at ``path``, for KPI tables only: one task writes it, and it is moved into place."""
+    spark = table.sparkSession
+    ordered = table.coalesce(1)
+    parts = f"{path}.parts"
+    write_csv(ordered.sortWithinPartitions(*order) if order else ordered, parts)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    folder, target = hadoop.Path(parts), hadoop.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    (written,) = files.globStatus(hadoop.Path(f"{parts}/part-*.csv"))
+    files.delete(target, True)
+    if not files.rename(written.getPath(), target):
+        raise OSError(f"cannot move {written.getPath()} to {path}")
+    files.delete(folder, True)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """CSV back under an explicit schema; inference would read months as timestamps."""
-    return spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path)
+    reader = spark.read.schema(schema).options(**_CSV).option("enforceSchema", False)
+    return reader.option("multiLine", True).option("nullValue", _NOTHING).csv(path)
 
 
 def write_tables_parquet(tables: Mapping[str, DataFrame], out_dir: str) -> None:
@@ -57,13 +75,20 @@ def write_tables_parquet(tables: Mapping[str, DataFrame], out_dir: str) -> None:
 
 
 def read_tables_parquet(spark: SparkSession, out_dir: str) -> dict[str, DataFrame]:
-    return {name: spark.read.parquet(f"{out_dir}/{name}_parquet") for name in KPIS}
+    return {
+        name: spark.read.schema(kpi_schema(kpi)).parquet(f"{out_dir}/{name}_parquet")
+        for name, kpi in KPIS.items()
+    }
 
 
 def write_tables_csv(tables: Mapping[str, DataFrame], out_dir: str) -> None:
+    """One headed file ``csv/<table>.csv`` per table, rows in the table's order."""
     for name, table in tables.items():
-        order = kpi_order(KPIS[name])
-        write_csv(table, f"{out_dir}/csv/{name}.csv", single_file=True, order=order)
+        _write_csv_file(table, f"{out_dir}/csv/{name}.csv", kpi_order(KPIS[name]))
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def publish_tables(
@@ -71,18 +96,24 @@ def publish_tables(
 ) -> None:
     """Make the tables written by ``write_tables_parquet`` readable by name in ``database``.
 
-    The tables lie over the written files: nothing is copied, and publishing again after a
-    new run replaces them. ``location`` is the folder of a database created here.
+    The tables lie over the written files: nothing is copied. Publish a new run from a new folder:
+    each name is then pointed there at once, and readers of the old files are not disturbed.
+    ``location`` is the folder of a database created here.
     """
-    where = f" LOCATION '{location}'" if location else ""
+    where = f" LOCATION {_quoted(location)}" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`{where}")
-    for name in KPIS:
-        written = spark.read.parquet(f"{out_dir}/{name}_parquet")
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    for name, kpi in KPIS.items():
         # A catalog takes relative paths from its own folder, so the full one is looked up.
-        folder = unquote(written.inputFiles()[0].rpartition("/")[0])
+        folder = hadoop.Path(f"{out_dir}/{name}_parquet")
+        files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+        full = files.makeQualified(folder).toString()
         table = f"`{database}`.`{name}`"
-        spark.sql(f"DROP TABLE IF EXISTS {table}")
-        spark.catalog.createTable(table, path=folder, source="parquet", schema=written.schema)
+        if spark.catalog.tableExists(f"{database}.{name}"):
+            spark.sql(f"ALTER TABLE {table} SET LOCATION {_quoted(full)}")
+            spark.catalog.refreshTable(table)
+        else:
+            spark.catalog.createTable(table, path=full, source="parquet", schema=kpi_schema(kpi))
 
 
 def mart_tables(spark: SparkSession, database: str = "kpi") -> dict[str, DataFrame]:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesmill.plans.clean import add_profit_margin, add_time_features
-from salesmill.schema import CLEANED_SCHEMA, DATE_COLUMNS, DATE_FORMAT, RENAME
+from salesmill.schema import CLEANED_SCHEMA, DATE_COLUMNS, DATE_FORMAT, MONEY, RENAME
 
 # Prices have two decimals: products of whole cents and percents are exact, and far cheaper
 # than decimals made from doubles, which go through text.
@@ -19,7 +19,7 @@ _COST = "cast(rint(p_retailprice * 100) as bigint) * cast(l_quantity as bigint)
 
 
 def _money(units: str) -> str:
-    return f"cast(cast({units} as decimal(14,0)) * 0.0001BD as decimal(14,4))"
+    return f"cast(cast({units} as decimal(18,0)) * 0.0001BD as {MONEY.simpleString()})"
 
 
 # Fact column -> expression over the star schema, and the lookup tables it needs.
@@ -32,9 +32,9 @@ _COLUMNS: dict[str, tuple[str, tuple[str, ...]]] = {
     "order_date": ("cast(o_orderdate as date)", ("orders",)),
     "order_id": ("l_orderkey", ()),
     "ship_date": ("cast(l_shipdate as date)", ()),
-    "units_sold": ("cast(l_quantity as int)", ()),
-    "unit_price": ("cast(l_extendedprice as decimal(14,4))", ()),
-    "unit_cost": ("cast(p_retailprice as decimal(14,4))", ("part",)),
+    "units_sold": ("cast(l_quantity as bigint)", ()),
+    "unit_price": (f"cast(l_extendedprice as {MONEY.simpleString()})", ()),
+    "unit_cost": (f"cast(p_retailprice as {MONEY.simpleString()})", ("part",)),
     "total_revenue": (_money(_REVENUE), ()),
     "total_cost": (_money(_COST), ("part",)),
     "total_profit": (_money(f"{_REVENUE} - {_COST}"), ("part",)),
