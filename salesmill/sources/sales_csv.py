@@ -12,7 +12,14 @@ from salesmill.schema import RAW_TYPES, RENAME
 #: Holds the text of a line with too few or too many fields.
 MALFORMED = "_malformed_line"
 _DATES = ("Order Date", "Ship Date")
-_CSV = {"header": True, "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": MALFORMED}
+_CSV = {
+    "header": True,
+    "escape": '"',
+    "mode": "PERMISSIVE",
+    "columnNameOfCorruptRecord": MALFORMED,
+    # Reading fewer columns, the parser would not see that a line is too short or too long.
+    "columnPruning": False,
+}
 
 
 def read_sales_text(spark: SparkSession, path: str, **options: str) -> DataFrame:

@@ -56,8 +56,6 @@ def test_files_with_different_column_orders_are_refused(spark, tmp_path):
 def test_field_that_does_not_fit_is_null(spark, tmp_path):
     path = write_raw_csv(tmp_path / "s.csv", [csv_row(Units_Sold="ten"), csv_row()])
     assert [r[0] for r in collect(_cleaned(spark, path).select("units_sold"))] == [None, 10]
-    with pytest.raises(Exception, match="MALFORMED"):
-        _cleaned(spark, path, mode="FAILFAST").collect()
 
 
 def test_header_only(spark, tmp_path):
