@@ -74,14 +74,14 @@ def test_published_rankings(golden):  # noqa: F811
 # SQL of a user on the published tables: question, and SQL with the same answer.
 SQL = {
     "q01_best_month_revenue": """
-        FROM {db}.monthly_kpi
+        SELECT * FROM {db}.monthly_kpi
         WHERE monthly_revenue = (SELECT max(monthly_revenue) FROM {db}.monthly_kpi)""",
     "q04_channel_profit_share": """
         SELECT c.sales_channel, c.profit, round(100 * c.profit / t.whole, 2)
         FROM {db}.channel_kpi AS c
         CROSS JOIN (SELECT sum(profit) AS whole FROM {db}.channel_kpi) AS t
-        SORT BY c.profit DESC""",
-    "q11_snapshot": "FROM {db}.summary",
+        ORDER BY c.profit DESC""",
+    "q11_snapshot": "SELECT * FROM {db}.summary",
     "q12_growth_first_last": """
         SELECT lo, min_by(monthly_revenue, order_year_month), hi,
                max_by(monthly_revenue, order_year_month),
