@@ -8,7 +8,8 @@ smaller id, or earlier in the same one) is removed, all judged on the input.
    suffixes that start at anchors are enough. An anchor stands for a run of windows; hashes of the
    k-gram and of all bytes of the run go through one shuffle by k-gram. A run that occurs earlier as
    a whole is removed at once; a run that is the first of its kind goes on only if its k-gram also
-   occurs in other surroundings. Runs that recur inside a task are settled there and spread evenly,
+   occurs in other surroundings, and only with the windows whose bytes beside the k-gram occur with
+   it there. Runs that recur inside a task are settled there and spread evenly,
    so a passage that a third of all documents share costs a row per task, not per document.
 2. *Suffix array.* The remaining suffixes are dealt by sampled splitters over their leading bytes.
    Each bucket sorts them by multikey quicksort, from the anchor to the right and once more to the
@@ -32,7 +33,7 @@ from hashlib import blake2b
 import numpy as np
 import pandas as pd
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesmill.llm.common import pieces, stash
@@ -40,6 +41,8 @@ from salesmill.llm.common import pieces, stash
 LENGTH = 100
 #: Bytes of an anchor's k-gram. Shorter ones are fewer, longer ones recur less by chance.
 GRAM = 32
+#: Bytes on either side of a k-gram that are hashed: windows that hold them need them elsewhere too.
+SIDE = 12
 #: Bytes of text that are hashed at once.
 BATCH = 500_000
 #: Segments that multikey quicksort leaves to a plain sort.
@@ -78,9 +81,10 @@ def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
 def runs(data: bytes, ends: np.ndarray, length: int = LENGTH, gram: int = GRAM):
     """Runs of windows with one anchor, in texts that lie one after the other and stop at ``ends``.
 
-    Returns arrays: hash of the k-gram, hash of all bytes of the run, first and last window, anchor.
+    Returns arrays: hash of the k-gram, hash of all bytes of the run, hashes of the bytes before and
+    behind the k-gram in one number, first and last window, anchor.
     """
-    none = (np.zeros(0, np.uint64),) * 2 + (np.zeros(0, np.int64),) * 3
+    none = (np.zeros(0, np.uint64),) * 3 + (np.zeros(0, np.int64),) * 3
     n = len(data)
     if n < length:
         return none
@@ -106,7 +110,12 @@ def runs(data: bytes, ends: np.ndarray, length: int = LENGTH, gram: int = GRAM):
     anchor = anchor[new]
     shape = ((anchor - first) * 256 + (last - first)).astype(np.uint64)
     whole = _mixed((prefix[last + length] - prefix[first]) * inverse[first] + shape * np.uint64(_ODD))
-    return grams[anchor], whole, first, last, anchor
+    before = np.maximum(anchor - SIDE, 0)
+    left = _mixed((prefix[anchor] - prefix[before]) * inverse[before])
+    behind = anchor + gram
+    right = _mixed((prefix[np.minimum(behind + SIDE, n)] - prefix[behind]) * inverse[behind])
+    half = np.uint64(32)
+    return grams[anchor], whole, left >> half << half | right >> half, first, last, anchor
 
 
 def _batches(frame: pd.DataFrame) -> Iterator[tuple[bytes, np.ndarray, np.ndarray]]:
@@ -126,10 +135,10 @@ def _batches(frame: pd.DataFrame) -> Iterator[tuple[bytes, np.ndarray, np.ndarra
 
 
 def _sampled(frames: Iterator[pd.DataFrame], length: int, gram: int) -> Iterator[pd.DataFrame]:
-    """``gram``, ``run``, ``doc``, ``place``; runs that recur in a batch have no ``run`` but once."""
+    """``gram``, ``run``, ``sides``, ``doc``, ``place``; runs that recur in a batch have no ``run`` but once."""
     for frame in pieces(frames, "text", BATCH):
         for data, ends, docs in _batches(frame):
-            grams, whole, first, last, anchor = runs(data, ends, length, gram)
+            grams, whole, sides, first, last, anchor = runs(data, ends, length, gram)
             if not len(first):
                 continue
             text_of = np.searchsorted(ends, first, "right")
@@ -138,7 +147,7 @@ def _sampled(frames: Iterator[pd.DataFrame], length: int, gram: int) -> Iterator
             start = first - begins[text_of]
             place = start << 16 | (last - first) << 8 | anchor - first
             order = np.lexsort((place, doc, whole, grams))
-            grams, whole, doc, place = (x[order] for x in (grams, whole, doc, place))
+            grams, whole, sides, doc, place = (x[order] for x in (grams, whole, sides, doc, place))
             same = np.r_[False, (grams[1:] == grams[:-1]) & (whole[1:] == whole[:-1])]
             leader = np.maximum.accumulate(np.where(same, 0, np.arange(len(same))))
             later = same & ((doc != doc[leader]) | (place != place[leader]))
@@ -148,6 +157,7 @@ def _sampled(frames: Iterator[pd.DataFrame], length: int, gram: int) -> Iterator
                 {
                     "gram": np.where(later, spread, grams).view(np.int64),
                     "run": pd.arrays.IntegerArray(whole.view(np.int64), later),
+                    "sides": sides.view(np.int64),
                     "doc": doc,
                     "place": place,
                 }
@@ -330,20 +340,49 @@ def spans(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """``doc`` and the ``start`` and ``stop`` of spans to remove, from ``doc`` and ``text``."""
     rows = rows.select("doc", "text")
     anchors = rows.mapInPandas(
-        lambda frames: _sampled(frames, length, gram), "gram long, run long, doc long, place long"
+        lambda frames: _sampled(frames, length, gram),
+        "gram long, run long, sides long, doc long, place long",
     ).repartition("gram")
-    kind = Window.partitionBy("gram", "run")
-    every = Window.partitionBy("gram")
-    own = F.struct("doc", "place")
-    judged = anchors.select(
+    anchors = anchors.select(
+        "gram",
+        "run",
         "doc",
         "place",
-        (F.col("run").isNull() | (own != F.min(own).over(kind))).alias("later"),
-        (F.min("run").over(every) != F.max("run").over(every)).alias("many"),
+        F.shiftright("sides", 32).alias("left"),
+        F.col("sides").bitwiseAND(F.lit(0xFFFFFFFF)).alias("right"),
     )
-    judged = stash(judged.where("later OR many").select("doc", "place", "later"), "runs")
+
+    def elsewhere(*same: str) -> Column:
+        """Whether another run has the same k-gram, and the same bytes beside it."""
+        among = Window.partitionBy("gram", *same)
+        return F.min("run").over(among) != F.max("run").over(among)
+
+    own = F.struct("doc", "place")
+    earlier = own != F.min(own).over(Window.partitionBy("gram", "run"))
     start = F.shiftright("place", 16)
     more = F.shiftright("place", 8).bitwiseAND(F.lit(255))
+    ahead = F.col("place").bitwiseAND(F.lit(255))
+    judged = anchors.select(
+        "doc",
+        "place",
+        (F.col("run").isNull() | earlier).alias("later"),
+        # A window starts so many bytes before the anchor at most, and at least.
+        F.when(elsewhere("left"), ahead).otherwise(F.least(ahead, F.lit(SIDE - 1))).alias("most"),
+        F.when(elsewhere("right"), ahead - more)
+        .otherwise(F.greatest(ahead - more, F.lit(length - gram - SIDE + 1)))
+        .alias("least"),
+        elsewhere().alias("many"),
+    )
+    anchor = start + ahead
+    left_over = (
+        F.shiftleft(anchor - F.col("most"), 16)
+        .bitwiseOR(F.shiftleft(F.col("most") - F.col("least"), 8))
+        .bitwiseOR(F.col("most"))
+    )
+    judged = judged.where("later OR (many AND least <= most)").select(
+        "doc", F.when(F.col("later"), F.col("place")).otherwise(left_over).alias("place"), "later"
+    )
+    judged = stash(judged, "runs")
     known = judged.where("later").select("doc", start.alias("start"), (start + more + length).alias("stop"))
     asked = judged.where("NOT later").distinct().groupBy("doc").agg(F.collect_list("place").alias("places"))
     zipped = F.pandas_udf(_zipped, "binary")
