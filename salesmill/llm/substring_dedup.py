@@ -426,8 +426,13 @@ def _kept(raw: bytes, starts: np.ndarray, stops: np.ndarray) -> tuple[bytes, int
     return np.frombuffer(raw, np.uint8)[~gone].tobytes(), removed, runs_
 
 
-def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``row`` (the input's columns but the text), n_bytes, n_removed, n_spans and kept bytes."""
+def dedup(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", as_text: bool = False
+) -> DataFrame:
+    """``row`` (the input's columns but the text), n_bytes, n_removed, n_spans and kept bytes.
+
+    With ``as_text`` what is kept is text, without characters that have lost some of their bytes.
+    """
     others = [F.col(c) for c in docs.columns if c != text]
     rows = _numbered(
         docs.select(F.struct(*others).alias("row"), F.col(key).alias("key"), F.col(text).alias("text"))
@@ -449,10 +454,11 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
             raw = _raw(value)
             a, b = (np.zeros(0, np.int64) if x is None else np.asarray(x) for x in (a, b))
             kept, removed, runs_ = _kept(raw, a, b)
-            out.append((len(raw), removed, runs_, kept))
+            out.append((len(raw), removed, runs_, kept.decode(errors="ignore") if as_text else kept))
         return pd.DataFrame(out, columns=["n_bytes", "n_removed", "n_spans", "kept"])
 
-    result = F.pandas_udf(cut, "n_bytes long, n_removed long, n_spans long, kept binary")
+    kind = "string" if as_text else "binary"
+    result = F.pandas_udf(cut, f"n_bytes long, n_removed long, n_spans long, kept {kind}")
     zipped = F.pandas_udf(_zipped, "binary")
     joined = rows.select("row", "doc", zipped("text").alias("zipped")).join(found, "doc", "left")
     return joined.select("row", result("zipped", "starts", "stops").alias("result")).select(
@@ -465,11 +471,7 @@ def keep(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
 
     A character that loses some of its bytes goes as a whole. A null text becomes an empty one.
     """
-
-    def read(kept: pd.Series) -> pd.Series:
-        return kept.map(lambda raw: raw.decode(errors="ignore"))
-
-    written = F.pandas_udf(read, "string")("kept").alias(text)
-    return dedup(docs, key, text).select(
+    written = F.col("kept").alias(text)
+    return dedup(docs, key, text, as_text=True).select(
         *(written if c == text else F.col("row").getField(c).alias(c) for c in docs.columns)
     )
