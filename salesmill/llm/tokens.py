@@ -21,7 +21,7 @@ import pandas as pd
 
 ID = np.dtype("<u4")
 #: Parts that a worker remembers at most, about 200 bytes each; beyond that it starts anew.
-REMEMBERED = 500_000
+REMEMBERED = 800_000
 
 _LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ÿ"
 _PARTS = re.compile(f" ?[{_LETTERS}]+|(?: (?![{_LETTERS}])|[^ {_LETTERS}])+")
