@@ -43,12 +43,12 @@ def components(edges: DataFrame) -> DataFrame:
             ),
             "large_star",
         )
-        large = (
-            both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        )
+        large = both.where("b > a").join(least, "a")
+        large = large.select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = stash(large.distinct(), "edges")
         least = stash(large.groupBy("a").agg(F.min("b").alias("m")), "small_star")
-        small = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        small = large.join(least, "a").where("b <> m")
+        small = small.select(F.col("b").alias("a"), F.col("m").alias("b"))
         now = stash(least.select("a", F.col("m").alias("b")).unionByName(small).distinct(), "edges")
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
         now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()

@@ -75,7 +75,7 @@ def cut(sizes: list[int], shards: int) -> list[int]:
 def shard(
     docs: DataFrame, shards: int = 16, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """``key``, ``size`` (UTF-8 bytes and 1), ``text_crc32``, ``shard`` and ``slot`` of every row."""
+    """``key``, ``size`` (UTF-8 bytes and 1), ``text_crc32``, ``shard``, ``slot`` of every row."""
     value = F.coalesce(F.col(text), F.lit(""))
     rows = stash(
         docs.select(
@@ -92,8 +92,9 @@ def shard(
         "shard_rows",
     )
     # At most 16 ** ATOM_DIGITS rows.
-    atoms = sorted((r.atom, r.size) for r in rows.groupBy("atom").agg(F.sum("size").alias("size")).collect())
-    starts = [atoms[at][0] if at < len(atoms) else 16**ATOM_DIGITS for at in cut([s for _, s in atoms], shards)]
+    found = rows.groupBy("atom").agg(F.sum("size").alias("bytes")).orderBy("atom").collect()
+    names = [r["atom"] for r in found] + [16**ATOM_DIGITS]
+    starts = [names[at] for at in cut([r["bytes"] for r in found], shards)]
     number = F.lit(0)
     for start in starts:
         number = number + (F.col("atom") >= start).cast("int")

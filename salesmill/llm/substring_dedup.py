@@ -135,7 +135,7 @@ def _batches(frame: pd.DataFrame) -> Iterator[tuple[bytes, np.ndarray, np.ndarra
 
 
 def _sampled(frames: Iterator[pd.DataFrame], length: int, gram: int) -> Iterator[pd.DataFrame]:
-    """``gram``, ``run``, ``sides``, ``doc``, ``place``; runs that recur in a batch have no ``run`` but once."""
+    """``gram``, ``run``, ``sides``, ``doc``, ``place``; ``run`` is null where it recurs in a batch."""
     for frame in pieces(frames, "text", BATCH):
         for data, ends, docs in _batches(frame):
             grams, whole, sides, first, last, anchor = runs(data, ends, length, gram)
@@ -383,8 +383,12 @@ def spans(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
         "doc", F.when(F.col("later"), F.col("place")).otherwise(left_over).alias("place"), "later"
     )
     judged = stash(judged, "runs")
-    known = judged.where("later").select("doc", start.alias("start"), (start + more + length).alias("stop"))
-    asked = judged.where("NOT later").distinct().groupBy("doc").agg(F.collect_list("place").alias("places"))
+    known = judged.where("later").select(
+        "doc", start.alias("start"), (start + more + length).alias("stop")
+    )
+    # As many as a document has anchors.
+    asked = judged.where("NOT later").distinct()
+    asked = asked.groupBy("doc").agg(F.collect_list("place").alias("places"))
     zipped = F.pandas_udf(_zipped, "binary")
     contexts = stash(
         rows.select("doc", zipped("text").alias("zipped"))

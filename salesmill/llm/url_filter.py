@@ -200,7 +200,8 @@ def judge(
         "url_scores",
     )
     judged = scores.where("site_rule IS NOT NULL")
-    threshold = best_threshold(judged.select("score", (F.col("site_verdict") == "allow").alias("accepted")))
+    accepted = (F.col("site_verdict") == "allow").alias("accepted")
+    threshold = best_threshold(judged.select("score", accepted))
     own = F.when(F.col("score") >= threshold, "allow").otherwise("block")
     return rows.join(
         scores.where("site_rule IS NULL").select("site", "score"), "site", "left"

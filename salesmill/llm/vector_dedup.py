@@ -25,7 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesmill.llm.common import stash
@@ -230,23 +230,21 @@ def _found(classes: DataFrame, size: int, total: int, cosine: float) -> DataFram
             F.ceil(F.col("n_out") / BLOCK).cast("int").alias("out_chunks"),
         )
     )
-    draw = F.xxhash64("cid")
-    blocks = (
-        members.unionByName(visitors)
-        .join(F.broadcast(chunks), "list")
-        .withColumn("own", F.pmod(draw, F.when(F.col("visits"), F.col("out_chunks")).otherwise(F.col("in_chunks"))))
-        .withColumn(
-            "other",
-            F.explode(F.sequence(F.lit(0), F.when(F.col("visits"), F.col("in_chunks")).otherwise(F.col("out_chunks")) - 1)),
-        )
-        .withColumn("block", F.when(F.col("visits"), F.struct(F.col("other").cast("long").alias("i"), F.col("own").cast("long").alias("o"))).otherwise(F.struct(F.col("own").cast("long").alias("i"), F.col("other").cast("long").alias("o"))))
-        # A visitor needs neither codes nor probes.
-        .withColumn("codes", F.when(~F.col("visits"), F.col("codes")))
-        .withColumn("probes", F.when(~F.col("visits"), F.col("probes")))
-        .select("list", "block.i", "block.o", "cid", "n", "vector", "home", "probes", "codes", "error", "visits")
+    def dealt(rows: DataFrame, own: str, other: str) -> DataFrame:
+        """Rows in a chunk of their own side, once for every chunk of the other side."""
+        placed = rows.join(F.broadcast(chunks), "list")
+        mine = F.pmod(F.xxhash64("cid"), F.col(f"{own}_chunks")).cast("int")
+        theirs = F.explode(F.sequence(F.lit(0), F.col(f"{other}_chunks") - 1))
+        return placed.withColumn(own, mine).withColumn(other, theirs)
+
+    # A visitor needs neither codes nor probes.
+    nothing = {c: F.lit(None).cast(rows.schema[c].dataType) for c in ("codes", "probes")}
+    blocks = dealt(members, "in", "out").unionByName(
+        dealt(visitors, "out", "in").withColumns(nothing)
     )
+    blocks = blocks.drop("in_chunks", "out_chunks")
     shared = classes.sparkSession.sparkContext.broadcast(index)
-    return blocks.groupBy("list", "i", "o").applyInPandas(
+    return blocks.groupBy("list", "in", "out").applyInPandas(
         lambda frame: _block(shared.value, cosine, frame), "cid string, links long, root string"
     )
 
@@ -256,9 +254,13 @@ def near_duplicates(
 ) -> DataFrame:
     """``key``, ``n_links``, ``component_id`` (smallest key reachable) and ``kept`` of every row."""
     values = F.transform(F.col(vector), lambda x: x.cast("double"))
+
+    def odd(x: Column) -> Column:
+        return x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))
+
     usable = (
         F.coalesce(F.size(vector) > 0, F.lit(False))
-        & ~F.coalesce(F.exists(values, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))), F.lit(True))
+        & ~F.coalesce(F.exists(values, odd), F.lit(True))
         & F.coalesce(F.exists(values, lambda x: x != 0), F.lit(False))
     )
     rows = stash(
@@ -273,7 +275,9 @@ def near_duplicates(
         rows.where("cid IS NOT NULL")
         .groupBy("cid")
         .agg(
-            F.min("key").alias("least"), F.count("*").alias("n"), F.any_value("vector").alias("vector")
+            F.min("key").alias("least"),
+            F.count("*").alias("n"),
+            F.any_value("vector").alias("vector"),
         ),
         "vector_classes",
     )
