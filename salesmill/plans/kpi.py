@@ -1,7 +1,8 @@
 """The KPI tables of the cleaned fact.
 
-Every measure is built from parts that add up exactly (counts and sums of decimals), so a table can be aggregated from the fact directly (``kpi_table``) or taken out of one
-shared scan (``one_pass``), with the same result bit for bit.
+Every measure is built from parts that add up exactly (counts and sums of decimals), so a table can
+be aggregated from the fact directly (``kpi_table``) or taken out of one shared scan (``one_pass``),
+with the same result bit for bit.
 """
 
 from __future__ import annotations
