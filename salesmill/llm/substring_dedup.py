@@ -15,8 +15,8 @@ smaller id, or earlier in the same one) is removed, all judged on the input.
    Each bucket sorts them by multikey quicksort, from the anchor to the right and once more to the
    left; the common prefixes of neighbours in both orders say for every window of every run which
    other runs hold it. The first holder keeps it.
-3. *Boundaries.* Suffixes with the k-gram of a bucket's first or last one may go on in the next
-   bucket, so those of their windows that are first in the bucket are compared across buckets, by
+3. *Boundaries.* Windows whose bytes from the anchor on also start a bucket's first or last suffix
+   may go on in another bucket, so those that are first in their own are compared across buckets, by
    128-bit digest and pre-aggregated.
 
 Rows with equal ids are documents in the order of a hash of their text; rows equal in both are one
@@ -206,6 +206,14 @@ def _common(matrix: np.ndarray, order: np.ndarray) -> np.ndarray:
     return np.minimum(np.r_[0, shared], np.r_[0, np.minimum(filled[1:], filled[:-1])]).astype(np.int64)
 
 
+def _shared(matrix: np.ndarray, at: int) -> np.ndarray:
+    """How many bytes each row shares with one of them."""
+    equal = matrix == matrix[at]
+    shared = np.where(equal.all(1), matrix.shape[1], equal.argmin(1))
+    filled = (matrix != 0).sum(1)
+    return np.minimum(shared, np.minimum(filled, filled[at]))
+
+
 def bucket(rows: pd.DataFrame, length: int = LENGTH) -> np.ndarray:
     """Which windows of which runs occur earlier in the bucket: a flag per row and offset.
 
@@ -261,21 +269,25 @@ def _marks(rows: pd.DataFrame, later: np.ndarray, length: int) -> pd.DataFrame:
 
 
 def _sorted(frames: Iterator[pd.DataFrame], length: int, gram: int) -> Iterator[pd.DataFrame]:
-    """Settle a bucket: spans without digest; first windows of the groups at its ends with theirs."""
+    """Settle a bucket: spans without digest; first windows that may go on in others, with theirs."""
     whole = [frame for frame in frames if len(frame)]
     if not whole:
         return
     rows = pd.concat(whole, ignore_index=True)
     later = bucket(rows, length)
     yield _marks(rows, later, length).assign(high=None, low=None)
-    heads = [own[:gram] for own in rows["right"]]
-    ends = {min(heads), max(heads)}
+    # What starts with the same bytes lies together: it can only go on in another bucket if the row
+    # at that end of this one starts with them too.
+    right = _matrix(list(rows["right"]), length)
+    order = np.lexsort(right.view(">u8").astype(np.uint64).T[::-1])
+    reach = np.maximum(_shared(right, order[0]), _shared(right, order[-1]))
     found = []
-    for at in [at for at, head in enumerate(heads) if head in ends]:
+    for at in np.flatnonzero(reach >= gram).tolist():
         own = rows.iloc[at]
         text = own["left"] + own["right"]
         for k in range(own["more"] + 1):
-            if later[at, own["ahead"] - k]:
+            a = own["ahead"] - k
+            if later[at, a] or length - a > reach[at]:
                 continue
             digest = blake2b(text[k : k + length], digest_size=16).digest()
             high, low = np.frombuffer(digest, np.int64).tolist()
