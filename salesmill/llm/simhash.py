@@ -285,8 +285,12 @@ def keep(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     firsts = stash(firsts.where("_kept IS NOT NULL"), "kept")
 
     def named(rows: str) -> DataFrame:
-        own = firsts.where(rows).select("_kept")
+        # As many ids as documents: they have no bound, so they are not broadcast at any size.
+        own = firsts.where(rows).select("_kept").hint("merge")
         return docs.join(own, docs[key] == own["_kept"], "left_semi")
 
-    once, more = named("_rows = 1"), named("_rows > 1")
-    return once.unionByName(more.dropDuplicates([key])).unionByName(docs.where(F.col(key).isNull()))
+    unnamed = docs.where(F.col(key).isNull())
+    if firsts.where("_rows > 1").isEmpty():
+        return named("true").unionByName(unnamed)
+    twice = named("_rows > 1").dropDuplicates([key])
+    return named("_rows = 1").unionByName(twice).unionByName(unnamed)
