@@ -212,20 +212,30 @@ def test_passages_edge_rows(edge_docs, no_docs):
     assert kept.count() == len(EDGE)
 
 
-@pytest.mark.parametrize("seed", range(3))
-def test_passages_equal_brute_force(make_docs, seed):
+def passages(seed):
     rng = random.Random(seed)
     words = ["".join(rng.choices("abcdeé", k=rng.randint(1, 6))) for _ in range(40)]
-    passages = [" ".join(rng.choices(words, k=rng.randint(15, 80))) for _ in range(6)]
+    shared = [" ".join(rng.choices(words, k=rng.randint(15, 80))) for _ in range(6)]
     rows = []
     for i in range(60):
         parts = [" ".join(rng.choices(words, k=rng.randint(0, 40))) for _ in range(3)]
-        for p in rng.sample(passages, 2):
+        for p in rng.sample(shared, 2):
             cut = rng.randint(0, 30)
             parts.insert(rng.randint(0, len(parts)), p[cut:] if rng.random() < 0.5 else p)
         rows.append((i, rng.choice(["", " ", "\n"]).join(parts)))
-    rows.append((60, "ab" * 700))
-    check_dedup(make_docs(rows), rows)
+    return [*rows, (60, "ab" * 700)]
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_passages_equal_brute_force(make_docs, seed):
+    check_dedup(make_docs(passages(seed)), passages(seed))
+
+
+@pytest.mark.parametrize("seed", range(2, 4))
+def test_passages_across_many_small_buckets(make_docs, conf, seed):
+    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    conf("spark.sql.shuffle.partitions", "24")
+    check_dedup(make_docs(passages(seed)), passages(seed))
 
 
 @pytest.mark.parametrize("seed", range(3))
