@@ -19,42 +19,53 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from salesmill.llm.common import pieces, stash
+from salesmill.llm.common import stash
 from salesmill.llm.tokens import ID, encoder, ids_crc32
 
 #: Rows per entry of the row index, each with a Bloom filter.
 INDEX_ROWS = 1000
 STRIPE_BYTES = 64 * 1024 * 1024
+#: Bytes of text that are encoded at once.
+BATCH = 4_000_000
 SCHEMA = "key long, part int, place long, ids array<int>"
 
 
 def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``SCHEMA`` for every row, dealt and sorted by key; ``ids`` are the text's and the end id."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place = 0
-        for frame in pieces(frames, "text", 4_000_000):
-            ids = encoder(path)(list(frame["text"]))
-            yield pd.DataFrame(
-                {
-                    "key": frame["key"],
-                    "part": frame["part"],
-                    "place": np.arange(place, place + len(ids)),
-                    "ids": [np.frombuffer(b, ID).view("<i4") for b in ids],
-                }
-            )
-            place += len(ids)
+        for batch in batches:
+            size = pc.fill_null(pc.binary_length(batch["text"]), 0).to_numpy(zero_copy_only=False)
+            part = (np.cumsum(size, dtype=np.int64) - size) // BATCH
+            cuts = np.flatnonzero(np.diff(part, prepend=-1)).tolist()
+            for start, stop in zip(cuts, [*cuts[1:], len(part)], strict=True):
+                rows = batch.slice(start, stop - start)
+                ids = encoder(path)(rows["text"].to_pylist())
+                # One array for all ids: no conversion id by id.
+                ends = np.cumsum([len(own) // ID.itemsize for own in ids])
+                lists = pa.ListArray.from_arrays(
+                    pa.array(np.r_[0, ends].astype(np.int32)),
+                    pa.array(np.frombuffer(b"".join(ids), ID).view("<i4")),
+                )
+                places = pa.array(np.arange(place, place + len(ids)))
+                yield pa.RecordBatch.from_arrays(
+                    [rows["key"], rows["part"], places, lists], ["key", "part", "place", "ids"]
+                )
+                place += len(ids)
 
     rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
     # The row's place in the input splits a key that many rows share; unlike a hash of the text, it
     # costs the sampling nothing.
     placed = rows.withColumn("row", F.monotonically_increasing_id())
     dealt = placed.repartitionByRange("key", "row").sortWithinPartitions("key", "row")
-    return dealt.select("key", "text", F.spark_partition_id().alias("part")).mapInPandas(run, SCHEMA)
+    parts = dealt.select("key", "text", F.spark_partition_id().alias("part"))
+    return parts.mapInArrow(run, SCHEMA)
 
 
 def write(tokens: DataFrame, folder: str, compression: str = "none") -> None:
