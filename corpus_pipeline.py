@@ -45,7 +45,9 @@ def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents, placed in sequences of 2048 tokens."""
     ship(spark)
-    placed = packing.packed(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    # Workers still hold what earlier stages left them: a smaller cache than alone.
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    placed = packing.packed(docs, vocabulary, remembered=100_000)
     return placed.withColumnRenamed("key", "doc_id")
 
 

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesmill.llm.common import pieces, stash
-from salesmill.llm.tokens import ID, encoder
+from salesmill.llm.tokens import ID, REMEMBERED, encoder
 
 WINDOW = 2048
 CELLS = 64
@@ -38,17 +38,20 @@ def cut(
     key: str = "doc_id",
     text: str = "text",
     with_ids: bool = True,
+    remembered: int = REMEMBERED,
 ) -> DataFrame:
     """The pieces of every row: ``key``, ``start``, ``length``, ``ids_crc32``, ``doc_tokens``, ``ids``.
 
-    Without ``with_ids`` the ids stay out of the result; ``start`` and ``length`` name them.
+    Without ``with_ids`` the ids stay out of the result; ``start`` and ``length`` name them. A worker
+    remembers the ids of ``remembered`` parts of texts, about 200 bytes each.
     """
     schema = "key long, start long, length int, ids_crc32 long, doc_tokens long"
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in pieces(frames, "text", 4_000_000):
             rows = []
-            for key_, ids in zip(frame["key"], encoder(path)(list(frame["text"])), strict=True):
+            encode = encoder(path, remembered=remembered)
+            for key_, ids in zip(frame["key"], encode(list(frame["text"])), strict=True):
                 total = len(ids) // ID.itemsize
                 for start in range(0, total, window):
                     own = ids[start * ID.itemsize : (start + window) * ID.itemsize]
@@ -180,9 +183,9 @@ def pack(parts: DataFrame, window: int = WINDOW) -> DataFrame:
     )
 
 
-def packed(docs: DataFrame, path: str, window: int = WINDOW, **columns: str) -> DataFrame:
-    """The pieces of all documents without their ids, placed."""
-    return pack(stash(cut(docs, path, window, with_ids=False, **columns), "pieces"), window)
+def packed(docs: DataFrame, path: str, window: int = WINDOW, **options) -> DataFrame:
+    """The pieces of all documents without their ids, placed; ``options`` are those of ``cut``."""
+    return pack(stash(cut(docs, path, window, with_ids=False, **options), "pieces"), window)
 
 
 def sequences(placed: DataFrame, window: int = WINDOW, pad: int = 0) -> DataFrame:

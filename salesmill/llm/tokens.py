@@ -50,13 +50,14 @@ class _Known(dict):
 class Encoder:
     """Encodes texts with the vocabulary file at ``path``; ``end`` follows each text's ids."""
 
-    def __init__(self, path: str, end: int | None = 1) -> None:
+    def __init__(self, path: str, end: int | None = 1, remembered: int = REMEMBERED) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a worker per core
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         self.end = b"" if end is None else np.array([end], ID).tobytes()
         self.known = _Known(self._part)
+        self.remembered = remembered
         self.letters = dict(enumerate(_byte_letters()))
         #: Whether blanks are dropped and words made lower case before the merges.
         self.lowers = self.whole(" ÀB") == self.whole("àb")
@@ -83,7 +84,7 @@ class Encoder:
             return self.whole(text)
         if self.lowers:
             text = text.lower()
-        if len(self.known) > REMEMBERED:
+        if len(self.known) > self.remembered:
             self.known.clear()
         return b"".join(map(self.known.__getitem__, _PARTS.findall(text)))
 
@@ -93,9 +94,9 @@ class Encoder:
 
 
 @cache
-def encoder(path: str, end: int | None = 1) -> Encoder:
+def encoder(path: str, end: int | None = 1, remembered: int = REMEMBERED) -> Encoder:
     """One per worker process and vocabulary."""
-    return Encoder(path, end)
+    return Encoder(path, end, remembered)
 
 
 def ids_crc32(ids: pd.Series) -> pd.Series:
