@@ -15,6 +15,7 @@ from salesmill.llm import (
     sentencepiece,
     sharding,
     simhash,
+    spelling,
     substring_dedup,
     token_files,
     url_filter,
@@ -119,6 +120,10 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.score(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -145,6 +150,7 @@ def queries() -> dict[str, Query]:
         "op8_packing": op8_packing,
         "op9_vector_dedup": op9_vector_dedup,
         "op10_quality_classifier": op10_quality_classifier,
+        "op13_spelling_variants": op13_spelling_variants,
         "pipeline": pipeline,
     }
     return {name: _shipped(query) for name, query in found.items()}

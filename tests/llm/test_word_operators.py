@@ -1,0 +1,97 @@
+"""Spelling variants, collocations and the suffix tree against plain Python on small documents."""
+
+import random
+import re
+import zlib
+from collections import Counter
+
+import pytest
+
+from llm_edge import EDGE
+from salesmill.llm import spelling, words
+
+RUN = re.compile("[A-Za-zÀ-ÿ]+")
+
+
+def lower(text):
+    return re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+
+
+def one_edit(a, b):
+    if len(a) > len(b):
+        a, b = b, a
+    if a == b or len(b) - len(a) > 1:
+        return False
+    i = 0
+    while i < len(a) and a[i] == b[i]:
+        i += 1
+    return a[i:] == b[i + 1 :] if len(a) < len(b) else a[i + 1 :] == b[i + 1 :]
+
+
+def plain_variants(rows, letters=6, occurrences=5):
+    counts = Counter()
+    for doc, text in rows:
+        for run in RUN.findall(lower(text)):
+            h = zlib.crc32(f"{'' if doc is None else doc}:{run}".encode())
+            if h % 199 == 0:
+                at = h % len(run)
+                run = run[:at] + run[at + 1 :]
+            counts[run] += 1
+    known = {w: n for w, n in counts.items() if len(w) >= letters and n >= occurrences}
+    near = {w: [x for x in known if one_edit(w, x)] for w in known}
+    form = {}
+    for w, others in near.items():
+        best = min(others, key=lambda x: (-known[x], x), default=None)
+        form[w] = best if best and known[best] >= 5 * known[w] else None
+    out = []
+    for w, n in known.items():
+        root = w
+        while form[root]:
+            root = form[root]
+        out.append((w, form[w], root, n, len(near[w]), known.get(form[w])))
+    return sorted(out)
+
+
+def misspelt(seed):
+    rng = random.Random(seed)
+    base = ["".join(rng.choices("abcdeé", k=rng.randint(5, 9))) for _ in range(40)]
+    bag = []
+    for word in base:
+        bag += [word] * rng.choice([5, 30, 160])
+        for _ in range(4):
+            at = rng.randrange(len(word))
+            other = rng.choice(
+                [word[:at] + word[at + 1 :], word[:at] + "z" + word[at:], word[:at] + "Y" + word[at + 1 :]]
+            )
+            bag += [other] * rng.choice([4, 5, 6, 30])
+        bag += [word + "a"] * 30 + [word + "aq"] * 6
+    rng.shuffle(bag)
+    return [(i, rng.choice([" ", ", ", "\n", "÷", "3"]).join(bag[i::60])) for i in range(60)]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_variants_equal_all_pairs(make_docs, monkeypatch, seed):
+    monkeypatch.setattr(words, "SLICE", 200)
+    rows = misspelt(seed)
+    expected = plain_variants(rows)
+    assert any(form and root != form for _, form, root, *_ in expected)
+    found = spelling.variants(make_docs(rows))
+    assert found.columns == ["word", "form", "root", "n", "n_near", "form_n"]
+    assert sorted(tuple(r) for r in found.collect()) == expected
+
+
+def test_variants_edge_rows(edge_docs, no_docs):
+    found = spelling.variants(edge_docs).collect()
+    assert sorted(tuple(r) for r in found) == plain_variants(EDGE)
+    assert spelling.variants(no_docs).count() == 0
+
+
+def test_a_run_loses_a_letter():
+    run = next(w for w in (f"letters{chr(97 + i)}{chr(97 + j)}" for i in range(26) for j in range(26))
+               if zlib.crc32(f"7:{w}".encode()) % 199 == 0)
+    at = zlib.crc32(f"7:{run}".encode()) % len(run)
+    assert spelling.spelled(b"7:", run.encode()).decode() == run[:at] + run[at + 1 :]
+
+
+def test_symbols_grow_with_the_vocabulary():
+    assert [spelling.symbols_for(n) for n in (0, 64, 65, 10**6, 10**9)] == [2, 2, 3, 10, 32]
