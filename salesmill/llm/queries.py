@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesmill.llm import (
+    collocations,
     packing,
     quality_classifier,
     quality_rules,
@@ -120,6 +121,10 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.score(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents").select("lang", "text"))
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -150,6 +155,7 @@ def queries() -> dict[str, Query]:
         "op8_packing": op8_packing,
         "op9_vector_dedup": op9_vector_dedup,
         "op10_quality_classifier": op10_quality_classifier,
+        "op12_collocations": op12_collocations,
         "op13_spelling_variants": op13_spelling_variants,
         "pipeline": pipeline,
     }
@@ -157,4 +163,8 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_quality_rules": quality_rules.SQL, "op9_vector_dedup": vector_dedup.SQL}
+    return {
+        "op2_quality_rules": quality_rules.SQL,
+        "op9_vector_dedup": vector_dedup.SQL,
+        "op12_collocations": collocations.SQL,
+    }

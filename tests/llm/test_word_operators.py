@@ -5,10 +5,12 @@ import re
 import zlib
 from collections import Counter
 
+import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from llm_edge import EDGE
-from salesmill.llm import spelling, words
+from salesmill.llm import collocations, spelling, words
 
 RUN = re.compile("[A-Za-zÀ-ÿ]+")
 
@@ -95,3 +97,88 @@ def test_a_run_loses_a_letter():
 
 def test_symbols_grow_with_the_vocabulary():
     assert [spelling.symbols_for(n) for n in (0, 64, 65, 10**6, 10**9)] == [2, 2, 3, 10, 32]
+
+
+def plain_collocations(rows, limit=2000):
+    f, total = Counter(), Counter()
+    for lang, text in rows:
+        lang = lang or "und"
+        for piece in re.split("[.,;:!?\x0a-\x0d]", lower(text)):
+            found = re.findall("[^\x20\x09]+", piece)
+            total[lang] += len(found)
+            for k in (1, 2, 3):
+                f.update((lang, *found[i : i + k]) for i in range(len(found) - k + 1))
+    out = []
+    for (lang, *w), a in f.items():
+        if len(w) < 2 or a < 10:
+            continue
+        around = [p for p in f if len(p) == 4 and p[0] == lang and f[p] >= 10] if len(w) == 2 else []
+        if any(list(p[i : i + 2]) == w and 2 * f[p] >= a for p in around for i in (1, 2)):
+            continue
+        cuts = [(f[(lang, *w[:k])], f[(lang, *w[k:])]) for k in range(1, len(w))]
+        score, _, left, right = min((10**6 * a * a // (x * y), k, x, y) for k, (x, y) in enumerate(cuts))
+        out.append((lang, " ".join(w), a, left, right, total[lang], score))
+    out.sort(key=lambda r: (r[0], -r[6], -r[2], r[1].encode()))
+    ranks = Counter()
+    ranked = []
+    for lang, *rest in out:
+        ranks[lang] += 1
+        if ranks[lang] <= limit:
+            ranked.append((lang, ranks[lang], *rest))
+    return ranked
+
+
+def talk(seed):
+    rng = random.Random(seed)
+    bag = [f"w{i}" for i in range(30)] + ["É", "x\x1cy", "中文"]
+    weights = [1 / (i + 1) for i in range(len(bag))]
+    fixed = ["New York City", "of the Year", "ad hoc", "ad hoc w1", "w2 w2 w2 w2"]
+    rows = []
+    for i in range(120):
+        parts = []
+        for _ in range(rng.randint(0, 25)):
+            parts.append(rng.choice(fixed) if rng.random() < 0.3 else rng.choices(bag, weights)[0])
+            parts.append(rng.choice([" "] * 8 + ["  \t", ", ", ".", "\n", "?! "]))
+        rows.append((["en", "de", None, "fr"][min(3, int(rng.expovariate(1)))], "".join(parts)))
+    return [*rows, ("en", None), ("en", ""), ("xx", "alone")]
+
+
+def lang_docs(spark, rows):
+    schema = "lang string, text string, score int, x string, rank int, n int"
+    return spark.createDataFrame([(lang, t, 1, "q", 2, 3) for lang, t in rows], schema).repartition(3)
+
+
+@pytest.mark.parametrize("limit", [2000, 9, 2])
+def test_collocations_equal_brute_force(spark, monkeypatch, limit):
+    monkeypatch.setattr(words, "SLICE", 60)
+    monkeypatch.setattr(collocations, "BUFFER", 150 if limit == 9 else 2000)
+    rows = talk(limit)
+    found = collocations.collocations(lang_docs(spark, rows), limit=limit)
+    assert found.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
+    expected = plain_collocations(rows, limit)
+    assert len(expected) > 2
+    assert sorted(tuple(r) for r in found.collect()) == sorted(expected)
+
+
+def test_collocations_edge_rows(spark):
+    rows = [(None if i is None else f"l{i % 2}", t) for i, t in EDGE]
+    found = collocations.collocations(lang_docs(spark, rows)).collect()
+    assert sorted(tuple(r) for r in found) == sorted(plain_collocations(rows))
+    assert collocations.collocations(lang_docs(spark, [])).count() == 0
+
+
+def test_collocation_scores_are_exact(spark):
+    big = 9_999_999_999_999_999
+    row = spark.range(1).select(F.lit(big).alias("a"), F.lit(big - 1).alias("l"), F.lit(big + 3).alias("r"))
+    found = row.select(collocations._score("a", "l", "r")).first()[0]
+    assert found == 10**6 * big * big // ((big - 1) * (big + 3))
+
+
+def test_collocations_equal_sql(spark):
+    folder = "/root/testdata/sf0.01"
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet'")
+    cursor = duck.execute(collocations.SQL)
+    names = [c[0] for c in cursor.description]
+    found = collocations.collocations(spark.read.parquet(f"{folder}/documents.parquet")).select(names)
+    assert sorted(map(tuple, found.collect())) == sorted(cursor.fetchall())
