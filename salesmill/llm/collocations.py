@@ -45,6 +45,8 @@ BUFFER = 12 << 20
 _BREAK = re.compile(rb"[.,;:!?\n-\r]+")
 _EDGE = b"."
 _SALTS = 64
+#: The hash of a pair in a language: factors of its words' CRC-32, and low bits that are dropped.
+_X, _Y, _DROP = 1_640_531, 2_246_823, 9
 
 
 def words_of(raw: bytes) -> list[bytes]:
@@ -53,7 +55,7 @@ def words_of(raw: bytes) -> list[bytes]:
 
 
 def _crc(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(zlib.crc32, words), np.uint64, len(words))
+    return np.fromiter(map(zlib.crc32, words), np.int64, len(words))
 
 
 def _buffers(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes]]]:
@@ -146,29 +148,22 @@ def triple_counts(
         for lang, texts in _buffers(batches):
             for words, _ in _streams(texts):
                 names, code = coded(words)
-                size = max(1, len(names))
-                good = passes(frequent, _crc(names))
+                size, crc = max(1, len(names)), _crc(names)
+                good = passes(frequent, crc)
                 good[[i for i, name in enumerate(names) if name == _EDGE]] = False
                 inside = good[code[:-2]] & good[code[1:-1]] & good[code[2:]]
                 at = np.flatnonzero(inside)  # two repeated words make no triple
-                pairs = code[:-1] * size + code[1:]
-                distinct = np.unique(np.r_[pairs[at], pairs[at + 1]])
-                lang_ = lang.encode() + b" "
-                crc = _crc(
-                    [
-                        lang_ + names[x] + b" " + names[y]
-                        for x, y in zip(*(k.tolist() for k in np.divmod(distinct, size)), strict=True)
-                    ]
-                )
-                prefix = passes(grow, crc)[np.searchsorted(distinct, pairs[at])]
-                suffix = passes(own, crc)[np.searchsorted(distinct, pairs[at + 1])]
+                head = zlib.crc32(lang.encode()) + _X * crc[code[at]]
+                prefix = passes(grow, head + _Y * crc[code[at + 1]] >> _DROP)
+                head = zlib.crc32(lang.encode()) + _X * crc[code[at + 1]]
+                suffix = passes(own, head + _Y * crc[code[at + 2]] >> _DROP)
                 at = at[prefix | suffix]
-                first = np.searchsorted(distinct, pairs[at])
+                pairs, first = np.unique(code[at] * size + code[at + 1], return_inverse=True)
                 counts = KeyCounts()
                 counts.add(first * size + code[at + 2])
                 keys, n = counts.take()
                 first, z = np.divmod(keys, size)
-                x, y = np.divmod(distinct[first], size)
+                x, y = np.divmod(pairs[first], size)
                 spelled = strings(names)
                 x, y, z = (spelled.take(pa.array(k)) for k in (x, y, z))
                 yield _counted(lang, {"x": x, "y": y, "z": z}, n)
@@ -214,7 +209,8 @@ def collocations(
     every = stash(word_counts(rows), "words")
     totals = stash(every.groupBy("lang").agg(F.sum("n").alias("total")), "totals")
     words = every.where(F.col("n") >= occurrences)
-    frequent = sieve(words, "x", WORD_BITS)
+    frequent = sieve(words, F.crc32("x"), WORD_BITS)
+    hashed = F.expr(f"shiftright(crc32(lang) + {_X}L * crc32(x) + {_Y}L * crc32(y), {_DROP})")
     counted = pair_counts(rows, frequent).where(F.col("n") >= occurrences)
     left = words.select("lang", "x", F.col("n").alias("l"))
     right = words.select("lang", F.col("x").alias("y"), F.col("n").alias("r"))
@@ -236,9 +232,8 @@ def collocations(
             open_.join(last, "lang", "left").select("lang", least.alias("least")), "frontier"
         )
         active = pairs.join(frontier, "lang").where("bound >= least")
-        named = active.withColumn("named", F.concat_ws(" ", "lang", "x", "y"))
-        grow = sieve(named, "named", PAIR_BITS)
-        own = sieve(named.where("score >= least"), "named", PAIR_BITS)
+        grow = sieve(active, hashed, PAIR_BITS)
+        own = sieve(active.where("score >= least"), hashed, PAIR_BITS)
         triples = stash(
             triple_counts(rows.join(frontier, "lang", "left_semi"), frequent, grow, own)
             .where(F.col("n") >= occurrences)

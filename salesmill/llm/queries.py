@@ -18,6 +18,7 @@ from salesmill.llm import (
     simhash,
     spelling,
     substring_dedup,
+    suffix_tree,
     token_files,
     url_filter,
     vector_dedup,
@@ -121,6 +122,10 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.score(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op11_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree.score(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents").select("lang", "text"))
 
@@ -155,6 +160,7 @@ def queries() -> dict[str, Query]:
         "op8_packing": op8_packing,
         "op9_vector_dedup": op9_vector_dedup,
         "op10_quality_classifier": op10_quality_classifier,
+        "op11_lm_scoring": op11_lm_scoring,
         "op12_collocations": op12_collocations,
         "op13_spelling_variants": op13_spelling_variants,
         "pipeline": pipeline,

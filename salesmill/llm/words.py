@@ -11,7 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Bytes of text that are worked on at once. A longer text is cut at blanks.
@@ -84,25 +84,24 @@ class KeyCounts:
         return found
 
 
-def sieve(rows: DataFrame, text: str, bits: int) -> np.ndarray:
-    """A bitmap of ``2 ** bits`` slots in which the CRC-32 slot of each text is set.
+def sieve(rows: DataFrame, hashed: Column, bits: int) -> np.ndarray:
+    """A bitmap of ``2 ** bits`` slots in which the slot of each row's hash is set.
 
-    Its size does not depend on the rows. A text whose slot is empty is not among them; one whose
+    Its size does not depend on the rows. A value whose slot is empty is not among them; one whose
     slot is set may be, so what passes has to be looked up afterwards.
     """
-    slot = F.crc32(F.col(text).cast("binary")).bitwiseAND((1 << bits) - 1)
     cells = (
-        rows.select(slot.alias("slot"))
+        rows.select(hashed.bitwiseAND((1 << bits) - 1).alias("slot"))
         .groupBy(F.expr("shiftright(slot, 6)").alias("cell"))
         .agg(F.expr("bit_or(shiftleft(1L, cast(slot & 63 as int)))").alias("set"))
         .toPandas()
     )
     found = np.zeros(1 << (bits - 6), np.int64)
     found[cells["cell"].to_numpy(np.int64)] = cells["set"].to_numpy(np.int64)
-    return found.view(np.uint64)
+    return found
 
 
-def passes(found: np.ndarray, crc: np.ndarray) -> np.ndarray:
-    """Whether the slots of CRC-32 values are set in a sieve."""
-    slot = crc & np.uint64(len(found) * 64 - 1)
-    return (found[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) > 0
+def passes(found: np.ndarray, hashed: np.ndarray) -> np.ndarray:
+    """Whether the slots of hashes are set in a sieve."""
+    slot = hashed & (len(found) * 64 - 1)
+    return (found[slot >> 6] >> (slot & 63)) & 1 > 0

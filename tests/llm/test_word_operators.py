@@ -1,5 +1,6 @@
 """Spelling variants, collocations and the suffix tree against plain Python on small documents."""
 
+import math
 import random
 import re
 import zlib
@@ -10,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from llm_edge import EDGE
-from salesmill.llm import collocations, spelling, words
+from salesmill.llm import collocations, spelling, suffix_tree, words
 
 RUN = re.compile("[A-Za-zÀ-ÿ]+")
 
@@ -182,3 +183,125 @@ def test_collocations_equal_sql(spark):
     names = [c[0] for c in cursor.description]
     found = collocations.collocations(spark.read.parquet(f"{folder}/documents.parquet")).select(names)
     assert sorted(map(tuple, found.collect())) == sorted(cursor.fetchall())
+
+
+def plain_tree(rows, depth, contexts, least, divergence):
+    """Scores of all rows by a tree held in dictionaries; every word is a symbol of its own."""
+    texts = [(doc, re.findall("[^\x20\x09-\x0d]+", lower(t)) + ["<end>"]) for doc, t in rows]
+    held = [zlib.crc32(str("" if d is None else d).encode()) % 10 == 0 for d, _ in texts]
+    train = [w for (_, w), out in zip(texts, held, strict=True) if not out]
+    c = Counter(w for words in train for w in words)
+    n, v = sum(c.values()), len(c)
+
+    def root(w):
+        return (c[w] + 0.1) / (n + 0.1 * (v + 1))
+
+    after = {}
+    for w in train:
+        w = ["<start>", *w]
+        for i in range(1, len(w)):
+            for d in range(1, min(depth, i) + 1):
+                after.setdefault(tuple(w[i - d : i]), Counter())[w[i]] += 1
+    kept = {}
+
+    def p(context, w):
+        while context and context not in kept:
+            context = context[1:]
+        if not context:
+            return root(w)
+        mine = after[context]
+        total = sum(mine.values())
+        return (max(mine[w] - 1, 0) + len(mine) * p(context[1:], w)) / total
+
+    for d in range(1, depth + 1):
+        for context, mine in [(k, x) for k, x in after.items() if len(k) == d]:
+            total = sum(mine.values())
+            if total < max(least, contexts * n):
+                continue
+            gain = 0.0
+            for w, k in mine.items():
+                lower_p = p(context[1:], w)
+                if k > 1:
+                    own = (k - 2 + len(mine) * lower_p) / (total - 1)
+                elif len(mine) > 1:
+                    own = (len(mine) - 1) * lower_p / (total - 1)
+                else:
+                    own = lower_p
+                gain += k * math.log(own / lower_p)
+            if gain > divergence * total:
+                kept[context] = True
+    out = []
+    for (doc, w), is_held in zip(texts, held, strict=True):
+        whole = ["<start>", *w]
+        score = sum(
+            math.log10(p(tuple(whole[max(0, i - depth) : i]), whole[i])) for i in range(1, len(whole))
+        )
+        base = sum(math.log10(root(x)) for x in w)
+        out.append((doc, is_held, len(w), sum(c[x] > 0 for x in w), n, base, score))
+    return out, kept
+
+
+def stories(seed):
+    rng = random.Random(seed)
+    names = [f"n{i}" for i in range(60)]
+    rows = []
+    for i in range(150):
+        text = []
+        for _ in range(rng.randint(0, 40)):
+            name = rng.choices(names, [1 / (k + 1) for k in range(60)])[0]
+            text += rng.choice([[name], ["The", "old", name], ["a", "new", "n1"], ["old", "n7"]])
+        if rng.random() < 0.2:
+            text.append(f"only{i}")
+        rows.append((i, " ".join(text)))
+    return [*rows, (3, "the old n1"), (None, "a new n1"), (10, None), (11, ""), (12, "a\x1cb \u00a0")]
+
+
+def near_rows(found, expected):
+    key = lambda r: (repr(r[0]), r[2], r[6])
+    found, expected = sorted(map(tuple, found), key=key), sorted(expected, key=key)
+    assert [r[:5] for r in found] == [r[:5] for r in expected]
+    for mine, theirs in zip(found, expected, strict=True):
+        assert mine[5:] == pytest.approx(theirs[5:], rel=1e-9, abs=1e-9)
+
+
+@pytest.mark.parametrize("depth, entries", [(1, 0), (2, 0.01), (3, 1)])
+def test_suffix_tree_equals_dictionaries(make_docs, monkeypatch, depth, entries):
+    monkeypatch.setattr(words, "SLICE", 50)
+    monkeypatch.setattr(suffix_tree, "BUFFER", 120)
+    monkeypatch.setattr(suffix_tree, "ENTRIES", entries)  # none, some and all are looked up
+    monkeypatch.setattr(suffix_tree, "SYMBOLS", 0.0)
+    rows = stories(depth)
+    expected, kept = plain_tree(rows, depth, suffix_tree.CONTEXTS, 16, suffix_tree.DIVERGENCE)
+    assert max(map(len, kept)) == depth
+    near_rows(suffix_tree.score(make_docs(rows), depth=depth).collect(), expected)
+
+
+def test_suffix_tree_with_rare_words(make_docs, monkeypatch):
+    """Rare words share a symbol: sums over all words still make one, and the base is as ever."""
+    monkeypatch.setattr(suffix_tree, "SYMBOLS", 0.01)
+    rows = stories(5)
+    expected, _ = plain_tree(rows, 2, 0, 16, 0.01)
+    found = suffix_tree.score(make_docs(rows)).collect()
+    key = lambda r: (repr(r[0]), r[2], r[5])
+    found, expected = sorted(map(tuple, found), key=key), sorted(expected, key=key)
+    for mine, theirs in zip(found, expected, strict=True):
+        assert mine[:5] == theirs[:5]
+        assert mine[5] == pytest.approx(theirs[5])
+    held = [r for r in found if r[1]]
+    assert sum(r[6] for r in held) > sum(r[5] for r in held)
+
+
+def test_suffix_tree_edge_rows(edge_docs, no_docs, make_docs):
+    expected, _ = plain_tree(EDGE, 2, suffix_tree.CONTEXTS, 16, 0.01)
+    near_rows(suffix_tree.score(edge_docs).collect(), expected)
+    assert suffix_tree.score(no_docs).count() == 0
+    unlearnt = [(i, "x y") for i in range(100) if zlib.crc32(str(i).encode()) % 10 == 0]
+    for row in suffix_tree.score(make_docs(unlearnt)).collect():
+        assert (row.held_out, row.n_tokens, row.n_known, row.train_tokens) == (True, 3, 0, 0)
+        assert (row.base_score, row.score) == (0.0, 0.0)
+
+
+def test_suffix_tree_on_texts_it_never_saw(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = [r for r in suffix_tree.score(docs).collect() if r.held_out]
+    assert sum(r.score for r in rows) > sum(r.base_score for r in rows)
