@@ -16,7 +16,9 @@ In the distributions of nodes, words rarer than ``SYMBOLS`` of all tokens (which
 
 Tasks know the tree's nodes, the frequent symbols and the entries that make up at least ``ENTRIES`` of
 all tokens, which all have that proven bound. Counts of rare words and all other entries lie in
-tables that grow with the corpus and are joined to what a text needs of them.
+tables that grow with the corpus and are joined to what a text needs of them. For that, an entry also
+has what it adds to the log-probability that its node would give without it. These add up along the
+suffixes of a context, so one join looks up all of them.
 
 Defined results: a null or empty text is one end; a null id counts as an empty text in the hash that
 decides what is held out, and is held out; each of several rows with one id is learnt from and scored
@@ -39,7 +41,7 @@ from salesmill.llm.common import stash
 from salesmill.llm.words import KeyCounts, binary, coded, slices, strings
 
 DEPTH = 2
-SYMBOLS, CONTEXTS, ENTRIES = 2.0**-19, 2.0**-16, 2.0**-20
+SYMBOLS, CONTEXTS, ENTRIES = 2.0**-20, 2.0**-16, 2.0**-20
 #: A context occurs at least so often.
 OCCURRENCES = 16
 #: Nats a token by which a context must predict better than its suffix.
@@ -49,7 +51,7 @@ FOLDS = 10
 #: Bytes of the longest word that is a symbol of its own.
 LONGEST = 64
 #: Bytes of text that a task works on at once, and words that it counts.
-BUFFER, WORDS = 6 << 20, 400_000
+BUFFER, WORDS = 2 << 20, 250_000
 END, RARE, START = 0, 1, 2
 #: Words never hold a blank and are never empty.
 _END, _START = b"", b" "
@@ -67,7 +69,10 @@ class Tree:
     depth: int
     #: Of each level, sorted keys (node of the shorter suffix, symbol before it) and their nodes.
     levels: list[tuple[np.ndarray, np.ndarray]] = field(default_factory=list)
+    #: Of each node: whether it is in the tree, its longest suffix there, log10 of the mass left to it.
     keep: np.ndarray = field(default_factory=lambda: np.zeros(1, bool))
+    up: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))
+    back: np.ndarray = field(default_factory=lambda: np.zeros(1))
     #: Frequent entries: sorted keys (node, symbol), and log10 of their probabilities.
     keys: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
     log_q: np.ndarray = field(default_factory=lambda: np.zeros(0))
@@ -215,7 +220,7 @@ class Growth:
         found = [((int(s),), int(tree.counts[s])) for s in symbols if s != END]
         while found and len(tree.levels) < tree.depth:
             found = self._level(found)
-        tree.keep = np.array(self.keep)
+        tree.keep, tree.up, tree.back = map(np.array, (self.keep, self.up, self.back))
 
     def _suffix(self, context: tuple[int, ...], of: dict[tuple[int, ...], int]) -> int:
         for start in range(1, len(context)):
@@ -254,13 +259,13 @@ class Growth:
                     "node": np.arange(first, len(self.contexts)),
                     "count": self.counts[first:],
                     "types": types,
-                    "at": self.up[first:],
+                    "left": self.back[first:],
                 }
             ),
-            "node long, count long, types long, at long",
+            "node long, count long, types long, left double",
         )
         split = rows.select("key", "n", node, F.expr(f"key & {(1 << _BITS) - 1}").alias("symbol"))
-        known = self.resolved(split.join(F.broadcast(own), "node"))
+        known = self._suffixed(split, first).join(F.broadcast(own), "node")
         known = known.withColumn("parent", F.pow(F.lit(10.0), "log"))
         # What the node would say of an occurrence that it had not seen, against its suffix.
         unseen = (F.col("n") - 2 + F.col("types") * F.col("parent")) / (F.col("count") - 1)
@@ -276,51 +281,41 @@ class Growth:
             [(at,) for at in range(first, len(self.contexts)) if self.keep[at]], "node long"
         )
         p = (F.col("n") - 1 + F.col("types") * F.col("parent")) / F.col("count")
-        entries = stash(
-            known.join(F.broadcast(kept), "node").select("key", "n", F.log10(p).alias("log_q")),
-            "kept_entries",
+        entries = known.join(F.broadcast(kept), "node").select(
+            "key",
+            "n",
+            F.log10(p).alias("log_q"),
+            (F.log10(p) - F.col("left") - F.col("log")).alias("gain"),
         )
+        entries = stash(entries, "kept_entries")
         self.entries = entries if self.entries is None else self.entries.unionByName(entries)
         # At most 1 / CONTEXTS rows.
         wide = split.where((F.col("n") >= self.least) & (F.col("symbol") != END)).collect()
         return [((*self.contexts[r.node], r.symbol), r.n) for r in wide]
 
-    def resolved(self, rows: DataFrame) -> DataFrame:
-        """``rows`` with ``log``: log10 of the probability of ``symbol`` after node ``at``."""
-        at_root = rows.withColumn("weight", F.lit(0.0))
-        if self.entries is None:
-            return self._from_root(at_root)
-        names = list(range(len(self.up)))[: len(self.back)]
-        nodes = self.spark.createDataFrame(
-            pd.DataFrame(
-                {"at": names, "next": self.up[: len(names)], "left": self.back[: len(names)]}
-            ),
-            "at long, next long, left double",
-        )
-        entries = self.entries.select(F.col("key").alias("entry"), "log_q")
-        done, left = at_root.where("at = 0"), at_root.where("at > 0")
-        found = self._from_root(done)
-        for _ in self.tree.levels:
-            looked = left.join(
-                entries, F.expr(f"shiftleft(at, {_BITS}) | symbol") == F.col("entry"), "left"
-            )
-            hit = looked.where("log_q IS NOT NULL")
-            found = found.unionByName(
-                hit.select(*rows.columns, (F.col("weight") + F.col("log_q")).alias("log"))
-            )
-            missed = looked.where("log_q IS NULL").drop("entry", "log_q")
-            moved = missed.join(F.broadcast(nodes), "at").withColumns(
-                {"weight": F.col("weight") + F.col("left"), "at": F.col("next")}
-            )
-            moved = moved.select(*rows.columns, "weight")
-            found = found.unionByName(self._from_root(moved.where("at = 0")))
-            left = moved.where("at > 0")
-        return found
-
-    def _from_root(self, rows: DataFrame) -> DataFrame:
-        joined = rows.join(F.broadcast(self.root), "symbol")
-        names = [c for c in rows.columns if c != "weight"]
-        return joined.select(*names, (F.col("weight") + F.col("log_p")).alias("log"))
+    def _suffixed(self, rows: DataFrame, first: int) -> DataFrame:
+        """``rows`` with ``log``: log10 of the probability of ``symbol`` after the node's suffix."""
+        mass, steps = [], []
+        for node in range(first, len(self.contexts)):
+            at, total = self.up[node], 0.0
+            while at:
+                steps.append((node, at))
+                total += self.back[at]
+                at = self.up[at]
+            mass.append((node, total))
+        mass = F.broadcast(self.spark.createDataFrame(mass, "node long, mass double"))
+        rows = rows.join(mass, "node").join(F.broadcast(self.root), "symbol")
+        rows = rows.withColumn("log", F.col("mass") + F.col("log_p")).drop("mass", "log_p")
+        if not steps:
+            return rows
+        # At most as many rows as nodes times levels.
+        steps = F.broadcast(self.spark.createDataFrame(steps, "node long, at long"))
+        asked = rows.select("key", "node", "symbol").join(steps, "node")
+        asked = asked.withColumn("entry", F.expr(f"shiftleft(at, {_BITS}) | symbol"))
+        entries = self.entries.select(F.col("key").alias("entry"), "gain")
+        gains = asked.join(entries, "entry").groupBy("key").agg(F.sum("gain").alias("gain"))
+        more = F.coalesce("gain", F.lit(0.0))
+        return rows.join(gains, "key", "left").withColumn("log", F.col("log") + more).drop("gain")
 
 
 def _scored(rows: DataFrame, tree: Tree) -> DataFrame:
@@ -344,18 +339,28 @@ def _scored(rows: DataFrame, tree: Tree) -> DataFrame:
                 new[:repeated] = False
                 row, ids, state, places = row[new], ids[new], state[new], np.flatnonzero(new)
                 rare = ids == RARE
-                key = state << _BITS | ids
-                at, hit = _find(tree.keys, key)
-                log = np.where(state == 0, tree.log_p[ids], 0.0)
-                log[hit] = tree.log_q[at[hit]]
-                log -= np.where(rare, tree.log_p[RARE], 0.0)
+                log = np.where(rare, -tree.log_p[RARE], 0.0)
+                waiting = [(row[:0], ids[:0])]
+                left = np.arange(len(ids))
+                while len(left):  # from the longest suffix to the root
+                    at_root = state[left] == 0
+                    log[left[at_root]] += tree.log_p[ids[left[at_root]]]
+                    left = left[~at_root]
+                    key = state[left] << _BITS | ids[left]
+                    at, hit = _find(tree.keys, key)
+                    log[left[hit]] += tree.log_q[at[hit]]
+                    waiting.append((row[left[~hit]], key[~hit]))
+                    left = left[~hit]
+                    log[left] += tree.back[state[left]]
+                    state[left] = tree.up[state[left]]
+                asked, wanted = (np.concatenate(x) for x in zip(*waiting, strict=True))
                 base = np.where(rare, 0.0, tree.log_p[ids])
                 known = ~rare & (tree.counts[ids] > 0)
                 spelled, code = coded([words[i] for i in places[rare].tolist()])
                 lists = []
                 for kind, values, of in (
                     ("rare", code, row[rare]),
-                    ("pending", key[(state > 0) & ~hit], row[(state > 0) & ~hit]),
+                    ("pending", wanted, asked),
                 ):
                     pairs, count = np.unique(of << 40 | values, return_counts=True)
                     values = pa.array(pairs & ((1 << 40) - 1))
@@ -425,13 +430,13 @@ def score(
     )
     sums = parts.drop("rare", "pending").unionByName(rare, allowMissingColumns=True)
     if growth.entries is not None:
-        waiting = parts.select("uid", F.explode("pending").alias("p")).select(
-            "uid",
-            F.col("p.n").alias("n"),
-            F.expr(f"shiftright(p.what, {_BITS})").alias("at"),
-            F.expr(f"p.what & {(1 << _BITS) - 1}").alias("symbol"),
+        waiting = parts.select("uid", F.explode("pending").alias("p"))
+        found = (
+            waiting.select("uid", F.col("p.n").alias("times"), F.col("p.what").alias("key"))
+            .join(growth.entries, "key")
+            .groupBy("uid")
+            .agg(F.sum(F.col("times") * F.col("gain")).alias("score"))
         )
-        found = growth.resolved(waiting).groupBy("uid").agg(F.sum(F.col("n") * F.col("log")).alias("score"))
         sums = sums.unionByName(found, allowMissingColumns=True)
     sums = sums.groupBy("uid").agg(
         *(F.any_value(c, F.lit(True)).alias(c) for c in ("key", "held_out")),

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 #: Bytes of text that are worked on at once. A longer text is cut at blanks.
 SLICE = 4 << 20
 #: Distinct keys that a task counts before it hands them on.
-KEYS = 1_500_000
+KEYS = 1_000_000
 _BLANK = re.compile(rb"[ \t]")
 
 
