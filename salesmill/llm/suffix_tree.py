@@ -41,7 +41,9 @@ from salesmill.llm.common import stash
 from salesmill.llm.words import KeyCounts, binary, coded, slices, strings
 
 DEPTH = 2
-SYMBOLS, CONTEXTS, ENTRIES = 2.0**-20, 2.0**-16, 2.0**-20
+SYMBOLS, CONTEXTS = 2.0**-20, 2.0**-16
+#: Entries that tasks know rather than look up: no result depends on it.
+ENTRIES = 2.0**-22
 #: A context occurs at least so often.
 OCCURRENCES = 16
 #: Nats a token by which a context must predict better than its suffix.
@@ -417,15 +419,16 @@ def score(
     whole = tokens + 0.1 * (types + 1)
     c = F.coalesce("c", F.lit(0))
     log = F.col("n") * F.log10((c + 0.1) / whole)
+    # Words and keys are unique on the side that is hashed, so its partitions are even.
     rare = (
         parts.select("uid", F.explode("rare").alias("r"))
         .select("uid", F.col("r.what").alias("word"), F.col("r.n").alias("n"))
-        .join(vocabulary.withColumnRenamed("n", "c"), "word", "left")
-        .groupBy("uid")
-        .agg(
-            F.sum(F.when(c > 0, F.col("n")).otherwise(0)).alias("n_known"),
-            F.sum(log).alias("base"),
-            F.sum(log).alias("score"),
+        .join(vocabulary.withColumnRenamed("n", "c").hint("shuffle_hash"), "word", "left")
+        .select(
+            "uid",
+            F.when(c > 0, F.col("n")).otherwise(0).alias("n_known"),
+            log.alias("base"),
+            log.alias("score"),
         )
     )
     sums = parts.drop("rare", "pending").unionByName(rare, allowMissingColumns=True)
@@ -433,9 +436,8 @@ def score(
         waiting = parts.select("uid", F.explode("pending").alias("p"))
         found = (
             waiting.select("uid", F.col("p.n").alias("times"), F.col("p.what").alias("key"))
-            .join(growth.entries, "key")
-            .groupBy("uid")
-            .agg(F.sum(F.col("times") * F.col("gain")).alias("score"))
+            .join(growth.entries.hint("shuffle_hash"), "key")
+            .select("uid", (F.col("times") * F.col("gain")).alias("score"))
         )
         sums = sums.unionByName(found, allowMissingColumns=True)
     sums = sums.groupBy("uid").agg(
