@@ -6,10 +6,11 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from salesmill.operators import column_profile, sample, top_nulls
+from salesmill.operators import column_profile, first_rows, top_nulls
 from salesmill.plans.kpi import KPIS, MONTHLY
 from salesmill.plans.build import run
-from salesmill.sources.sales_csv import read_sales_csv
+from salesmill.schema import NULL_TEXTS
+from salesmill.sources.sales_csv import MALFORMED, read_sales_text
 
 
 def main() -> None:
@@ -25,11 +26,12 @@ def main() -> None:
 
     spark = SparkSession.builder.appName("salesmill").getOrCreate()
     if args.profile:
-        raw = read_sales_csv(spark, args.input, args.infer)
+        raw = read_sales_text(spark, args.input)
+        fields = raw.drop(MALFORMED)
         # One row per column; kept so that the text files are read once for both views of it.
-        columns = column_profile(raw).cache()
-        columns.orderBy("position").show(len(raw.columns), truncate=False)
-        sample(raw).show(truncate=False)
+        columns = column_profile(fields, NULL_TEXTS).cache()
+        columns.orderBy("position").show(len(fields.columns), truncate=False)
+        first_rows(raw).drop(MALFORMED).show(truncate=False)
         top_nulls(columns).show(truncate=False)
         return
     results = run(

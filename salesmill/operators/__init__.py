@@ -1,7 +1,9 @@
 from salesmill.operators.growth import first_last_growth
+from salesmill.operators.numbering import row_numbers
 from salesmill.operators.profile import (
     column_list,
     column_profile,
+    first_rows,
     null_counts,
     null_dates,
     sample,
@@ -16,8 +18,10 @@ __all__ = [
     "column_list",
     "column_profile",
     "first_last_growth",
+    "first_rows",
     "null_counts",
     "null_dates",
+    "row_numbers",
     "sample",
     "shape",
     "share_of_total",

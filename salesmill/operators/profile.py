@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def shape(df: DataFrame) -> DataFrame:
@@ -16,13 +17,23 @@ def shape(df: DataFrame) -> DataFrame:
     )
 
 
-def column_profile(df: DataFrame) -> DataFrame:
-    """One row per column: position, name, nulls, and the number of rows, from one scan."""
+def column_profile(df: DataFrame, null_texts: Sequence[str] = ()) -> DataFrame:
+    """One row per column: position, name, nulls, and the number of rows, from one scan.
+
+    Fields of text columns that equal one of ``null_texts``, to the letter, count as nulls too.
+    """
+
+    def present(field: T.StructField) -> Column:
+        column = _quoted(field.name)
+        if not null_texts or not isinstance(field.dataType, T.StringType):
+            return column
+        return F.when(~column.isin(*null_texts), column)
+
     # count(*) - count(c) rather than a conditional count: a Parquet reader that pushes
     # aggregates down can answer it from the file footers.
     one_row = df.agg(
         F.count("*").alias("row_count"),
-        *[(F.count("*") - F.count(_quoted(c))).alias(f"{i}") for i, c in enumerate(df.columns, 1)],
+        *[(F.count("*") - F.count(present(f))).alias(f"{i}") for i, f in enumerate(df.schema, 1)],
     )
     nulls = one_row.unpivot(
         ["row_count"], [f"{i}" for i in range(1, len(df.columns) + 1)], "position", "nulls"
@@ -37,14 +48,14 @@ def column_profile(df: DataFrame) -> DataFrame:
     )
 
 
-def column_list(df: DataFrame) -> DataFrame:
+def column_list(df: DataFrame, null_texts: Sequence[str] = ()) -> DataFrame:
     """One row per column in schema order, with the column's null count."""
-    return column_profile(df).select("position", "column_name", "nulls")
+    return column_profile(df, null_texts).select("position", "column_name", "nulls")
 
 
-def null_counts(df: DataFrame, k: int = 10) -> DataFrame:
+def null_counts(df: DataFrame, k: int = 10, null_texts: Sequence[str] = ()) -> DataFrame:
     """The k columns with the most nulls."""
-    return top_nulls(column_profile(df), k)
+    return top_nulls(column_profile(df, null_texts), k)
 
 
 def top_nulls(profile: DataFrame, k: int = 10) -> DataFrame:
@@ -66,6 +77,23 @@ def sample(df: DataFrame, n: int = 3, order: Sequence[Column | str] = ()) -> Dat
     return df.limit(n)
 
 
+def first_rows(files: DataFrame, n: int = 3) -> DataFrame:
+    """The first n rows of a frame as read from files, in file order; files by their path.
+
+    A block of a file is read by one task from its start on, so rows are in order by path, start
+    of the block, and the order in which the task meets them. Each task keeps n rows: nothing is
+    sorted as a whole. ``files`` is what a reader returned, before any other step.
+    """
+    order = ["_path", "_start", "_place"]
+    placed = files.select(
+        *(_quoted(c) for c in files.columns),
+        F.col("_metadata.file_path").alias("_path"),
+        F.col("_metadata.file_block_start").alias("_start"),
+        F.monotonically_increasing_id().alias("_place"),
+    )
+    return placed.orderBy(*order).limit(n).drop(*order)
+
+
 def null_dates(fact: DataFrame) -> DataFrame:
     """Rows without a valid order date and without a valid ship date, in one scan."""
     return fact.agg(

@@ -217,6 +217,33 @@ def kpi_table(
     return _finish(grouped, kpi, columns, ordered)
 
 
+def order_level_columns(kpi: Kpi) -> tuple[list[str], list[str]]:
+    """The columns ``kpi_below_join`` needs of lines and of orders, if orders have the key."""
+    key = "order_date" if kpi is MONTHLY else kpi.key
+    return [c for c in fact_columns(kpi) if c != key], [key]
+
+
+def kpi_below_join(
+    lines: DataFrame, orders: DataFrame, kpi: Kpi, line_key: str, order_key: str
+) -> DataFrame:
+    """A KPI table whose key is an order's, with the lines summed up before they meet the orders.
+
+    The sums of each order are additive parts, so the table equals the one of the joined fact bit for
+    bit. What is shuffled to the orders is one row per task and order instead of every line, and the
+    join uses the aggregate's own partitioning. An order that holds very many lines is one row by
+    then, so no key is hot. Lines without an order count under a null key. Worth it where orders are
+    too many to broadcast; where they fit, ``kpi_table`` over the joined fact shuffles nothing.
+    """
+    parts = _parts_of(kpi, _needed(kpi, None, True))
+    rows = lines.select(line_key, *map(_part_value, parts))
+    summed = rows.groupBy(line_key).agg(*map(_part, parts))
+    # Fetching the key adds no rows: orders are unique.
+    joined = summed.join(orders, F.col(line_key) == F.col(order_key), "left")
+    again = joined.select(_group_column(kpi.key).alias(f"group_{kpi.key}"), *parts)
+    grouped = again.groupBy(f"group_{kpi.key}").agg(*(F.sum(part).alias(part) for part in parts))
+    return _finish(grouped, kpi, None, True)
+
+
 def one_pass(fact: DataFrame) -> DataFrame:
     """The parts of all KPI tables, and the null-date counts, from one scan of the fact.
 

@@ -28,6 +28,12 @@ SALES_COLUMNS: list[tuple[str, str, T.DataType]] = [
 # Fixed value: how the raw file writes dates.
 DATE_FORMAT = "M/d/yyyy"
 
+# Texts of a raw field that a profile of the raw file counts as null.
+NULL_TEXTS = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+)
+
 RENAME = {header: name for header, name, _ in SALES_COLUMNS}
 RAW_TYPES = {header: dtype for header, _, dtype in SALES_COLUMNS}
 CLEAN_TYPES = {name: dtype for _, name, dtype in SALES_COLUMNS}

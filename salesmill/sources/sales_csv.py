@@ -11,6 +11,8 @@ from salesmill.schema import RAW_TYPES, RENAME
 
 #: Holds the text of a line with too few or too many fields.
 MALFORMED = "_malformed_line"
+#: What such lines are counted under.
+MALFORMED_LINES = "malformed_lines"
 _DATES = ("Order Date", "Ship Date")
 _CSV = {
     "header": True,
@@ -38,9 +40,9 @@ def _converted(header: str, dtype: T.DataType) -> Column:
     return F.col(f"`{header}`").try_cast(dtype)
 
 
-def reject_counts(text: DataFrame) -> dict[str, Column]:
-    """Aggregates: fields per column that are there but do not convert, and malformed lines."""
-    counts = {}
+def _rejected(text: DataFrame) -> dict[str, tuple[Column, Column]]:
+    """By cleaned name: whether a field is there but does not convert, and its text."""
+    found = {}
     for header in text.columns:
         value = F.col(f"`{header}`")
         if header in _DATES:
@@ -49,10 +51,46 @@ def reject_counts(text: DataFrame) -> dict[str, Column]:
             fits = _converted(header, RAW_TYPES[header])
         else:
             continue
-        bad = value.isNotNull() & (F.trim(value) != "") & fits.isNull()
-        counts[RENAME[header]] = F.count_if(bad)
-    counts["malformed_lines"] = F.count_if(F.col(MALFORMED).isNotNull())
-    return counts
+        found[RENAME[header]] = value.isNotNull() & (F.trim(value) != "") & fits.isNull(), value
+    found[MALFORMED_LINES] = F.col(MALFORMED).isNotNull(), F.col(MALFORMED)
+    return found
+
+
+def reject_counts(text: DataFrame) -> dict[str, Column]:
+    """Aggregates: fields per column that are there but do not convert, and malformed lines."""
+    return {name: F.count_if(bad) for name, (bad, _) in _rejected(text).items()}
+
+
+def split_rejects(text: DataFrame) -> DataFrame:
+    """The rows of ``read_sales_text`` and, beside them, one row for each rejected field.
+
+    Column ``kind`` is ``row`` or ``reject``. A row has the raw columns; a reject has ``file``,
+    ``block_start`` (the byte where the block of the file begins that a task read), ``place`` (how
+    many rows the task had met), ``column_name`` and ``raw_text``, the field's or the whole line's.
+    Written partitioned by ``kind``, both come from one pass over the text.
+    """
+    raw = [c for c in text.columns if c != MALFORMED]
+    fields = [
+        F.when(bad, F.struct(F.lit(name).alias("column_name"), value.alias("raw_text")))
+        for name, (bad, value) in _rejected(text).items()
+    ]
+    none = F.lit(None).cast("struct<column_name:string,raw_text:string>")
+    found = text.select(
+        *(F.col(f"`{c}`") for c in raw),
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block_start"),
+        F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("place"),
+        F.concat(F.array(none), F.array_compact(F.array(*fields))).alias("rejects"),
+    )
+    each = found.withColumn("reject", F.explode("rejects"))
+    is_row = F.col("reject").isNull()
+    return each.select(
+        F.when(is_row, "row").otherwise("reject").alias("kind"),
+        *(F.when(is_row, F.col(f"`{c}`")).alias(c) for c in raw),
+        *(F.when(~is_row, F.col(c)).alias(c) for c in ("file", "block_start", "place")),
+        "reject.column_name",
+        "reject.raw_text",
+    )
 
 
 def rejects(text: DataFrame) -> DataFrame:

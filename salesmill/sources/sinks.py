@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +26,17 @@ def write_parquet(df: DataFrame, path: str, partition_by: str | None = None) ->
         df.write.mode("overwrite").parquet(path)
 
 
+def replace_partitions(df: DataFrame, path: str, partition_by: str) -> None:
+    """Replace those partitions of the table at ``path`` that ``df`` has rows for; others stay.
+
+    The rows must not be read from the partitions that they replace. Partitions for which there are
+    no rows are not touched, so an empty ``df`` changes nothing.
+    """
+    rebalanced = df.hint("rebalance", F.col(partition_by))
+    writer = rebalanced.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(partition_by).parquet(path)
+
+
 # Text comes back as it was: quotes are doubled, blanks stay, null is not the empty text.
 _CSV = {
     "header": True,
@@ -116,5 +127,68 @@ def publish_tables(
             spark.catalog.createTable(table, path=full, source="parquet", schema=kpi_schema(kpi))
 
 
+def publish_steps(
+    spark: SparkSession,
+    out_dir: str,
+    run_id: str,
+    database: str = "kpi",
+    location: str | None = None,
+) -> Iterator[str]:
+    """Publish a run as a whole: like ``publish_run``, but stops after each step.
+
+    Each table has all runs, as partitions that lie over the files of ``write_tables_parquet``. The
+    names are views that look for the run in a pointer table. Until the last step, which adds one
+    file to the pointer table, all names show the run before.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    where = f" LOCATION {_quoted(location)}" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`{where}")
+    pointer = f"`{database}`.`current_run`"
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {pointer} (seq BIGINT, run_id STRING) USING parquet")
+    for name, kpi in KPIS.items():
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kpi_schema(kpi))
+        runs = f"`{database}`.`{name}_runs`"
+        spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {runs} ({columns}, run_id STRING)"
+            " USING parquet PARTITIONED BY (run_id)"
+        )
+        yield f"table {name}"
+        # A catalog takes relative paths from its own folder, so the full one is looked up.
+        folder = hadoop.Path(f"{out_dir}/{name}_parquet")
+        full = folder.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(folder)
+        spark.sql(
+            f"ALTER TABLE {runs} ADD PARTITION (run_id = {_quoted(run_id)})"
+            f" LOCATION {_quoted(full.toString())}"
+        )
+        yield f"run {name}"
+        shown = ", ".join(f"`{f.name}`" for f in kpi_schema(kpi))
+        spark.sql(
+            f"CREATE VIEW IF NOT EXISTS `{database}`.`{name}` AS SELECT {shown} FROM {runs}"
+            f" WHERE run_id = (SELECT max(struct(seq, run_id)).run_id FROM {pointer})"
+        )
+        yield f"name {name}"
+    last = spark.table(pointer).agg(F.coalesce(F.max("seq"), F.lit(0)).alias("seq")).first().seq
+    row = spark.createDataFrame([(last + 1, run_id)], "seq long, run_id string")
+    row.coalesce(1).write.insertInto(pointer)
+    spark.catalog.refreshTable(pointer)
+    yield "pointer"
+
+
+def publish_run(
+    spark: SparkSession,
+    out_dir: str,
+    run_id: str,
+    database: str = "kpi",
+    location: str | None = None,
+) -> None:
+    """Make the tables written by ``write_tables_parquet`` the ones that all names show, at once.
+
+    Nothing is copied, and earlier runs stay readable in ``<table>_runs``. A database holds either
+    tables from ``publish_tables`` or runs.
+    """
+    for _ in publish_steps(spark, out_dir, run_id, database, location):
+        pass
+
+
 def mart_tables(spark: SparkSession, database: str = "kpi") -> dict[str, DataFrame]:
     return {name: spark.table(f"`{database}`.`{name}`") for name in KPIS}

@@ -93,6 +93,25 @@ def sales_fact(
     return fact.select(*wanted)
 
 
+def line_facts(spark: SparkSession, sf_dir: str, columns: Sequence[str]) -> DataFrame:
+    """``l_orderkey`` and columns of the fact that order lines and their parts have by themselves."""
+    return sales_fact(spark, sf_dir, ["order_id", *columns]).withColumnRenamed("order_id", "l_orderkey")
+
+
+def order_facts(spark: SparkSession, sf_dir: str, columns: Sequence[str]) -> DataFrame:
+    """``o_orderkey`` and columns of the fact that depend on the order alone."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    if {"country", "region"} & set(columns):
+        places = spark.read.parquet(f"{sf_dir}/nation.parquet")
+        if "region" in columns:
+            regions = spark.read.parquet(f"{sf_dir}/region.parquet")
+            places = places.join(regions, F.col("n_regionkey") == F.col("r_regionkey"), "left")
+        customers = spark.read.parquet(f"{sf_dir}/customer.parquet")
+        customers = customers.join(places, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+        orders = orders.join(customers, F.col("o_custkey") == F.col("c_custkey"), "left")
+    return orders.select("o_orderkey", *(F.expr(_COLUMNS[c][0]).alias(c) for c in columns))
+
+
 def raw_sales(
     spark: SparkSession, sf_dir: str, columns: Sequence[str] | None = None
 ) -> DataFrame:
