@@ -150,4 +150,4 @@ def test_command_line(spark, tmp_path, monkeypatch, capsys):
     monkeypatch.setattr(sys, "argv", ["salesmill", path, "--profile"])
     cli.main()
     text = capsys.readouterr().out
-    assert all(word in text for word in ("row_count", "Order Priority", "2.5000"))
+    assert all(word in text for word in ("row_count", "Order Priority", "2.50"))
