@@ -24,7 +24,6 @@ from salesmill.llm import (
     vector_dedup,
 )
 from salesmill.llm.common import ship, table
-from salesmill.llm.tokens import ids_crc32
 from salesmill.sources.scratch import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,15 +61,7 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("piece_bpe_32k.model")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    decoded = sentencepiece.decode(path)("ids")
-    crc = F.pandas_udf(ids_crc32, "long")
-    return sentencepiece.encode(docs, path).select(
-        F.col("key").alias("doc_id"),
-        F.size("ids").cast("long").alias("n_tokens"),
-        crc("ids").alias("ids_crc32"),
-        F.crc32(decoded).alias("text_crc32"),
-        (decoded == F.coalesce("text", F.lit(""))).alias("lossless"),
-    )
+    return sentencepiece.round_trip(docs, path).withColumnRenamed("key", "doc_id")
 
 
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

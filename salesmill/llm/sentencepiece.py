@@ -22,11 +22,14 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections.abc import Iterator
 from functools import cache
+from itertools import islice
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,8 +39,13 @@ BLANK = "▁"
 SHARPNESS = 2.0
 #: log weight of a character that is written as bytes.
 BYTES_WEIGHT = -40.0
-#: Edges of filtered lattices that a worker keeps at most, 16 bytes each.
-EDGES = 6_000_000
+#: Edges of filtered lattices that a worker keeps, 13 bytes each. The parts of one batch must all be
+#: there at once, so a worker has room for this many and for those of a batch.
+EDGES = 5_000_000
+#: Characters of a batch, and of the parts that are filtered together.
+BATCH, FILTERED = 400_000, 60_000
+#: Parts of a text that are worked on at once; a longer text goes over several batches.
+PARTS = 50_000
 _ROW, _PART, _STEP = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 _BASE = np.uint64(0x100000001B3)
 _TABLE_BITS = 18
@@ -55,6 +63,21 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+class _Column:
+    """An array that grows in place."""
+
+    def __init__(self, kind: type) -> None:
+        self.data, self.size = np.empty(1 << 16, kind), 0
+
+    def add(self, more: np.ndarray) -> None:
+        end = self.size + len(more)
+        if end > len(self.data):
+            # In place where the system can, without a second copy beside the first.
+            self.data.resize(max(end, len(self.data) * 5 // 4), refcheck=False)
+        self.data[self.size : end] = more
+        self.size = end
+
+
 class Vocabulary:
     """Pieces, weights and bytes of a model file, and filtered lattices of parts."""
 
@@ -125,11 +148,11 @@ class Vocabulary:
     def _forget(self) -> None:
         self.known: dict[str, int] = {}
         #: Of each known part: the state of its end (one per character, in order) and its length.
-        self.ends, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ends, self.sizes = _Column(np.int32), _Column(np.int32)
         self.states = 0
-        self.first = np.zeros(0, np.int64)  # of the edges into each state, the likeliest
-        self.cum = np.zeros(0)  # probability of an edge and those before it
-        self.edge_id, self.edge_len = np.zeros(0, np.int32), np.zeros(0, np.int32)
+        self.first = _Column(np.int32)  # of the edges into each state, the likeliest
+        self.cum = _Column(np.float64)  # probability of an edge and those before it
+        self.edge_id, self.edge_len = _Column(np.int32), _Column(np.uint8)
 
     def _filter(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Lattices of parts of one length (rows of code points).
@@ -180,40 +203,51 @@ class Vocabulary:
         by_length: dict[int, list[str]] = {}
         for part in new:
             by_length.setdefault(len(part), []).append(part)
-        firsts, cum, ids, lengths = [self.first], [self.cum], [self.edge_id], [self.edge_len]
-        ends, sizes, edges = [self.ends], [self.sizes], len(self.cum)
-        for size, parts in by_length.items():
-            codes = np.frombuffer("".join(parts).encode("utf-32-le", "surrogatepass"), "<u4").reshape(-1, size)
-            first, rising, own, length = self._filter(codes.astype(np.uint64))
-            firsts.append(first + edges)
-            edges += len(rising)
-            cum.append(rising)
-            ids.append(own.astype(np.int32))
-            lengths.append(length.astype(np.int32))
-            self.known.update(zip(parts, range(len(self.known), len(self.known) + len(parts)), strict=True))
-            ends.append(self.states + np.arange(1, len(parts) + 1) * size - 1)
-            sizes.append(np.full(len(parts), size))
-            self.states += len(parts) * size
-        self.first, self.cum, self.edge_id, self.edge_len = map(
-            np.concatenate, (firsts, cum, ids, lengths)
-        )
-        self.ends, self.sizes = np.concatenate(ends), np.concatenate(sizes)
-
-    def sample(self, texts: list[str], keys: np.ndarray, seed: int) -> list[np.ndarray]:
-        """Ids of each text, drawn with the random numbers of its key."""
-        cut = [self.parts.findall(" " + text) if text else [] for text in texts]
+        for size, alike in by_length.items():
+            step = max(1, FILTERED // size)
+            for at in range(0, len(alike), step):
+                self._learn(alike[at : at + step], size)
+
+    def _learn(self, parts: list[str], size: int) -> None:
+        raw = "".join(parts).encode("utf-32-le", "surrogatepass")
+        codes = np.frombuffer(raw, "<u4").reshape(-1, size)
+        first, rising, own, length = self._filter(codes.astype(np.uint64))
+        self.first.add(first + self.cum.size)
+        self.cum.add(rising)
+        self.edge_id.add(own)
+        self.edge_len.add(length)
+        names = range(len(self.known), len(self.known) + len(parts))
+        self.known.update(zip(parts, names, strict=True))
+        self.ends.add(self.states + np.arange(1, len(parts) + 1) * size - 1)
+        self.sizes.add(np.full(len(parts), size))
+        self.states += len(parts) * size
+
+    def cut(self, text: str | None) -> Iterator[list[str]]:
+        """The parts of a text, some at a time; no list for an empty text."""
+        found = self.parts.finditer(" " + text) if text else iter(())
+        while parts := [match[0] for match in islice(found, PARTS)]:
+            yield parts
+
+    def sample(
+        self, cut: list[list[str]], keys: np.ndarray, seed: int, places: np.ndarray
+    ) -> list[np.ndarray]:
+        """Ids of each list of parts, drawn with the random numbers of its key and its first place."""
         new = set().union(*cut).difference(self.known)
         if new:
-            if len(self.cum) > EDGES:
+            if self.cum.size > EDGES:
                 self._forget()
                 new = set().union(*cut)
             self.learn(sorted(new))
+        ends, sizes = self.ends.data, self.sizes.data
+        cum, firsts, edge_ids, edge_lens = (
+            column.data for column in (self.cum, self.first, self.edge_id, self.edge_len)
+        )
         counts = np.array([len(parts) for parts in cut])
         known = self.known
         part_of = np.array([known[part] for parts in cut for part in parts], np.int64)
-        end, size = self.ends[part_of], self.sizes[part_of]
+        end, size = ends[part_of].astype(np.int64), sizes[part_of].astype(np.int64)
         starts = np.cumsum(counts) - counts
-        place = np.arange(len(end)) - np.repeat(starts, counts)
+        place = np.arange(len(end)) + np.repeat(places - starts, counts)
         row = _mix((keys.astype(np.uint64) ^ np.uint64(seed & 0xFFFFFFFFFFFFFFFF)) + _ROW)
         stream = np.repeat(row, counts) + place.astype(np.uint64) * _PART
         left, live = size.copy(), np.arange(len(end))
@@ -222,13 +256,13 @@ class Vocabulary:
             random = _mix(stream[live] + np.uint64((steps + 1) * int(_STEP) & 0xFFFFFFFFFFFFFFFF))
             state = end[live] - size[live] + left[live]
             u = (random >> np.uint64(11)).astype(np.float64) * 2.0**-53
-            edge = self.first[state]
-            beyond = np.flatnonzero(self.cum[edge] <= u)
+            edge = firsts[state]
+            beyond = np.flatnonzero(cum[edge] <= u)
             while len(beyond):
                 edge[beyond] += 1
-                beyond = beyond[self.cum[edge[beyond]] <= u[beyond]]
-            drawn.append((live, self.edge_id[edge]))
-            left[live] -= self.edge_len[edge]
+                beyond = beyond[cum[edge[beyond]] <= u[beyond]]
+            drawn.append((live, edge_ids[edge]))
+            left[live] -= edge_lens[edge]
             live = live[left[live] > 0]
             steps += 1
         per_part = np.zeros(len(end), np.int64)
@@ -250,10 +284,13 @@ class Vocabulary:
             ids = np.r_[ids[:at], self.byte_ids[own], ids[at + 1 :]]
         return ids.astype(np.int32)
 
-    def text(self, ids: np.ndarray) -> str:
-        """What the ids write."""
+    def spell(self, ids: np.ndarray) -> bytes:
+        """What the ids write, after the blank that every text begins with."""
         written = self.written
-        return b"".join([written[i] for i in ids.tolist()]).decode("utf-8", "replace")[1:]
+        return b"".join([written[i] for i in ids.tolist()])
+
+    def text(self, ids: np.ndarray) -> str:
+        return self.spell(ids).decode("utf-8", "replace")[1:]
 
 
 @cache
@@ -262,6 +299,35 @@ def vocabulary(path: str, sharpness: float = SHARPNESS) -> Vocabulary:
     return Vocabulary(path, sharpness)
 
 
+def _batches(
+    own: Vocabulary, texts: Iterator[tuple[int, str | None]]
+) -> Iterator[tuple[list[int], list[list[str]], list[int]]]:
+    """Rows, their parts, and the place of the first of these parts, about ``BATCH`` characters."""
+    rows: list[int] = []
+    cut: list[list[str]] = []
+    places: list[int] = []
+    size = 0
+    for row, text in texts:
+        place = 0
+        for parts in own.cut(text):
+            rows.append(row)
+            cut.append(parts)
+            places.append(place)
+            place += len(parts)
+            size += sum(map(len, parts))
+            if size > BATCH:
+                yield rows, cut, places
+                rows, cut, places, size = [], [], [], 0
+    if rows:
+        yield rows, cut, places
+
+
+def _drawn(docs: DataFrame, key: str, text: str) -> DataFrame:
+    return docs.select(
+        F.col(key).alias("key"), F.col(text).alias("text"), F.xxhash64(F.col(key)).alias("draw")
+    )
+
+
 def encode(
     docs: DataFrame,
     path: str,
@@ -271,21 +337,70 @@ def encode(
     text: str = "text",
 ) -> DataFrame:
     """``key``, ``text`` and ``ids`` (a sampled segmentation) of every row."""
-    rows = docs.select(
-        F.col(key).alias("key"), F.col(text).alias("text"), F.xxhash64(F.col(key)).alias("draw")
-    )
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = vocabulary(path, sharpness)
-        for frame in pieces(frames, "text", 1_500_000):
-            texts = [t if isinstance(t, str) else "" for t in frame["text"]]
-            frame["ids"] = own.sample(texts, frame["draw"].to_numpy(np.int64), seed)
+        for frame in pieces(frames, "text", BATCH):
+            draws = frame["draw"].to_numpy(np.int64)
+            found: list[list[np.ndarray]] = [[np.zeros(0, np.int32)] for _ in draws]
+            texts = enumerate(t if isinstance(t, str) else "" for t in frame["text"])
+            for rows, cut, places in _batches(own, texts):
+                drawn = own.sample(cut, draws[rows], seed, np.array(places))
+                for row, ids in zip(rows, drawn, strict=True):
+                    found[row].append(ids)
+            frame["ids"] = [np.concatenate(ids) for ids in found]
             yield frame[["key", "text", "ids"]]
 
+    rows = _drawn(docs, key, text)
     kind = rows.schema["key"].dataType.simpleString()
     return rows.mapInPandas(run, f"key {kind}, text string, ids array<int>")
 
 
+def round_trip(
+    docs: DataFrame,
+    path: str,
+    seed: int = 0,
+    sharpness: float = SHARPNESS,
+    key: str = "doc_id",
+    text: str = "text",
+) -> DataFrame:
+    """What ``encode`` and ``decode`` make of every row, in one pass that keeps no ids.
+
+    ``key``, ``n_tokens``, ``ids_crc32`` (of the ids as little-endian unsigned 32-bit integers),
+    ``text_crc32`` of the decoded text, and whether it equals the text (``lossless``).
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = vocabulary(path, sharpness)
+        for batch in batches:
+            n = batch.num_rows
+            draws = batch.column("draw").to_numpy()
+            tokens, ids_crc, text_crc, lossless = [0] * n, [0] * n, [0] * n, [True] * n
+            texts = enumerate(value.as_py() for value in batch.column("text"))
+            for rows, cut, places in _batches(own, texts):
+                drawn = own.sample(cut, draws[rows], seed, np.array(places))
+                for row, parts, place, ids in zip(rows, cut, places, drawn, strict=True):
+                    written, blank = own.spell(ids), place == 0
+                    tokens[row] += len(ids)
+                    ids_crc[row] = zlib.crc32(ids.astype("<u4").tobytes(), ids_crc[row])
+                    text_crc[row] = zlib.crc32(written[blank:], text_crc[row])
+                    lossless[row] &= written == "".join(parts).encode()
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("key"),
+                    *(pa.array(x, pa.int64()) for x in (tokens, ids_crc, text_crc)),
+                    pa.array(lossless),
+                ],
+                ["key", "n_tokens", "ids_crc32", "text_crc32", "lossless"],
+            )
+
+    rows = _drawn(docs, key, text)
+    kind = rows.schema["key"].dataType.simpleString()
+    return rows.mapInArrow(
+        run, f"key {kind}, n_tokens long, ids_crc32 long, text_crc32 long, lossless boolean"
+    )
+
+
 def decode(path: str):
     """A function on columns: the text that a column of ids writes."""
 

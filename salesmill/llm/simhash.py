@@ -24,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesmill.llm.common import pieces, stash
@@ -70,19 +70,24 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    shingle: int = SHINGLE,
+    more: tuple[str, ...] = (),
 ) -> DataFrame:
-    """``key`` and ``fp`` (signed) of every row."""
+    """``key`` and ``fp`` (signed) of every row, and ``more`` of its columns."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             found = [fingerprint(t, shingle) for t in frame["text"]]
-            yield pd.DataFrame(
-                {"key": frame["key"], "fp": np.array(found, np.uint64).view(np.int64)}
-            )
+            frame["fp"] = np.array(found, np.uint64).view(np.int64)
+            yield frame[["key", "fp", *more]]
 
-    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    return rows.mapInPandas(run, f"key {rows.schema['key'].dataType.simpleString()}, fp long")
+    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), *more)
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
+    others = "".join(f", {name} {kinds[name]}" for name in more)
+    return rows.mapInPandas(run, f"key {kinds['key']}, fp long{others}")
 
 
 def _blocks(free: int, parts: int) -> list[int]:
@@ -250,6 +255,17 @@ def near_links(classes: DataFrame, distance: int = DISTANCE) -> DataFrame:
     return found
 
 
+def _named(rows: DataFrame, distance: int, least: Column) -> DataFrame:
+    """``fp``, ``root`` (of its component) and ``first`` (the least of the component) of all ``fp``."""
+    classes = stash(rows.groupBy("fp").agg(F.min(least).alias("least")), "classes")
+    roots = stash(components(near_links(classes, distance)), "roots")
+    named = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
+        "fp", "least", F.coalesce("root", "fp").alias("root")
+    )
+    first = stash(named.groupBy("root").agg(F.min("least").alias("first")), "smallest")
+    return stash(named.select("fp", "root").join(first, "root"), "known")
+
+
 def near_duplicates(
     docs: DataFrame,
     key: str = "doc_id",
@@ -259,13 +275,7 @@ def near_duplicates(
 ) -> DataFrame:
     """``key``, ``fingerprint`` (16 hex digits) and ``component_id`` of every row."""
     rows = stash(fingerprints(docs, key, text, shingle), "fingerprints")
-    classes = stash(rows.groupBy("fp").agg(F.min("key").alias("least")), "classes")
-    roots = stash(components(near_links(classes, distance)), "roots")
-    named = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root")
-    )
-    smallest = stash(named.groupBy("root").agg(F.min("least").alias("component_id")), "smallest")
-    known = stash(named.select("fp", "root").join(smallest, "root").drop("root"), "known")
+    known = _named(rows, distance, F.col("key")).select("fp", F.col("first").alias("component_id"))
     return rows.join(known, "fp").select(
         F.col("key").alias(key),
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
@@ -273,24 +283,40 @@ def near_duplicates(
     )
 
 
-def keep(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One document of each component, the one with the smallest id; columns as they are.
+def keep(
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    shingle: int = SHINGLE,
+    distance: int = DISTANCE,
+) -> DataFrame:
+    """One row of each component, the one with the smallest id; columns as they are.
 
-    Of rows that repeat an id, one stays. Rows without an id cannot be named and all stay.
+    What is kept or dropped are rows, not ids: rows that share an id stay beside each other if their
+    texts are not alike. Among rows of a component with the same smallest id, that with the smallest
+    MD5 of the text stays, then one by a hash of all its columns; of wholly equal rows, one. A row
+    without an id comes after all others of its component.
     """
-    found = stash(near_duplicates(docs, key, text), "near_duplicates")
-    firsts = found.groupBy(F.col("component_id").alias("_kept")).agg(
-        F.count_if(F.col(key) == F.col("component_id")).alias("_rows")
-    )
-    firsts = stash(firsts.where("_kept IS NOT NULL"), "kept")
-
-    def named(rows: str) -> DataFrame:
-        # As many ids as documents: they have no bound, so they are not broadcast at any size.
-        own = firsts.where(rows).select("_kept").hint("merge")
-        return docs.join(own, docs[key] == own["_kept"], "left_semi")
-
-    unnamed = docs.where(F.col(key).isNull())
-    if firsts.where("_rows > 1").isEmpty():
-        return named("true").unionByName(unnamed)
-    twice = named("_rows > 1").dropDuplicates([key])
-    return named("_rows = 1").unionByName(twice).unionByName(unnamed)
+    every = F.xxhash64(*(F.col("`" + c.replace("`", "``") + "`") for c in docs.columns))
+    marks = {"_sim_digest": F.md5(F.coalesce(F.col(text), F.lit(""))), "_sim_mark": every}
+    marked = docs.withColumns(marks)
+    rows = stash(fingerprints(marked, key, text, shingle, tuple(marks)), "fingerprints")
+    least = F.struct(F.col("key").isNull().alias("unnamed"), "key", *marks)
+    firsts = _named(rows, distance, least).select("root", "first").distinct()
+    firsts = firsts.select(*(F.col(f"first.{c}").alias(c) for c in ("key", *marks)))
+    # As many as documents that stay: they have no bound, so they are not broadcast at any size.
+    counts = rows.groupBy("key", *marks).agg(F.count("*").alias("n"))
+    on = F.expr(" AND ".join(f"a.{c} <=> b.{c}" for c in ("key", *marks)))
+    kept = firsts.alias("a").hint("merge").join(counts.alias("b"), on)
+    kept = stash(kept.select("b.*").withColumnsRenamed({c: f"{c}_" for c in ("key", *marks)}), "kept")
+
+    def staying(which: str) -> DataFrame:
+        own = kept.where(which).hint("merge")
+        same = marked[key].eqNullSafe(own["key_"])
+        for c in marks:
+            same = same & (marked[c] == own[f"{c}_"])
+        return marked.join(own, same, "left_semi").drop(*marks)
+
+    if kept.where("n > 1").isEmpty():
+        return staying("n = 1")
+    return staying("n = 1").unionByName(staying("n > 1").dropDuplicates())

@@ -1,5 +1,6 @@
 """Shards, URLs, tokens, packing, pieces and vectors against plain Python."""
 
+import hashlib
 import math
 import random
 import zlib
@@ -85,6 +86,42 @@ def test_one_large_group_leaves_the_rest_even():
     assert max(parts) == 200 and sorted(parts)[0] > 50
 
 
+def largest_shard(rows):
+    sizes = Counter()
+    for r in rows:
+        sizes[r.shard] += r.size
+    return max(sizes.values())
+
+
+def plain_groups(texts):
+    sizes = Counter()
+    for text in texts:
+        sizes[hashlib.md5(text.encode()).hexdigest()] += len(text.encode()) + 1
+    return [sizes[name] for name in sorted(sizes)]
+
+
+@pytest.mark.parametrize("digits, hot", [(1, 0), (1, 900), (2, 900), (1, 20_000), (0, 5000)])
+def test_shards_are_cut_between_groups_at_any_grain(spark, monkeypatch, digits, hot):
+    """Few digits: most atoms hold many groups, and those with a cut have to be refined."""
+    monkeypatch.setattr(sharding, "ATOM_DIGITS", digits)
+    monkeypatch.setattr(sharding, "MORE_DIGITS", 1)
+    monkeypatch.setattr(sharding, "REFINED", 3)
+    monkeypatch.setattr(sharding.shard_starts, "__defaults__", (digits,))
+    rng = random.Random(digits + hot)
+    texts = ["t" * rng.choice([1, 3, 30, 120]) + str(i) for i in range(1500)] + ["hot"] * hot
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = sharding.shard(docs, 7).collect()
+    assert largest_shard(rows) == sharding.smallest_capacity(plain_groups(texts), 7)
+    assert len({(r.text_crc32, r.shard) for r in rows}) == len(set(texts))
+
+
+def test_more_groups_than_first_atoms(spark):
+    texts = [f"text {i} {'x' * (i % 50)}" for i in range(150_000)]
+    docs = spark.range(150_000).selectExpr("id AS doc_id", "concat('text ', id, ' ', repeat('x', cast(id % 50 as int))) AS text")
+    placed = sharding.shard(docs).groupBy("shard").agg({"size": "sum"}).collect()
+    assert max(r[1] for r in placed) == sharding.smallest_capacity(plain_groups(texts), 16)
+
+
 def test_shards_edge_rows(edge_docs, no_docs):
     rows = sharding.shard(edge_docs).collect()
     texts = sorted((repr(i), len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t in EDGE)
@@ -301,29 +338,59 @@ def test_sampled_pieces_are_lossless_and_reproducible(edge_docs, no_docs):
     assert drawn(no_docs, 1) == []
 
 
-def test_pieces_are_drawn_with_their_probabilities():
+@pytest.mark.parametrize("text", ["these", "to\u2581\U0001f389 an, 7é"])
+def test_pieces_are_drawn_with_their_probabilities(text, monkeypatch):
+    """All paths of a text, also over several parts and characters that are written as bytes."""
     own = sentencepiece.Vocabulary(PIECES, sharpness=0.5)
-    text = "these"
     paths = {}
 
     def walk(rest, ids, weight):
         if not rest:
             paths[tuple(ids)] = weight
         for n in range(1, len(rest) + 1):
-            if rest[:n] in own.ids:
-                i = own.ids[rest[:n]]
-                walk(rest[n:], [*ids, i], weight + own.weight[i])
+            piece = rest[:n]
+            if piece in own.ids and piece != sentencepiece.BLANK:
+                walk(rest[n:], [*ids, own.ids[piece]], weight + own.weight[own.ids[piece]])
+            elif n == 1:
+                spelt = [int(own.byte_ids[b]) for b in piece.encode()]
+                walk(rest[n:], [*ids, *spelt], weight + sentencepiece.BYTES_WEIGHT)
 
     walk(" " + text, [], 0.0)
     total = sum(map(math.exp, paths.values()))
+    monkeypatch.setattr(sentencepiece, "PARTS", 2)
     n = 20_000
-    drawn = Counter(map(tuple, own.sample([text] * n, np.arange(n), 5)))
+    cut, places = [], []
+    for parts in own.cut(text):
+        places.append(sum(map(len, cut)))
+        cut.append(parts)
+    keys = np.arange(n)
+    drawn = [own.sample([parts] * n, keys, 5, np.full(n, at)) for parts, at in zip(cut, places, strict=True)]
+    drawn = Counter(tuple(int(i) for ids in row for i in ids) for row in zip(*drawn, strict=True))
     assert drawn.keys() <= paths.keys()
     for ids, weight in paths.items():
         p = math.exp(weight) / total
         assert abs(drawn[ids] / n - p) < 5 * math.sqrt(p * (1 - p) / n) + 1e-4
 
 
+@pytest.mark.parametrize("edges", [sentencepiece.EDGES, 50])
+def test_round_trip_is_that_of_encode_and_decode(edge_docs, no_docs, monkeypatch, edges):
+    monkeypatch.setattr(sentencepiece, "EDGES", edges)
+    rows = sentencepiece.encode(edge_docs, PIECES).collect()
+    expected = [
+        (
+            r.key, len(r.ids), zlib.crc32(np.array(r.ids, "<u4").tobytes()),
+            zlib.crc32((r.text or "").encode()), True,
+        )
+        for r in rows
+    ]
+    monkeypatch.setattr(sentencepiece, "PARTS", 7)
+    monkeypatch.setattr(sentencepiece, "BATCH", 100)
+    found = sentencepiece.round_trip(edge_docs, PIECES)
+    assert found.columns == ["key", "n_tokens", "ids_crc32", "text_crc32", "lossless"]
+    assert sorted(map(repr, map(tuple, found.collect()))) == sorted(map(repr, expected))
+    assert sentencepiece.round_trip(no_docs, PIECES).count() == 0
+
+
 # Vectors.
 
 VECTORS = [

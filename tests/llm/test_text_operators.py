@@ -135,10 +135,32 @@ def test_simhash_edge_rows(edge_docs, no_docs):
     assert simhash.near_duplicates(no_docs).count() == 0
     kept = simhash.keep(edge_docs)
     assert kept.columns == edge_docs.columns
-    assert sorted(r.doc_id for r in kept.collect() if r.doc_id) == [1, 2, 5, 6, 9, 11, 12]
+    assert sorted((r.doc_id for r in kept.collect()), key=repr) == [1, 11, 12, 2, 5, 6, 9, None]
     assert simhash.keep(no_docs).count() == 0
 
 
+A, B, C = PROSE, " ".join(reversed(PROSE.split())), "word " * 30
+
+
+@pytest.mark.parametrize(
+    "rows, stay",
+    [
+        ([(1, A), (5, A), (5, B)], [(1, A), (5, B)]),
+        ([(1, A), (1, B)], [(1, A), (1, B)]),
+        ([(1, A), (1, A.upper())], 1),
+        ([(3, A), (3, A), (3, B), (4, B), (4, C), (3, C)], [(3, A), (3, B), (3, C)]),
+        ([(None, A), (2, A), (None, B), (None, C)], [(2, A), (None, B), (None, C)]),
+        ([(None, A), (None, A), (9, None), (8, "")], [(None, A), (8, "")]),
+    ],
+)
+def test_rows_are_kept_not_ids(make_docs, rows, stay):
+    found = [(r.doc_id, r.text) for r in simhash.keep(make_docs(rows)).collect()]
+    if stay == 1:
+        assert len(found) == 1 and found[0] in rows
+    else:
+        assert sorted(found, key=repr) == sorted(stay, key=repr)
+
+
 def test_trie_walk_equals_all_pairs():
     rng = random.Random(3)
     fps = []

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -73,8 +74,7 @@ def misspelt(seed):
 
 
 @pytest.mark.parametrize("seed", range(3))
-def test_variants_equal_all_pairs(make_docs, monkeypatch, seed):
-    monkeypatch.setattr(words, "SLICE", 200)
+def test_variants_equal_all_pairs(make_docs, seed):
     rows = misspelt(seed)
     expected = plain_variants(rows)
     assert any(form and root != form for _, form, root, *_ in expected)
@@ -89,6 +89,74 @@ def test_variants_edge_rows(edge_docs, no_docs):
     assert spelling.variants(no_docs).count() == 0
 
 
+LONG = [(i, t.encode()) for i, t in enumerate(
+    ["a b. c  d\te", "", "word " * 300, "x" * 500, "p q, " * 90 + "x" * 300 + " end", " \n "]
+)]
+
+
+def test_long_texts_are_cut_between_words(monkeypatch):
+    monkeypatch.setattr(words, "SLICE", 40)
+    for _, raw in LONG:
+        parts = list(words.slices(raw))
+        assert b" ".join(parts).split() == raw.split()
+        assert len(raw) < 100 or b"x" * 100 in raw or max(map(len, parts)) < 60
+        # Letter runs and phrases: nothing is lost or seen twice.
+        runs = [run for part in parts for run in spelling._RUN.findall(part)]
+        assert runs == spelling._RUN.findall(raw)
+
+
+def test_phrases_over_several_streams(monkeypatch):
+    """Counts of the streams that a long text goes over add up to those of one stream."""
+
+    def counted():
+        found = Counter()
+        for ws, repeated in collocations._streams([raw for _, raw in LONG]):
+            for k in (1, 2, 3):
+                for i in range(max(0, repeated - k + 1), len(ws) - k + 1):
+                    found[tuple(ws[i : i + k])] += 1
+        return {p: n for p, n in found.items() if b"." not in p}
+
+    whole = counted()
+    monkeypatch.setattr(words, "SLICE", 40)
+    monkeypatch.setattr(collocations, "BUFFER", 90)
+    assert counted() == whole
+    assert whole[(b"p", b"q")] == 90 and (b"q", b"p") not in whole
+
+
+@pytest.mark.parametrize("depth", [1, 2, 3])
+def test_contexts_over_several_streams(monkeypatch, depth):
+    def placed():
+        found = []
+        for ws, rows, lengths, repeated in suffix_tree._streams(iter(LONG), depth):
+            owners = [row for row, n in zip(rows, lengths, strict=True) for _ in range(n)]
+            assert len(owners) == len(ws)
+            for i in range(repeated, len(ws)):
+                before = ws[max(0, i - depth) : i]
+                if b" " in before:
+                    before = before[len(before) - 1 - before[::-1].index(b" ") :]
+                found.append((owners[i], ws[i], tuple(before) if ws[i] != b" " else ()))
+        return found
+
+    whole = placed()
+    monkeypatch.setattr(words, "SLICE", 40)
+    monkeypatch.setattr(suffix_tree, "BUFFER", 90)
+    assert placed() == whole
+
+
+def test_key_counts_stay_few(monkeypatch):
+    counts = words.KeyCounts(limit=50)
+    rng = random.Random(2)
+    keys = [rng.randrange(200) for _ in range(5000)]
+    given = Counter()
+    for at in range(0, 5000, 100):
+        counts.add(np.array(keys[at : at + 100]))
+        if counts.full():
+            assert counts.size <= 300
+            given.update(dict(zip(*(x.tolist() for x in counts.take()), strict=True)))
+    given.update(dict(zip(*(x.tolist() for x in counts.take()), strict=True)))
+    assert given == Counter(keys)
+
+
 def test_a_run_loses_a_letter():
     run = next(w for w in (f"letters{chr(97 + i)}{chr(97 + j)}" for i in range(26) for j in range(26))
                if zlib.crc32(f"7:{w}".encode()) % 199 == 0)
@@ -150,9 +218,7 @@ def lang_docs(spark, rows):
 
 
 @pytest.mark.parametrize("limit", [2000, 9, 2])
-def test_collocations_equal_brute_force(spark, monkeypatch, limit):
-    monkeypatch.setattr(words, "SLICE", 60)
-    monkeypatch.setattr(collocations, "BUFFER", 150 if limit == 9 else 2000)
+def test_collocations_equal_brute_force(spark, limit):
     rows = talk(limit)
     found = collocations.collocations(lang_docs(spark, rows), limit=limit)
     assert found.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
@@ -266,8 +332,6 @@ def near_rows(found, expected):
 
 @pytest.mark.parametrize("depth, entries", [(1, 0), (2, 0.01), (3, 1)])
 def test_suffix_tree_equals_dictionaries(make_docs, monkeypatch, depth, entries):
-    monkeypatch.setattr(words, "SLICE", 50)
-    monkeypatch.setattr(suffix_tree, "BUFFER", 120)
     monkeypatch.setattr(suffix_tree, "ENTRIES", entries)  # none, some and all are looked up
     monkeypatch.setattr(suffix_tree, "SYMBOLS", 0.0)
     rows = stories(depth)
