@@ -41,9 +41,9 @@ SHARPNESS = 2.0
 BYTES_WEIGHT = -40.0
 #: Edges of filtered lattices that a worker keeps, 13 bytes each. The parts of one batch must all be
 #: there at once, so a worker has room for this many and for those of a batch.
-EDGES = 5_000_000
+EDGES = 14_000_000
 #: Characters of a batch, and of the parts that are filtered together.
-BATCH, FILTERED = 400_000, 60_000
+BATCH, FILTERED = 1_000_000, 60_000
 #: Parts of a text that are worked on at once; a longer text goes over several batches.
 PARTS = 50_000
 _ROW, _PART, _STEP = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
@@ -224,7 +224,12 @@ class Vocabulary:
 
     def cut(self, text: str | None) -> Iterator[list[str]]:
         """The parts of a text, some at a time; no list for an empty text."""
-        found = self.parts.finditer(" " + text) if text else iter(())
+        if not text:
+            return
+        if len(text) <= PARTS:
+            yield self.parts.findall(" " + text)
+            return
+        found = self.parts.finditer(" " + text)
         while parts := [match[0] for match in islice(found, PARTS)]:
             yield parts
 

@@ -18,7 +18,8 @@ Tasks know the tree's nodes, the frequent symbols and the entries that make up a
 all tokens, which all have that proven bound. Counts of rare words and all other entries lie in
 tables that grow with the corpus and are joined to what a text needs of them. For that, an entry also
 has what it adds to the log-probability that its node would give without it. These add up along the
-suffixes of a context, so one join looks up all of them.
+suffixes of a context, so one join looks up all of them; a bitmap of fixed size holds back most of
+what has no entry.
 
 Defined results: a null or empty text is one end; a null id counts as an empty text in the hash that
 decides what is held out, and is held out; each of several rows with one id is learnt from and scored
@@ -38,12 +39,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesmill.llm.common import stash
-from salesmill.llm.words import KeyCounts, binary, coded, slices, strings
+from salesmill.llm.words import KeyCounts, binary, coded, passes, sieve, slices, strings
 
 DEPTH = 2
 SYMBOLS, CONTEXTS = 2.0**-20, 2.0**-16
 #: Entries that tasks know rather than look up: no result depends on it.
-ENTRIES = 2.0**-22
+ENTRIES = 2.0**-20
 #: A context occurs at least so often.
 OCCURRENCES = 16
 #: Nats a token by which a context must predict better than its suffix.
@@ -58,6 +59,8 @@ END, RARE, START = 0, 1, 2
 #: Words never hold a blank and are never empty.
 _END, _START = b"", b" "
 _BITS = 21
+#: The hash of a key in the sieve of entries, which has ``2 ** _SIEVE`` slots: no product overflows.
+_FACTOR, _DROP, _SIEVE = 11_400_713, 15, 26
 
 
 @dataclass
@@ -78,6 +81,8 @@ class Tree:
     #: Frequent entries: sorted keys (node, symbol), and log10 of their probabilities.
     keys: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
     log_q: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    #: Bitmap of all entries: what it holds back has none to be looked up.
+    sieve: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))
 
     def symbols(self, words: list[bytes]) -> np.ndarray:
         get = self.ids.get
@@ -88,10 +93,13 @@ class Tree:
         found, node = [], np.zeros(len(ids), np.int64)
         for back, (keys, names) in enumerate(self.levels, 1):
             before = np.r_[np.full(min(back, len(ids)), END), ids[:-back]]
-            at, hit = _find(keys, node << _BITS | before)
-            if back > 1:
-                hit &= node > 0
-            node = np.where(hit, names[at] if len(names) else 0, 0)
+            if back == 1:  # keys are symbols
+                table = np.zeros(len(self.log_p), np.int64)
+                table[keys] = names
+                node = table[before]
+            else:
+                at, hit = _find(keys, node << _BITS | before)
+                node = np.where(hit & (node > 0), names[at] if len(names) else 0, 0)
             found.append(node)
         return found
 
@@ -356,6 +364,8 @@ def _scored(rows: DataFrame, tree: Tree) -> DataFrame:
                     log[left] += tree.back[state[left]]
                     state[left] = tree.up[state[left]]
                 asked, wanted = (np.concatenate(x) for x in zip(*waiting, strict=True))
+                there = passes(tree.sieve, wanted * _FACTOR >> _DROP)
+                asked, wanted = asked[there], wanted[there]
                 base = np.where(rare, 0.0, tree.log_p[ids])
                 known = ~rare & (tree.counts[ids] > 0)
                 spelled, code = coded([words[i] for i in places[rare].tolist()])
@@ -412,6 +422,8 @@ def score(
         # At most 1 / ENTRIES rows of each level.
         often = growth.entries.where(F.col("n") >= tokens * ENTRIES).toPandas().sort_values("key")
         tree.keys, tree.log_q = often["key"].to_numpy(np.int64), often["log_q"].to_numpy()
+        hashed = F.expr(f"shiftright(key * {_FACTOR}L, {_DROP})")
+        tree.sieve = sieve(growth.entries, hashed, _SIEVE)
     # Numbers of rows hold because they are written with all that is found out about a row.
     numbered = rows.select(F.monotonically_increasing_id().alias("uid"), "key", "held_out", "text")
     parts = stash(_scored(numbered, tree), "parts")
