@@ -3,6 +3,11 @@
 Each stage takes (spark, docs, sf_dir), works on all that the one before kept and returns the columns
 of documents; the last returns placed pieces. ``run`` writes every stage's result as Parquet to the
 shared folder and reads it again, so a lost executor repeats tasks of one stage only.
+
+Null and empty texts have no words: the classifier drops them, and each other stage on its own takes
+them as empty texts. Rows are kept or dropped, not ids, so rows that share an id live on side by side if
+their texts differ; null ids stay null. Columns beyond those of documents pass through all stages but
+the last under their own names. Empty tables stay empty.
 """
 
 from __future__ import annotations
@@ -27,13 +32,19 @@ def apply_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: four-word shingles, at most four bits apart."""
+    """One row of each group of near copies, that with the smallest id: four-word shingles, at most
+    four bits apart. Rows of one id are copies only if their texts are alike.
+    """
     ship(spark)
     return simhash.keep(docs)
 
 
 def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the passages of 100 bytes or more that occur earlier."""
+    """Documents without the passages of 100 bytes or more that occur earlier.
+
+    Every row stays, if need be with an empty text; a null text becomes an empty one. Of rows with equal
+    ids and texts none counts as earlier than the other. ``n_chars`` is counted again.
+    """
     ship(spark)
     cut = substring_dedup.keep(docs)
     if "n_chars" not in docs.columns:
@@ -43,7 +54,10 @@ def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents, placed in sequences of 2048 tokens."""
+    """The pieces of all documents, placed in sequences of 2048 tokens.
+
+    An empty or null text is the end token alone. Rows that share an id have pieces each.
+    """
     ship(spark)
     # Workers still hold what earlier stages left them: a smaller cache than alone.
     vocabulary = public_tokenizers.path("byte_bpe_50k.json")
