@@ -198,7 +198,7 @@ def _symbols(vocabulary: DataFrame, texts: int, tokens: int, types: int, depth:
     # At most 1 / SYMBOLS rows: the counts add up to fewer than all tokens.
     common = vocabulary.where(
         (F.col("n") >= tokens * SYMBOLS) & (F.octet_length("word") <= LONGEST)
-    ).toPandas()
+    ).toArrow().to_pandas()
     common = common.sort_values("word")
     ids = {_END: END, _START: START}
     ids.update((word.encode(), i) for i, word in enumerate(common["word"], START + 1))
@@ -254,7 +254,7 @@ class Growth:
         rows = stash(entry_counts(self.docs, self.tree).where("n >= 2"), "entries")
         node = F.expr(f"shiftright(key, {_BITS})").alias("node")
         # One row per node of this level.
-        seen = rows.groupBy(node).agg(F.count("*").alias("k"), F.sum("n").alias("n")).toPandas()
+        seen = rows.groupBy(node).agg(F.count("*").alias("k"), F.sum("n").alias("n")).toArrow().to_pandas()
         often = dict(zip(seen["node"], zip(seen["k"], seen["n"], strict=True), strict=True))
         types = []
         for at in range(first, len(self.contexts)):
@@ -280,7 +280,7 @@ class Growth:
         # What the node would say of an occurrence that it had not seen, against its suffix.
         unseen = (F.col("n") - 2 + F.col("types") * F.col("parent")) / (F.col("count") - 1)
         gain = F.sum(F.col("n") * F.log(unseen / F.col("parent")))
-        gains = known.groupBy("node").agg(gain.alias("gain")).toPandas()
+        gains = known.groupBy("node").agg(gain.alias("gain")).toArrow().to_pandas()
         gains = dict(zip(gains["node"], gains["gain"], strict=True))
         for at, t in zip(range(first, len(self.contexts)), types, strict=True):
             n = self.counts[at]
@@ -420,7 +420,7 @@ def score(
     growth = Growth(train, tree, tokens)
     if growth.entries is not None:
         # At most 1 / ENTRIES rows of each level.
-        often = growth.entries.where(F.col("n") >= tokens * ENTRIES).toPandas().sort_values("key")
+        often = growth.entries.where(F.col("n") >= tokens * ENTRIES).toArrow().to_pandas().sort_values("key")
         tree.keys, tree.log_q = often["key"].to_numpy(np.int64), often["log_q"].to_numpy()
         hashed = F.expr(f"shiftright(key * {_FACTOR}L, {_DROP})")
         tree.sieve = sieve(growth.entries, hashed, _SIEVE)

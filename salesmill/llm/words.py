@@ -94,10 +94,10 @@ def sieve(rows: DataFrame, hashed: Column, bits: int) -> np.ndarray:
         rows.select(hashed.bitwiseAND((1 << bits) - 1).alias("slot"))
         .groupBy(F.expr("shiftright(slot, 6)").alias("cell"))
         .agg(F.expr("bit_or(shiftleft(1L, cast(slot & 63 as int)))").alias("set"))
-        .toPandas()
+        .toArrow()  # rows in Python would take hundreds of megabytes
     )
     found = np.zeros(1 << (bits - 6), np.int64)
-    found[cells["cell"].to_numpy(np.int64)] = cells["set"].to_numpy(np.int64)
+    found[cells["cell"].to_numpy()] = cells["set"].to_numpy()
     return found
 
 
