@@ -41,7 +41,7 @@ LIMIT = 2000
 HELD = 50
 WORD_BITS, PAIR_BITS = 24, 26
 #: Bytes of text that a task counts at once.
-BUFFER = 12 << 20
+BUFFER = 8 << 20
 _BREAK = re.compile(rb"[.,;:!?\n-\r]+")
 _EDGE = b"."
 _SALTS = 64
