@@ -12,11 +12,12 @@ from salesmill.plans.kpi import (
     one_pass,
     tables_from_one_pass,
 )
+from salesmill.sources.inference import cast_to, kind_aggregates, types_of
 from salesmill.sources.sales_csv import (
-    inferred_types,
     read_sales_text,
     reject_counts,
     typed_sales,
+    unknown_headers,
 )
 from salesmill.sources.sinks import (
     publish_tables,
@@ -44,22 +45,27 @@ def run(
     """Write everything under ``out_dir`` and return the tables, read from there.
 
     The text files are parsed once; that pass also counts what does not convert (``rejects``, and
-    with ``on_reject="fail"`` an error before any table is built). The cleaned fact is written and
+    with ``on_reject="fail"`` an error before any table is built) and, with ``infer``, finds the types of
+    columns that no schema names: their files hold text, the returned fact has them in these types
+    (``types`` lists them for other readers). The cleaned fact is written and
     read back as Parquet instead of cached: it survives lost executors, and later scans read only
     the columns they need. All KPI tables come from one scan of it; the rest works on group rows.
     """
     seen = Observation("rejects")
     text = read_sales_text(spark, input_path)
     counts = reject_counts(text)
-    watched = text.observe(seen, *(count.alias(name) for name, count in counts.items()))
-    raw = typed_sales(watched, inferred_types(spark, input_path) if infer else None)
-    cleaned = clean(raw)
+    unknown = unknown_headers(text) if infer else []
+    measures = {**counts, **kind_aggregates(unknown)}
+    watched = text.observe(seen, *(measure.alias(name) for name, measure in measures.items()))
+    cleaned = clean(typed_sales(watched))
     write_parquet(cleaned, f"{out_dir}/cleaned_parquet", partition_by)
-    rejected = seen.get
+    found = seen.get
+    rejected = {name: found[name] for name in counts}
     if on_reject == "fail" and any(rejected.values()):
         raise RejectedFields(f"rejected: { {k: v for k, v in rejected.items() if v} }")
     # The schema is stated because partition values are otherwise typed by their text.
-    fact = spark.read.schema(cleaned.schema).parquet(f"{out_dir}/cleaned_parquet")
+    types = types_of(unknown, found)
+    fact = cast_to(spark.read.schema(cleaned.schema).parquet(f"{out_dir}/cleaned_parquet"), types)
     write_parquet(one_pass(fact), f"{out_dir}/kpi_parts_parquet")
     parts = spark.read.parquet(f"{out_dir}/kpi_parts_parquet")
     # Parquet keeps no order, so none is made.
@@ -77,5 +83,9 @@ def run(
         "cleaned": fact,
         "null_dates": null_dates_from_one_pass(parts),
         "rejects": rejects,
+        "types": spark.createDataFrame(
+            [(name, dtype.simpleString()) for name, dtype in types.items()],
+            "column_name string, type string",
+        ),
         **tables,
     }

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from salesmill.functions import parse_sales_date
 from salesmill.schema import RAW_TYPES, RENAME
+from salesmill.sources.inference import infer_types
 
 #: Holds the text of a line with too few or too many fields.
 MALFORMED = "_malformed_line"
@@ -112,10 +113,9 @@ def typed_sales(text: DataFrame, extra: dict[str, T.DataType] | None = None) ->
     )
 
 
-def inferred_types(spark: SparkSession, path: str, **options: str) -> dict[str, T.DataType]:
-    """What Spark infers for the columns whose type is not known."""
-    guessed = spark.read.options(header=True, escape='"', inferSchema=True, **options).csv(path)
-    return {f.name: f.dataType for f in guessed.schema if f.name not in RAW_TYPES}
+def unknown_headers(text: DataFrame) -> list[str]:
+    """Columns of ``read_sales_text`` that no schema names."""
+    return [h for h in text.columns if h not in RAW_TYPES and h != MALFORMED]
 
 
 def read_sales_csv(
@@ -124,8 +124,8 @@ def read_sales_csv(
     """Sales rows of headed CSV files under ``path``.
 
     Known headers have known types, in whatever order a file has them; other columns are text, or
-    with ``infer=True``, which costs a pass over all the data, what Spark infers for them. Fields
-    that do not convert become null; ``rejects`` counts them.
+    with ``infer=True`` the least type that holds all their fields, which costs a pass over the data if
+    there are such columns. Fields that do not convert become null; ``rejects`` counts them.
     """
-    extra = inferred_types(spark, path, **options) if infer else None
-    return typed_sales(read_sales_text(spark, path, **options), extra)
+    text = read_sales_text(spark, path, **options)
+    return typed_sales(text, infer_types(text, unknown_headers(text)) if infer else None)
