@@ -8,7 +8,8 @@ URLs, picked by hash, is not trained on; the threshold is the one that splits th
 
 Everything is DataFrame work. Counts are pre-aggregated n-grams; probabilities are joined to the
 distinct n-grams; URLs are scored once per distinct text, so copies of a URL cost nothing, and the
-score join is a plain one whose hot n-grams Spark splits.
+score join is a plain one whose hot n-grams Spark splits. The work is in proportion to the characters,
+also of one very long URL.
 
 A null URL or one without ``://`` has an empty host and path and no rule; it is scored like any
 other (its only character is the end). Without URLs of both kinds the threshold is 0 and the models
@@ -32,6 +33,8 @@ ALPHABET = 256
 HELD_OUT = 5
 #: Scores are binned by hundredths between these bounds to find the threshold.
 BINS = 1000
+#: Log ratios are added up as whole numbers of this part of one.
+UNITS = 1_000_000_000
 
 
 @dataclass(frozen=True)
@@ -80,12 +83,14 @@ def grams(texts: DataFrame, *keep: str) -> DataFrame:
     """Each character of ``site`` and the end mark, with the ORDER - 1 characters before it."""
     padded = F.concat(F.repeat(F.lit("\x02"), F.lit(ORDER - 1)), "site", F.lit("\x03"))
     places = F.sequence(F.lit(1), F.length("site") + 1)
-    return texts.select(*keep, padded.alias("padded"), places.alias("places")).select(
-        *keep,
-        F.explode(
-            F.transform("places", lambda i: F.substring(F.col("padded"), i, F.lit(ORDER)))
-        ).alias("gram"),
-    )
+
+    def windows(chars: Column) -> Column:
+        return F.transform(places, lambda i: F.array_join(F.slice(chars, i, ORDER), ""))
+
+    # As a lambda's argument the characters are cut once a text; a column of theirs would be put
+    # into the inner lambda and cut again for every place.
+    found = F.transform(F.array(F.split(padded, "")), windows)[0]
+    return texts.select(*keep, F.explode(found).alias("gram"))
 
 
 def log_ratios(counts: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -176,7 +181,9 @@ def judge(
     sites = rows.groupBy("site").agg(
         F.max("rule").alias("rule"), F.max("verdict").alias("verdict")
     )
-    sites = stash(sites.withColumn("held_out", held_out), "url_sites")
+    # N-grams carry a number in place of their text.
+    numbered = sites.withColumns({"held_out": held_out, "site_id": F.monotonically_increasing_id()})
+    sites = stash(numbered, "url_sites")
     counts = stash(
         grams(sites.where("rule IS NOT NULL AND NOT held_out"), "verdict")
         .groupBy("gram")
@@ -188,23 +195,21 @@ def judge(
     )
     asked = sites.where("rule IS NULL OR held_out")
     model = stash(log_ratios(counts, grams(asked).distinct()), "url_model")
-    scores = stash(
-        grams(asked, "site", "rule", "verdict")
+    # Whole billionths: a sum of doubles would depend on the order of the rows.
+    units = F.sum(F.round(F.col("ratio") * UNITS).cast("long"))
+    means = (
+        grams(asked, "site_id")
         .join(model, "gram")
-        .groupBy("site")
-        .agg(
-            F.avg("ratio").alias("score"),
-            F.max("rule").alias("site_rule"),
-            F.max("verdict").alias("site_verdict"),
-        ),
-        "url_scores",
+        .groupBy("site_id")
+        .agg((units / F.count("*") / UNITS).alias("score"))
     )
-    judged = scores.where("site_rule IS NOT NULL")
-    accepted = (F.col("site_verdict") == "allow").alias("accepted")
+    scores = stash(means.join(asked, "site_id"), "url_scores")
+    judged = scores.where("rule IS NOT NULL")
+    accepted = (F.col("verdict") == "allow").alias("accepted")
     threshold = best_threshold(judged.select("score", accepted))
     own = F.when(F.col("score") >= threshold, "allow").otherwise("block")
     return rows.join(
-        scores.where("site_rule IS NULL").select("site", "score"), "site", "left"
+        scores.where("rule IS NULL").select("site", "score"), "site", "left"
     ).select(
         F.col("key").alias(key),
         "host",

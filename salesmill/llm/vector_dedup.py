@@ -21,6 +21,7 @@ repeated id are vectors of their own; a null id is never the smallest. An empty
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -34,7 +35,9 @@ from salesmill.llm.components import components
 COSINE = 0.95
 #: The index is fitted on about so many classes, picked by hash; at most twice as many.
 SAMPLE = 8192
-LISTS = 512
+#: Lists grow with the square root of the classes, between these bounds, so that a list and its
+#: visitors grow no faster.
+LISTS, MOST_LISTS = 512, 4096
 #: Centroids are no closer than this, so that a dense group does not fall apart into many lists.
 CENTROID_COSINE = 0.7
 PROBES = 10
@@ -69,11 +72,11 @@ class Index:
     books: list[np.ndarray]
 
     @staticmethod
-    def fit(units: np.ndarray) -> Index:
+    def fit(units: np.ndarray, lists: int = LISTS) -> Index:
         chosen: list[int] = []
         free = np.full(len(units), -1.0)
         for i in range(len(units)):
-            if free[i] < CENTROID_COSINE and len(chosen) < LISTS:
+            if free[i] < CENTROID_COSINE and len(chosen) < lists:
                 chosen.append(i)
                 free = np.maximum(free, units @ units[i])
         coarse = units[chosen]
@@ -208,6 +211,10 @@ def _indexed(classes: DataFrame, size: int, index: Index) -> DataFrame:
     )
 
 
+def list_count(classes: int) -> int:
+    return min(MOST_LISTS, max(LISTS, math.isqrt(classes)))
+
+
 def _found(classes: DataFrame, size: int, total: int, cosine: float) -> DataFrame | None:
     """``cid``, ``links`` and ``root`` from the blocks of all classes of one vector length."""
     own = classes.where(F.size("vector") == size)
@@ -215,12 +222,15 @@ def _found(classes: DataFrame, size: int, total: int, cosine: float) -> DataFram
         places = 1 << 40
         draw = F.pmod(F.xxhash64("cid"), F.lit(places))
         own = own.where(draw < SAMPLE * places // total)
-    picked = own.select("cid", "vector").limit(2 * SAMPLE).collect()
-    index = Index.fit(_unit([r.vector for r in sorted(picked, key=lambda r: r.cid)]))
+    picked = own.select("cid", "vector").limit(2 * SAMPLE + 1).collect()
+    if len(picked) > 2 * SAMPLE:  # any rows of so many would be another index each time
+        raise RuntimeError(f"more than {2 * SAMPLE} vectors were picked for the index")
+    units = _unit([r.vector for r in sorted(picked, key=lambda r: r.cid)])
+    index = Index.fit(units, list_count(total))
     rows = stash(_indexed(classes, size, index), "vector_index")
     members = rows.select("*", F.col("home").alias("list"), F.lit(False).alias("visits"))
     visitors = rows.select("*", F.explode("probes").alias("list"), F.lit(True).alias("visits"))
-    # At most LISTS rows.
+    # At most MOST_LISTS rows.
     chunks = (
         members.groupBy("list").agg(F.count("*").alias("n_in"))
         .join(visitors.groupBy("list").agg(F.count("*").alias("n_out")), "list")

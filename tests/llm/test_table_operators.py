@@ -1,8 +1,10 @@
 """Shards, URLs, tokens, packing, pieces and vectors against plain Python."""
 
+import functools
 import hashlib
 import math
 import random
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -10,6 +12,8 @@ import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
+import xxhash
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from llm_edge import EDGE
@@ -214,6 +218,81 @@ def test_language_model_equals_recursion(spark):
         assert ratio == pytest.approx(plain_ratio(counts, gram))
 
 
+def plain_judge(urls):
+    """Scores and verdicts of URLs without a rule, by dictionaries."""
+    order = url_filter.ORDER
+    sites = {}
+    for url in urls:
+        host, path, _, verdict = plain_rule(url)
+        sites[host + path] = verdict
+
+    def own_grams(site):
+        padded = "\x02" * (order - 1) + site + "\x03"
+        return [padded[i : i + order] for i in range(len(site) + 1)]
+
+    def held_out(site):
+        draw = xxhash.xxh64_intdigest(site.encode(), 42)
+        return (draw - (draw >> 63 << 64)) % url_filter.HELD_OUT == 0
+
+    counts = [{k: Counter() for k in range(1, order + 1)} for _ in range(2)]
+    for site, verdict in sites.items():
+        if verdict and not held_out(site):
+            for gram in own_grams(site):
+                for k in range(1, order + 1):
+                    counts[verdict != "allow"][k][gram[-k:]] += 1
+    ratio = functools.cache(lambda gram: round(plain_ratio(counts, gram) * url_filter.UNITS))
+
+    def score(site):
+        found = [ratio(gram) for gram in own_grams(site)]
+        return sum(found) / len(found) / url_filter.UNITS
+
+    judged = [(score(s), v == "allow") for s, v in sites.items() if v and held_out(s)]
+    errors = {}
+    good, bad = ([x for x, kind in judged if kind == wanted] for wanted in (True, False))
+    for place in range(-url_filter.BINS, url_filter.BINS + 2) if good and bad else ():
+        def below(scores, place=place):
+            bins = (min(max(math.floor(x * 100), -url_filter.BINS), url_filter.BINS) for x in scores)
+            return sum(b < place for b in bins) / len(scores)
+
+        errors[place] = below(good) + 1 - below(bad)
+    ties = [place for place, error in errors.items() if math.isclose(error, min(errors.values()))]
+    threshold = ties[len(ties) // 2] / 100 if ties else 0.0
+    return {s: (score(s), "allow" if score(s) >= threshold else "block") for s, v in sites.items() if not v}
+
+
+def test_scored_verdicts_equal_plain_python(spark):
+    rng = random.Random(4)
+    hosts = ["shop.com", "a.example.com", "b.net", "c.org", "d.org", "é😀.org"]
+    paths = ["/en/", "/es/", "/fr/", "/de/", "/"]
+    words = {"com": "buy list item", "net": "casino win now", "org": "item win page 😀"}
+    urls = []
+    for i in range(150):
+        host, path = rng.choice(hosts), rng.choice(paths)
+        own = words[host.rsplit(".", 1)[1]].split()
+        urls.append(f"https://{host}{path}{rng.choice(own)}-{rng.choice(own)}{i % 20}")
+    urls += ["", "https://x.org/" + "page-" * 300]
+    expected = plain_judge(urls)
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    rows = url_filter.judge(pages.repartition(3)).collect()
+    assert {r.rule for r in rows} > {None} and len(rows) == len(urls)
+    assert {v for _, v in expected.values()} == {"allow", "block"}
+    for r in rows:
+        if r.rule is None:
+            score, verdict = expected[r.host + r.path]
+            assert (r.score, r.verdict) == (pytest.approx(score, abs=1e-8), verdict)
+
+
+def test_work_on_one_url_is_in_proportion_to_its_length(spark):
+    """A million characters; work that grows with the square would take hours."""
+    long = "https://a.org/" + "".join(f"{i * 7919 % 1000003:06d}" for i in range(170_000))
+    urls = [long, "https://a.com/x", "https://b.net/es/y", "https://c.org/z"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    started = time.monotonic()
+    rows = url_filter.judge(pages).select("page_id", F.length("path").alias("n"), "verdict").collect()
+    assert time.monotonic() - started < 60
+    assert {r.page_id: r.n for r in rows}[0] == len(long) - len("https://a.org")
+
+
 # Tokens.
 
 ODD = [
@@ -255,15 +334,48 @@ def test_token_files_edge_rows(spark, edge_docs, no_docs, tmp_path):
     assert token_files.documents(token_files.read(spark, empty)).count() == 0
 
 
-def test_token_files_have_bloom_filters_and_prune(spark, make_docs, tmp_path):
+@pytest.fixture
+def many_tokens(spark, make_docs, tmp_path, monkeypatch):
+    """One file of several stripes, each of several row groups; the keys are even."""
+    monkeypatch.setattr(token_files, "STRIPE_BYTES", 50_000)
     folder = str(tmp_path / "many")
-    docs = make_docs([(i, f"text {i}") for i in range(5000)])
-    token_files.write(token_files.encode(docs, WORDS), folder)
-    wanted = token_files.read(spark, folder).where("key = 4321")
-    assert wanted.count() == 1
-    assert "EqualTo(key,4321)" in wanted._jdf.queryExecution().toString()
-    raw = b"".join(p.read_bytes() for p in (tmp_path / "many").glob("*.orc"))
-    assert raw.startswith(b"ORC") and raw.count(b"ORC") >= 2
+    docs = make_docs([(2 * i, f"text {i} " + "word " * (i % 40)) for i in range(20_000)])
+    token_files.write(token_files.encode(docs, WORDS).coalesce(1), folder)
+    (path,) = (tmp_path / "many").glob("*.orc")
+    return folder, str(path)
+
+
+def test_stripes_have_row_indexes_and_bloom_filters_of_keys(spark, many_tokens):
+    jvm = spark._jvm
+    options = jvm.org.apache.orc.OrcFile.readerOptions(jvm.org.apache.hadoop.conf.Configuration())
+    reader = jvm.org.apache.orc.OrcFile.createReader(
+        jvm.org.apache.hadoop.fs.Path(many_tokens[1]), options
+    )
+    assert list(reader.getSchema().getFieldNames())[0] == "key"
+    assert reader.getRowIndexStride() == token_files.INDEX_ROWS
+    stripes = list(reader.getStripes())
+    assert len(stripes) > 2 and sum(s.getNumberOfRows() for s in stripes) == 20_000
+    rows = reader.rows()
+    for stripe in stripes:
+        footer = rows.readStripeFooter(stripe)
+        found = {(s.getKind().toString(), s.getColumn()) for s in footer.getStreamsList()}
+        # Column 1 is the key; the others have an index only.
+        assert {("ROW_INDEX", i) for i in range(6)} <= found
+        assert [c for kind, c in found if kind.startswith("BLOOM_FILTER")] == [1]
+        # Version 2 of the integer run-length encoding.
+        assert footer.getColumns(5).getKind().toString() == "DIRECT_V2"
+    rows.close()
+
+
+@pytest.mark.parametrize("key, groups", [(20_000, 1), (20_001, 0), (50_000, 0), (0, 1)])
+def test_a_key_reads_one_row_group_and_an_absent_one_none(spark, many_tokens, key, groups):
+    """The odd key lies between those of a row group: only the Bloom filter can leave it out."""
+    wanted = token_files.read(spark, many_tokens[0]).where(f"key = {key}")
+    plan = wanted._jdf.queryExecution().executedPlan()
+    assert plan.execute().count() == groups
+    (scan,) = [leaf for leaf in [plan.collectLeaves().apply(0)] if "Scan orc" in leaf.nodeName()]
+    read = scan.metrics().apply("numOutputRows").value()
+    assert groups <= read <= groups * token_files.INDEX_ROWS
 
 
 def one_by_one(counts, window):
@@ -416,8 +528,17 @@ def test_vectors_edge_rows(spark):
     assert vector_dedup.near_duplicates(table.where("vec_id = 4")).count() == 1
 
 
-def test_recall_on_noisy_clusters(spark, monkeypatch):
-    monkeypatch.setattr(vector_dedup, "BLOCK", 100)
+def test_lists_grow_with_the_square_root():
+    assert [vector_dedup.list_count(n) for n in (1, 10**5, 10**6, 10**7, 10**12)] == [
+        512, 512, 1000, 3162, 4096,
+    ]
+
+
+@pytest.mark.parametrize("sample, lists, most", [(vector_dedup.SAMPLE, 512, 4096), (200, 8, 30), (200, 200, 200)])
+def test_recall_on_noisy_clusters(spark, monkeypatch, sample, lists, most):
+    """Also with an index that is fitted on a seventh of the vectors, most of whose clusters are small."""
+    for name, value in {"BLOCK": 100, "SAMPLE": sample, "LISTS": lists, "MOST_LISTS": most}.items():
+        monkeypatch.setattr(vector_dedup, name, value)
     rng = np.random.default_rng(2)
     centres = rng.normal(size=(60, 32))
     points = np.repeat(centres, rng.integers(1, 30, 60), 0)
