@@ -7,8 +7,8 @@ pieces there are of each length: one number per length, whatever the input. The
 best-fit decreasing over these counts, whole runs of equal windows at a time, with a segment tree
 over the room that is left. Its result is a short table of segments: pieces number a to b of a
 length go to windows c, c + 1, ... at an offset. The pieces are numbered within their length in
-independent cells and looked up in that table, so a length that a third of all pieces share is
-numbered by many tasks, and no task sees a window's pieces together.
+independent cells, more of them the more pieces there are, and looked up in that table, so a length
+that a third of all pieces share is numbered by many tasks, and no task sees a window's pieces together.
 
 A null text counts as empty: it has the end id only. Rows with a null or repeated id are packed like
 any other. An empty table gives no rows.
@@ -28,7 +28,9 @@ from salesmill.llm.common import pieces, stash
 from salesmill.llm.tokens import ID, REMEMBERED, encoder
 
 WINDOW = 2048
+#: Pieces of one length are numbered in so many cells, and one more for each ``CELL_PIECES`` of them.
 CELLS = 64
+CELL_PIECES = 1_000_000
 
 
 def cut(
@@ -143,19 +145,31 @@ def best_fit(counts: dict[int, int], window: int) -> list[tuple[int, int, int, i
     return segments
 
 
+def cell_count(n: int) -> int:
+    """Cells of a length that has n pieces: a cell holds about ``CELL_PIECES`` at any scale."""
+    return min(n, CELLS + n // CELL_PIECES)
+
+
 def pack(parts: DataFrame, window: int = WINDOW) -> DataFrame:
     """``parts`` (key, start, length and any more columns) with ``sequence_id`` and ``offset``."""
     spark = parts.sparkSession
-    rows = parts.withColumn("_cell", F.pmod(F.xxhash64("key", "start"), F.lit(CELLS)))
-    counted = rows.groupBy("length", "_cell").agg(F.count("*").alias("n"))
     # At most one row per length.
-    counts = {
-        r["length"]: r["n"] for r in rows.groupBy("length").agg(F.count("*").alias("n")).collect()
-    }
+    lengths = parts.groupBy("length").agg(F.count("*").alias("n")).collect()
+    counts = {r["length"]: r["n"] for r in lengths}
+    cells = spark.createDataFrame(
+        [(length, cell_count(n)) for length, n in counts.items()], "_of int, _cells long"
+    )
+    own_cell = F.pmod(F.xxhash64("key", "start"), F.col("_cells"))
+    rows = (
+        parts.join(F.broadcast(cells), F.col("length") == F.col("_of"))
+        .withColumn("_cell", own_cell)
+        .drop("_of", "_cells")
+    )
+    counted = rows.groupBy("length", "_cell").agg(F.count("*").alias("n"))
     before = Window.partitionBy("length").orderBy("_cell").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    # At most window * CELLS rows.
+    # At most CELLS rows per length, and one per CELL_PIECES pieces.
     offsets = counted.select(
         "length", "_cell", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_ahead")
     )

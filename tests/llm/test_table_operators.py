@@ -414,7 +414,14 @@ def test_runs_equal_best_fit_one_by_one(seed):
     assert sorted(used) == list(range(len(used)))
 
 
-def test_packing_edge_rows(edge_docs, no_docs):
+def test_cells_grow_with_the_pieces_of_a_length():
+    assert [packing.cell_count(n) for n in (1, 63, 5000, 10**7, 12 * 10**9)] == [1, 63, 64, 74, 12064]
+
+
+@pytest.mark.parametrize("cells, each", [(packing.CELLS, packing.CELL_PIECES), (1, 3), (0, 1), (2, 10**6)])
+def test_packing_edge_rows(edge_docs, no_docs, monkeypatch, cells, each):
+    monkeypatch.setattr(packing, "CELLS", cells)
+    monkeypatch.setattr(packing, "CELL_PIECES", each)
     placed = packing.pack(packing.cut(edge_docs, BYTES, 64), 64)
     rows = placed.collect()
     pieces = Counter()
