@@ -5,23 +5,27 @@ smaller id, or earlier in the same one) is removed, all judged on the input.
 
 1. *Sampling.* Of every window of ``LENGTH`` bytes, the k-gram with the smallest hash is its anchor
    (a minimizer; the leftmost of equal ones). Equal windows have equal anchors at equal places, so
-   suffixes that start at anchors are enough. An anchor stands for a run of windows; hashes of the
-   k-gram and of all bytes of the run go through one shuffle by k-gram. A run that occurs earlier as
-   a whole is removed at once; a run that is the first of its kind goes on only if its k-gram also
-   occurs in other surroundings, and only with the windows whose bytes beside the k-gram occur with
-   it there. Runs that recur inside a task are settled there and spread evenly,
-   so a passage that a third of all documents share costs a row per task, not per document.
+   suffixes that start at anchors are enough. An anchor stands for a run of windows; a hash of the
+   k-gram and a 128-bit digest of all bytes of the run go through one shuffle by k-gram. A run that
+   occurs earlier as a whole is removed at once; a run that is the first of its kind goes on only if
+   its k-gram also occurs in other surroundings, and only with the windows whose bytes beside the
+   k-gram occur with it there. Hashes only choose what goes on; bytes or digests decide what is equal.
+   Runs that recur inside a task are settled there and spread evenly, so a passage that a third of
+   all documents share costs a row per task, not per document. K-grams that a hash sample of the
+   documents shows to be frequent are dealt by run, not by k-gram, and all their runs go on, so a line
+   that a third of all documents hold in surroundings of their own is no task's group.
 2. *Suffix array.* The remaining suffixes are dealt by sampled splitters over their leading bytes.
    Each bucket sorts them by multikey quicksort, from the anchor to the right and once more to the
    left; the common prefixes of neighbours in both orders say for every window of every run which
    other runs hold it. The first holder keeps it.
 3. *Boundaries.* Windows whose bytes from the anchor on also start a bucket's first or last suffix
-   may go on in another bucket, so those that are first in their own are compared across buckets, by
-   128-bit digest and pre-aggregated.
+   may go on in another bucket. The runs of those that are first in their own are dealt once more, by
+   their bytes from the anchor to the left, and compared in these buckets the same way. What may
+   go on in others there too is compared across all, by 128-bit digest and pre-aggregated.
 
 Rows with equal ids are documents in the order of a hash of their text; rows equal in both are one
 document, and each gets its result. A null id is smaller than all others. A null text is empty.
-Memory: one batch of texts, one bucket, one document.
+Long texts are hashed in parts. Memory: one batch of texts, one bucket, the bytes of one document.
 """
 
 from __future__ import annotations
@@ -45,6 +49,13 @@ GRAM = 32
 SIDE = 12
 #: Bytes of text that are hashed at once.
 BATCH = 500_000
+#: A place in a batch, which is at most twice as long and a window more, has so many bits at most.
+PLACE_BITS = 24
+#: Of so many documents one is looked at to find frequent k-grams.
+PROBED = 64
+#: Frequent is a k-gram with so many anchors among these, and this share of them: a million at most.
+TIMES = 16
+SHARE = 1e-6
 #: Segments that multikey quicksort leaves to a plain sort.
 SMALL = 64
 
@@ -81,10 +92,10 @@ def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
 def runs(data: bytes, ends: np.ndarray, length: int = LENGTH, gram: int = GRAM):
     """Runs of windows with one anchor, in texts that lie one after the other and stop at ``ends``.
 
-    Returns arrays: hash of the k-gram, hash of all bytes of the run, hashes of the bytes before and
-    behind the k-gram in one number, first and last window, anchor.
+    Returns arrays: hash of the k-gram, digest of all bytes of the run in two numbers, hashes of the
+    bytes before and behind the k-gram in one number, first and last window, anchor.
     """
-    none = (np.zeros(0, np.uint64),) * 3 + (np.zeros(0, np.int64),) * 3
+    none = (np.zeros(0, np.uint64),) * 4 + (np.zeros(0, np.int64),) * 3
     n = len(data)
     if n < length:
         return none
@@ -94,7 +105,7 @@ def runs(data: bytes, ends: np.ndarray, length: int = LENGTH, gram: int = GRAM):
     np.cumsum(noise[np.frombuffer(data, np.uint8)] * power[:n], out=prefix[1:])
     grams = _mixed((prefix[gram:] - prefix[:-gram]) * inverse[: n - gram + 1])
     # The hash in the upper bits, the place in the lower ones: the leftmost of equal hashes wins.
-    bits = np.uint64(max(24, n.bit_length()))
+    bits = np.uint64(PLACE_BITS)
     keyed = (grams >> bits << bits) | np.arange(len(grams), dtype=np.uint64)
     place = _sliding_min(keyed, length - gram + 1) & ((np.uint64(1) << bits) - np.uint64(1))
     # Windows that lie inside one text.
@@ -108,47 +119,68 @@ def runs(data: bytes, ends: np.ndarray, length: int = LENGTH, gram: int = GRAM):
     first = window[new]
     last = window[np.r_[np.flatnonzero(new)[1:], len(window)] - 1]
     anchor = anchor[new]
-    shape = ((anchor - first) * 256 + (last - first)).astype(np.uint64)
-    whole = _mixed((prefix[last + length] - prefix[first]) * inverse[first] + shape * np.uint64(_ODD))
+    view = memoryview(data)
+    # Equal bytes have equal anchors, so the digest of the bytes is that of the run.
+    whole = np.frombuffer(
+        b"".join(
+            blake2b(view[a : b + length], digest_size=16).digest()
+            for a, b in zip(first.tolist(), last.tolist(), strict=True)
+        ),
+        np.uint64,
+    ).reshape(-1, 2)
     before = np.maximum(anchor - SIDE, 0)
     left = _mixed((prefix[anchor] - prefix[before]) * inverse[before])
     behind = anchor + gram
     right = _mixed((prefix[np.minimum(behind + SIDE, n)] - prefix[behind]) * inverse[behind])
     half = np.uint64(32)
-    return grams[anchor], whole, left >> half << half | right >> half, first, last, anchor
+    sides = left >> half << half | right >> half
+    return grams[anchor], whole[:, 0], whole[:, 1], sides, first, last, anchor
 
 
-def _batches(frame: pd.DataFrame) -> Iterator[tuple[bytes, np.ndarray, np.ndarray]]:
-    """Texts of a frame one after the other: bytes, ends, and the documents they are of."""
-    data, ends, docs, size = [], [], [], 0
+def _batches(
+    frame: pd.DataFrame, length: int, batch: int
+) -> Iterator[tuple[bytes, np.ndarray, np.ndarray, np.ndarray]]:
+    """Texts of a frame one after the other: bytes, ends, the documents they are of, where in these
+    they start. A long text comes in parts: each window lies in one part as a whole.
+    """
+    data, ends, docs, begins, size = [], [], [], [], 0
     for doc, text in zip(frame["doc"].tolist(), frame["text"], strict=True):
         raw = (text or "").encode()
-        data.append(raw)
-        size += len(raw)
-        ends.append(size)
-        docs.append(doc)
-        if size >= BATCH:
-            yield b"".join(data), np.array(ends), np.array(docs, np.int64)
-            data, ends, docs, size = [], [], [], 0
+        for begin in range(0, max(len(raw) - length, 0) + 1, batch):
+            data.append(raw[begin : begin + batch + length - 1])
+            size += len(data[-1])
+            ends.append(size)
+            docs.append(doc)
+            begins.append(begin)
+            if size >= batch:
+                yield b"".join(data), np.array(ends), np.array(docs, np.int64), np.array(begins)
+                data, ends, docs, begins, size = [], [], [], [], 0
     if size:
-        yield b"".join(data), np.array(ends), np.array(docs, np.int64)
+        yield b"".join(data), np.array(ends), np.array(docs, np.int64), np.array(begins)
+
+
+#: The digest of a run in two numbers, and its first window, further windows and bytes before the anchor.
+ANCHORS = "gram long, high long, low long, sides long, doc long, place long"
 
 
-def _sampled(frames: Iterator[pd.DataFrame], length: int, gram: int) -> Iterator[pd.DataFrame]:
-    """``gram``, ``run``, ``sides``, ``doc``, ``place``; ``run`` is null where it recurs in a batch."""
-    for frame in pieces(frames, "text", BATCH):
-        for data, ends, docs in _batches(frame):
-            grams, whole, sides, first, last, anchor = runs(data, ends, length, gram)
+def _sampled(
+    frames: Iterator[pd.DataFrame], length: int, gram: int, batch: int
+) -> Iterator[pd.DataFrame]:
+    """The columns of ``ANCHORS``; ``high`` and ``low`` are null where a run recurs in a batch."""
+    for frame in pieces(frames, "text", batch):
+        for data, ends, docs, begins in _batches(frame, length, batch):
+            grams, high, low, sides, first, last, anchor = runs(data, ends, length, gram)
             if not len(first):
                 continue
             text_of = np.searchsorted(ends, first, "right")
-            begins = np.r_[0, ends[:-1]]
             doc = docs[text_of]
-            start = first - begins[text_of]
+            start = first - np.r_[0, ends[:-1]][text_of] + begins[text_of]
             place = start << 16 | (last - first) << 8 | anchor - first
-            order = np.lexsort((place, doc, whole, grams))
-            grams, whole, sides, doc, place = (x[order] for x in (grams, whole, sides, doc, place))
-            same = np.r_[False, (grams[1:] == grams[:-1]) & (whole[1:] == whole[:-1])]
+            order = np.lexsort((place, doc, low, high))
+            grams, high, low, sides, doc, place = (
+                x[order] for x in (grams, high, low, sides, doc, place)
+            )
+            same = np.r_[False, (high[1:] == high[:-1]) & (low[1:] == low[:-1])]
             leader = np.maximum.accumulate(np.where(same, 0, np.arange(len(same))))
             later = same & ((doc != doc[leader]) | (place != place[leader]))
             # Known to occur earlier: any task may take them.
@@ -156,7 +188,8 @@ def _sampled(frames: Iterator[pd.DataFrame], length: int, gram: int) -> Iterator
             yield pd.DataFrame(
                 {
                     "gram": np.where(later, spread, grams).view(np.int64),
-                    "run": pd.arrays.IntegerArray(whole.view(np.int64), later),
+                    "high": pd.arrays.IntegerArray(high.view(np.int64), later),
+                    "low": pd.arrays.IntegerArray(low.view(np.int64), later),
                     "sides": sides.view(np.int64),
                     "doc": doc,
                     "place": place,
@@ -217,14 +250,14 @@ def _shared(matrix: np.ndarray, at: int) -> np.ndarray:
 def bucket(rows: pd.DataFrame, length: int = LENGTH) -> np.ndarray:
     """Which windows of which runs occur earlier in the bucket: a flag per row and offset.
 
-    ``right`` holds the bytes from the anchor to the end of the last window, ``left`` those from the
-    first window to the anchor; offset a is the window that starts a bytes before the anchor.
+    ``right`` holds the bytes from the anchor to the end of the last window, ``left`` those before the
+    anchor, from it back to the first window; offset a is the window that starts a bytes before it.
     """
     n = len(rows)
     ahead = rows["ahead"].to_numpy(np.int64)  # of the first window, the largest offset
     behind = ahead - rows["more"].to_numpy(np.int64)  # the smallest; negative if after the anchor
     right = _matrix(list(rows["right"]), length)
-    left = _matrix([own[::-1] for own in rows["left"]], length)
+    left = _matrix(list(rows["left"]), length)
     by_right = multikey_quicksort(right.view(">u8").astype(np.uint64))
     by_left = multikey_quicksort(left.view(">u8").astype(np.uint64))
     right_common, left_common = _common(right, by_right), _common(left, by_left)
@@ -268,36 +301,72 @@ def _marks(rows: pd.DataFrame, later: np.ndarray, length: int) -> pd.DataFrame:
     )
 
 
-def _sorted(frames: Iterator[pd.DataFrame], length: int, gram: int) -> Iterator[pd.DataFrame]:
-    """Settle a bucket: spans without digest; first windows that may go on in others, with theirs."""
+def _open(rows: pd.DataFrame, later: np.ndarray, side: str, length: int) -> np.ndarray:
+    """Which windows, first in this bucket, may go on in others: a flag per row and offset.
+
+    Buckets are dealt by the bytes of a side. What starts with the same bytes lies together: it can
+    only go on in another bucket if the row at that end of this one starts with them too.
+    """
+    matrix = _matrix(list(rows[side]), length)
+    order = np.lexsort(matrix.view(">u8").astype(np.uint64).T[::-1])
+    reach = np.maximum(_shared(matrix, order[0]), _shared(matrix, order[-1]))[:, None]
+    ahead = rows["ahead"].to_numpy(np.int64)[:, None]
+    behind = ahead - rows["more"].to_numpy(np.int64)[:, None]
+    offset = np.arange(later.shape[1])[None, :]
+    needed = length - offset if side == "right" else offset
+    return ~later & (offset >= behind) & (offset <= ahead) & (needed <= reach)
+
+
+def _rightwards(frames: Iterator[pd.DataFrame], length: int) -> Iterator[pd.DataFrame]:
+    """Settle a bucket dealt by ``right``: spans, with ``stop``, and runs of the windows that may go on
+    in others, without. The bytes of ``left`` are those before the anchor from right to left.
+    """
+    whole = [frame for frame in frames if len(frame)]
+    if not whole:
+        return
+    rows = pd.concat(whole, ignore_index=True)
+    later = bucket(rows, length)
+    yield _marks(rows, later, length).assign(right=None, left=None, more=None, ahead=None)
+    still = _open(rows, later, "right", length)
+    at = np.flatnonzero(still.any(1))
+    if not len(at):
+        return
+    low = still[at].argmax(1)
+    high = still.shape[1] - 1 - still[at, ::-1].argmax(1)
+    rows = rows.iloc[at]
+    yield pd.DataFrame(
+        {
+            "right": [own[: length - a] for own, a in zip(rows["right"], low.tolist(), strict=True)],
+            "left": [own[:a] for own, a in zip(rows["left"], high.tolist(), strict=True)],
+            "doc": rows["doc"].to_numpy(),
+            "start": rows["start"].to_numpy() + rows["ahead"].to_numpy() - high,
+            "more": high - low,
+            "ahead": high,
+            "stop": None,
+        }
+    )
+
+
+def _leftwards(frames: Iterator[pd.DataFrame], length: int) -> Iterator[pd.DataFrame]:
+    """Settle a bucket dealt by ``left``: spans without digest, and windows that may go on with theirs."""
     whole = [frame for frame in frames if len(frame)]
     if not whole:
         return
     rows = pd.concat(whole, ignore_index=True)
     later = bucket(rows, length)
     yield _marks(rows, later, length).assign(high=None, low=None)
-    # What starts with the same bytes lies together: it can only go on in another bucket if the row
-    # at that end of this one starts with them too.
-    right = _matrix(list(rows["right"]), length)
-    order = np.lexsort(right.view(">u8").astype(np.uint64).T[::-1])
-    reach = np.maximum(_shared(right, order[0]), _shared(right, order[-1]))
+    still = _open(rows, later, "left", length)
     found = []
-    for at in np.flatnonzero(reach >= gram).tolist():
+    for at in np.flatnonzero(still.any(1)).tolist():
         own = rows.iloc[at]
-        text = own["left"] + own["right"]
-        for k in range(own["more"] + 1):
-            a = own["ahead"] - k
-            if later[at, a] or length - a > reach[at]:
-                continue
-            digest = blake2b(text[k : k + length], digest_size=16).digest()
+        text = own["left"][::-1] + own["right"]
+        anchor = int(own["start"] + own["ahead"])
+        for a in np.flatnonzero(still[at]).tolist():
+            first = int(own["ahead"]) - a
+            digest = blake2b(text[first : first + length], digest_size=16).digest()
             high, low = np.frombuffer(digest, np.int64).tolist()
-            start = int(own["start"]) + k
-            found.append((own["doc"], start, start + length, high, low))
-        if len(found) >= 100_000:
-            yield pd.DataFrame(found, columns=["doc", "start", "stop", "high", "low"])
-            found = []
-    if found:
-        yield pd.DataFrame(found, columns=["doc", "start", "stop", "high", "low"])
+            found.append((own["doc"], anchor - a, anchor - a + length, high, low))
+    yield pd.DataFrame(found, columns=["doc", "start", "stop", "high", "low"])
 
 
 def _zipped(texts: pd.Series) -> pd.Series:
@@ -320,7 +389,7 @@ def _contexts(frames: Iterator[pd.DataFrame], length: int) -> Iterator[pd.DataFr
                 start, more, ahead = place >> 16, place >> 8 & 255, place & 255
                 anchor = start + ahead
                 found.append(
-                    (raw[anchor : start + more + length], raw[start:anchor], doc, start, more, ahead)
+                    (raw[anchor : start + more + length], raw[start:anchor][::-1], doc, start, more, ahead)
                 )
         yield pd.DataFrame(found, columns=["right", "left", "doc", "start", "more", "ahead"])
 
@@ -348,16 +417,44 @@ def _numbered(rows: DataFrame) -> DataFrame:
     ).drop("own", "own_tie", "tie")
 
 
+def _frequent(rows: DataFrame, length: int, gram: int, batch: int) -> DataFrame:
+    """K-grams whose runs are too many for one task, by a hash sample of the documents."""
+    probed = rows.where(F.pmod(F.xxhash64("doc"), F.lit(PROBED)) == 0)
+    counted = (
+        probed.mapInPandas(lambda frames: _sampled(frames, length, gram, batch), ANCHORS)
+        .rollup("gram")
+        .agg(F.count("high").alias("n"))
+        .where(F.col("n") >= TIMES)
+    )
+    counted = stash(counted, "frequent")
+    # The row of all k-grams; it is missing if they are too few for any to be frequent.
+    total = counted.where("gram IS NULL").first()
+    least = SHARE * total["n"] if total else 0
+    frequent = counted.where(F.col("gram").isNotNull() & (F.col("n") >= least))
+    return frequent.select("gram", F.lit(True).alias("frequent"))
+
+
+def dealt(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+    """Runs as in ``ANCHORS``, whether their k-gram is frequent, and the ``key`` they are dealt by."""
+    batch = BATCH
+    anchors = rows.mapInPandas(lambda frames: _sampled(frames, length, gram, batch), ANCHORS)
+    frequent = F.broadcast(_frequent(rows, length, gram, batch))
+    anchors = anchors.join(frequent, "gram", "left").withColumn(
+        "frequent", F.coalesce("frequent", F.lit(False))
+    )
+    key = F.when(F.col("frequent"), F.xxhash64("high", "low")).otherwise(F.col("gram"))
+    return anchors.withColumn("key", key)
+
+
 def spans(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """``doc`` and the ``start`` and ``stop`` of spans to remove, from ``doc`` and ``text``."""
     rows = rows.select("doc", "text")
-    anchors = rows.mapInPandas(
-        lambda frames: _sampled(frames, length, gram),
-        "gram long, run long, sides long, doc long, place long",
-    ).repartition("gram")
+    anchors = dealt(rows, length, gram).repartition("key")
     anchors = anchors.select(
-        "gram",
-        "run",
+        "key",
+        "high",
+        "low",
+        "frequent",
         "doc",
         "place",
         F.shiftright("sides", 32).alias("left"),
@@ -365,19 +462,20 @@ def spans(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     )
 
     def elsewhere(*same: str) -> Column:
-        """Whether another run has the same k-gram, and the same bytes beside it."""
-        among = Window.partitionBy("gram", *same)
-        return F.min("run").over(among) != F.max("run").over(among)
+        """Whether another run has the same k-gram, and the same bytes beside it; if frequent, yes."""
+        among = Window.partitionBy("key", *same)
+        differ = [F.min(half).over(among) != F.max(half).over(among) for half in ("high", "low")]
+        return F.col("frequent") | differ[0] | differ[1]
 
     own = F.struct("doc", "place")
-    earlier = own != F.min(own).over(Window.partitionBy("gram", "run"))
+    earlier = own != F.min(own).over(Window.partitionBy("key", "high", "low"))
     start = F.shiftright("place", 16)
     more = F.shiftright("place", 8).bitwiseAND(F.lit(255))
     ahead = F.col("place").bitwiseAND(F.lit(255))
     judged = anchors.select(
         "doc",
         "place",
-        (F.col("run").isNull() | earlier).alias("later"),
+        (F.col("high").isNull() | earlier).alias("later"),
         # A window starts so many bytes before the anchor at most, and at least.
         F.when(elsewhere("left"), ahead).otherwise(F.least(ahead, F.lit(SIDE - 1))).alias("most"),
         F.when(elsewhere("right"), ahead - more)
@@ -411,9 +509,18 @@ def spans(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
         ),
         "suffixes",
     )
-    settled = stash(
+    run = "right binary, left binary, doc long, start long, more int, ahead int"
+    by_right = stash(
         contexts.repartitionByRange("right", "doc", "start").mapInPandas(
-            lambda frames: _sorted(frames, length, gram),
+            lambda frames: _rightwards(frames, length), f"{run}, stop long"
+        ),
+        "runs_at_boundaries",
+    )
+    settled = stash(
+        by_right.where("stop IS NULL")
+        .repartitionByRange("left", "doc", "start")
+        .mapInPandas(
+            lambda frames: _leftwards(frames, length),
             "doc long, start long, stop long, high long, low long",
         ),
         "windows",
@@ -424,7 +531,8 @@ def spans(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     across = open_.join(firsts, ["high", "low"]).where(F.struct("doc", "start") != F.col("first"))
     columns = ["doc", "start", "stop"]
     return (
-        known.unionByName(settled.where("high IS NULL").select(columns))
+        known.unionByName(by_right.where("stop IS NOT NULL").select(columns))
+        .unionByName(settled.where("high IS NULL").select(columns))
         .unionByName(across.select(columns))
     )
 
@@ -433,13 +541,12 @@ def _kept(raw: bytes, starts: np.ndarray, stops: np.ndarray) -> tuple[bytes, int
     """What is left of a text, how many bytes go, and in how many runs."""
     if not len(starts):
         return raw, 0, 0
-    change = np.zeros(len(raw) + 1, np.int64)
-    np.add.at(change, starts, 1)
-    np.add.at(change, stops, -1)
-    gone = np.cumsum(change[:-1]) > 0
-    removed = int(gone.sum())
-    runs_ = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
-    return np.frombuffer(raw, np.uint8)[~gone].tobytes(), removed, runs_
+    order = np.argsort(starts, kind="stable")
+    starts, reach = starts[order], np.maximum.accumulate(stops[order])
+    new = np.r_[True, starts[1:] > reach[:-1]]
+    first, last = starts[new], reach[np.r_[new[1:], True]]
+    edges = zip([0, *last.tolist()], [*first.tolist(), len(raw)], strict=True)
+    return b"".join(raw[a:b] for a, b in edges), int((last - first).sum()), len(first)
 
 
 def dedup(

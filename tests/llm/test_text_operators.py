@@ -6,8 +6,10 @@ import re
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from llm_edge import EDGE, PROSE
 from salesmill.llm import quality_classifier, quality_rules, simhash, substring_dedup
@@ -260,6 +262,70 @@ def test_passages_across_many_small_buckets(make_docs, conf, seed):
     check_dedup(make_docs(passages(seed)), passages(seed))
 
 
+def lines_in_own_surroundings(seed, n=240):
+    """A third of the documents hold one line, of them a third with the same words before or behind."""
+    rng = random.Random(seed)
+    line = " The same sixty bytes of a line stand in many documents here. "
+
+    def prose(k):
+        return " ".join("".join(rng.choices("abcdefgh", k=rng.randint(2, 9))) for _ in range(k))
+
+    ends = [prose(12), prose(3)]
+    rows = []
+    for i in range(n):
+        text = prose(rng.randint(10, 40))
+        if i % 3 == 0:
+            before = text + rng.choice(ends) if i % 9 == 0 else text
+            text = before + line + (rng.choice(ends) if i % 9 < 6 else "") + prose(30)
+        rows.append((i, text))
+    return rows
+
+
+@pytest.mark.parametrize("seed, times", [(5, 2), (6, 2), (6, 10_000)])
+def test_frequent_grams_give_the_same_passages(make_docs, conf, monkeypatch, seed, times):
+    """As many buckets as there are groups: windows go on to the right and to the left."""
+    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    conf("spark.sql.shuffle.partitions", "24")
+    monkeypatch.setattr(substring_dedup, "PROBED", 1)
+    monkeypatch.setattr(substring_dedup, "TIMES", times)
+    rows = [*lines_in_own_surroundings(seed), *((i + 1000, t) for i, t in passages(seed))]
+    check_dedup(make_docs(rows), rows)
+
+
+@pytest.mark.parametrize("batch", [1, 150, 4000])
+def test_long_texts_are_hashed_in_parts(make_docs, monkeypatch, batch):
+    monkeypatch.setattr(substring_dedup, "BATCH", batch)
+    rows = passages(7)[40:]
+    rows += [(100, " ".join(t for _, t in rows)), (101, "x" + rows[0][1] * 3)]
+    check_dedup(make_docs(rows), rows)
+
+
+def test_parts_hold_each_window_once():
+    frame = pd.DataFrame({"doc": [4, 5, 6, 7], "text": ["ab" * 333, None, "é" * 50, "c" * 99]})
+    seen = []
+    for data, ends, docs, begins in substring_dedup._batches(frame, 100, 64):
+        for a, b, doc, begin in zip([0, *ends], ends, docs, begins, strict=False):
+            seen += [(doc, begin + i) for i in range(b - a - 99)]
+        assert len(data) == ends[-1] < 2 * 64 + 100
+    assert seen == [(4, i) for i in range(567)] + [(6, 0)]
+
+
+def test_a_frequent_line_is_no_single_group(spark, monkeypatch):
+    """A third of 20,000 documents: its runs lie in all partitions, each about as large."""
+    monkeypatch.setattr(substring_dedup, "PROBED", 8)
+    line = "-- this one line of sixty bytes stands in a third of them. --"
+    words = "concat_ws(' ', transform(sequence(1, 12), i -> md5(concat(id, '-', i))))"
+    docs = spark.range(20_000).selectExpr(
+        "id AS doc", f"IF(id % 3 = 0, concat(md5(string(id)), ' {line} ', md5(string(-id))), {words}) AS text"
+    )
+    dealt = substring_dedup.dealt(docs).repartition(16, "key")
+    sizes = [r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 2 * np.median(sizes)
+    most = dealt.where("frequent").groupBy("gram").count().agg(F.max("count")).first()[0]
+    assert most > 6000
+    assert substring_dedup.spans(docs).count() == 0
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_multikey_quicksort_sorts(seed):
     rng = np.random.default_rng(seed)
