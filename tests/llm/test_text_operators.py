@@ -1,6 +1,7 @@
 """Rules, classifier, SimHash and passages against plain Python on small documents."""
 
 import hashlib
+import math
 import random
 import re
 from collections import Counter
@@ -80,6 +81,110 @@ def test_classifier_on_labels_it_never_saw(spark):
     assert sum(junk) / len(junk) < 0.05
 
 
+def plain_votes(text):
+    """0 for junk, 1 for clean, 2 for nothing, labeller by labeller."""
+    text = text or ""
+    words = WORD.findall(text)
+    if not words:
+        return (2,) * 7
+    pairs = set(zip(words, [*words[1:], None], strict=True))
+    stops = sum(w.lower() in set(quality_rules.STOP_WORDS) for w in words) / len(words)
+    distinct, fresh = len(set(words)) / len(words), len(pairs) / len(words)
+    return (
+        2 if len(re.findall(r"[#*$%&|<>]", text)) / len(words) <= 0.1 else 0,
+        0 if not 0.03 <= stops <= 1 else 1 if 0.12 <= stops <= 0.7 else 2,
+        0 if distinct < 0.2 else 1 if distinct >= 0.5 else 2,
+        0 if fresh < 0.5 else 1 if fresh >= 0.8 else 2,
+        2 if sum("A" <= c <= "Z" for c in text) / len(text) <= 0.2 else 0,
+        2 if text.count("!!") / len(words) <= 0.1 else 0,
+        2 if 3.5 <= len(text) / len(words) <= 8.5 else 0,
+    )
+
+
+def plain_posteriors(votes):
+    """Expectation-maximisation document by document, P(clean) of each."""
+    n = len(votes)
+    prior = [[0.1, 0.9, 0.5], [0.9, 0.1, 0.5]]
+    prior = {(c, w): prior[1 - c][w] / 1.5 for c in (0, 1) for w in range(3)}
+    table = {(i, c, w): prior[c, w] for i in range(7) for c in (0, 1) for w in range(3)}
+    share = 0.8
+
+    def clean(own):
+        odds = math.log(share / (1 - share))
+        odds += sum(math.log(table[i, 1, w] / table[i, 0, w]) for i, w in enumerate(own))
+        return 1 / (1 + math.exp(-min(50, max(-50, odds))))
+
+    for _ in range(100):
+        sure = [clean(own) for own in votes]
+        seen = {k: prior[k[1:]] * (0.01 * n + 1) for k in table}
+        for own, p in zip(votes, sure, strict=True):
+            for i, w in enumerate(own):
+                seen[i, 1, w] += p
+                seen[i, 0, w] += 1 - p
+        share = (sum(sure) + 1) / (n + 2)
+        table = {k: v / sum(seen[k[0], k[1], w] for w in range(3)) for k, v in seen.items()}
+    return [clean(own) for own in votes]
+
+
+def plain_features(text):
+    data = f"  {text}  ".encode()
+    grams = Counter(data[i : i + 3] for i in range(len(data) - 2))
+    places = Counter()
+    for gram, n in grams.items():
+        places[(int.from_bytes(gram, "big") * 0x9E3779B1) % 2**32 >> 17] += n
+    size = math.sqrt(sum(math.log(1 + n) ** 2 for n in places.values()))
+    found = Counter({p: math.log(1 + n) / size for p, n in places.items()})
+    found[min(9, 10 * len(places) // (len(data) - 2))] += 0.5
+    return found
+
+
+def plain_scorer(rows, targets):
+    """Logistic regression by Adam, both classes alike; its probability as a function."""
+    share = min(0.98, max(0.02, sum(targets) / len(targets)))
+    weights, first, second = Counter(), Counter(), Counter()
+
+    def probability(row):
+        odds = weights["constant"] + sum(weights[p] * v for p, v in row.items())
+        return 1 / (1 + math.exp(-min(50, max(-50, odds))))
+
+    for t in range(1, 151):
+        slope = Counter({p: 1e-6 * w for p, w in weights.items() if p != "constant"})
+        for row, target in zip(rows, targets, strict=True):
+            weigh = target / (2 * share) + (1 - target) / (2 * (1 - share))
+            error = weigh * (probability(row) - target) / len(rows)
+            slope["constant"] += error
+            for p, v in row.items():
+                slope[p] += error * v
+        for p, g in slope.items():
+            first[p] = 0.9 * first[p] + 0.1 * g
+            second[p] = 0.99 * second[p] + 0.01 * g * g
+            step = 0.2 * first[p] / (1 - 0.9**t)
+            weights[p] -= step / (math.sqrt(second[p] / (1 - 0.99**t)) + 1e-8)
+    return probability
+
+
+def test_classifier_equals_plain_python(spark, make_docs):
+    """Votes, label model, features and training, each as its textbook says, on every text."""
+    table = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    texts = [r.text for r in table.orderBy("doc_id").collect() if len(r.text or "") < 1500][:70]
+    texts += ["buy now!! cheap $$$ ### " * 9, "THE SAME " * 30, *(t for _, t in EDGE if len(t or "") < 999)]
+    docs = make_docs(list(enumerate(texts)))
+    votes = [plain_votes(t) for t in texts]
+    found = {r.doc_id: tuple(r.votes) for r in quality_classifier.votes(docs, "text", "doc_id").collect()}
+    assert found == dict(enumerate(votes))
+    assert len(set(votes)) > 5
+    posteriors = plain_posteriors(votes)
+    worded = [i for i, t in enumerate(texts) if WORD.search(t or "")]
+    rows = {i: plain_features(texts[i]) for i in worded}
+    probability = plain_scorer([rows[i] for i in worded], [posteriors[i] for i in worded])
+    expected = [probability(rows[i]) if i in rows else 0.0 for i in range(len(texts))]
+    scored = {r.doc_id: r for r in quality_classifier.score(docs).collect()}
+    assert np.allclose([scored[i].score for i in range(len(texts))], expected, atol=2e-3)
+    clear = [i for i, p in enumerate(expected) if abs(p - quality_classifier.THRESHOLD) > 0.01]
+    assert all(scored[i].kept == (expected[i] >= quality_classifier.THRESHOLD) for i in clear)
+    assert 0 < sum(r.kept for r in scored.values()) < len(texts)
+
+
 def test_classifier_edge_rows(edge_docs, no_docs):
     rows = quality_classifier.score(edge_docs).collect()
     assert len(rows) == len(EDGE)
