@@ -20,13 +20,30 @@ _NUMBERS = INT | LONG | WHOLE | DOUBLE
 _DIGITS = 38
 
 
+# A cast that fails costs many times one that succeeds, as it throws. These hold for every text that
+# converts, and for few others.
+_BLANKS = r"[\x00-\x20\x7F]*"
+_LIKE_DOUBLE = (
+    rf"(?i)^{_BLANKS}[+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:e[+-]?[0-9]+)?[fd]?"
+    rf"|0x[0-9a-f]*\.?[0-9a-f]*p[+-]?[0-9]+[fd]?|nan|inf(?:inity)?){_BLANKS}\z"
+)
+_LIKE_TIMESTAMP = rf"(?i)^{_BLANKS}[+-]?t?[0-9]"
+
+
 def _digits(value: Column) -> Column:
-    """How many digits a whole number has, without zeros in front."""
-    return F.length(F.regexp_replace(value, r"^[+-]?0*", ""))
+    """The digits of a whole number, without sign and without zeros in front."""
+    return F.ltrim(value, F.lit("+-0"))
 
 
 def _is_whole(value: Column) -> Column:
-    return value.rlike(r"^[+-]?[0-9]+\z") & (_digits(value) <= _DIGITS)
+    return value.rlike(r"^[+-]?[0-9]+\z") & (F.length(_digits(value)) <= _DIGITS)
+
+
+def _within(value: Column, largest: int) -> Column:
+    """Whether a whole number lies between ``-largest - 1`` and ``largest``, told by its digits."""
+    digits, most = _digits(value), len(str(largest))
+    top = F.when(value.startswith("-"), str(largest + 1)).otherwise(str(largest))
+    return (F.length(digits) < most) | ((F.length(digits) == most) & (digits <= top))
 
 
 def kind(value: Column) -> Column:
@@ -35,15 +52,13 @@ def kind(value: Column) -> Column:
     def fits(dtype: str) -> Column:
         return value.try_cast(dtype).isNotNull()
 
-    whole = _is_whole(value)
+    whole = F.when(_within(value, (1 << 31) - 1), INT).when(_within(value, (1 << 63) - 1), LONG)
     return (
         F.when(value.isNull() | (value == ""), F.lit(None).cast("int"))
-        .when(whole & fits("int"), INT)
-        .when(whole & fits("bigint"), LONG)
-        .when(whole, WHOLE)
-        .when(fits("double"), DOUBLE)
+        .when(_is_whole(value), whole.otherwise(WHOLE))
+        .when(value.rlike(_LIKE_DOUBLE) & fits("double"), DOUBLE)
         .when(value.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\z") & fits("date"), DATE)
-        .when(fits("timestamp"), TIMESTAMP)
+        .when(value.rlike(_LIKE_TIMESTAMP) & fits("timestamp"), TIMESTAMP)
         .when(F.lower(value).isin("true", "false"), BOOLEAN)
         .otherwise(TEXT)
     )
@@ -55,7 +70,7 @@ def kind_aggregates(headers: Iterable[str]) -> dict[str, Column]:
     for i, header in enumerate(headers):
         value = F.col(f"`{header}`")
         found[f"kinds_{i}"] = F.bit_or(kind(value))
-        found[f"digits_{i}"] = F.max(F.when(_is_whole(value), _digits(value)))
+        found[f"digits_{i}"] = F.max(F.when(_is_whole(value), F.length(_digits(value))))
     return found
 
 

@@ -1,10 +1,23 @@
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import csv_row, final_plan, write_raw_csv
+from helpers import collect, csv_row, final_plan, write_raw_csv
 from salesmill.plans.build import run
 from salesmill.plans.clean import clean
-from salesmill.sources.inference import infer_types, kind_aggregates, least_type
+from salesmill.sources.inference import (
+    _LIKE_DOUBLE,
+    _LIKE_TIMESTAMP,
+    DATE,
+    DOUBLE,
+    INT,
+    LONG,
+    TIMESTAMP,
+    WHOLE,
+    infer_types,
+    kind,
+    kind_aggregates,
+    least_type,
+)
 from salesmill.sources.sales_csv import MALFORMED, read_sales_csv, read_sales_text
 
 COLUMNS = {
@@ -105,3 +118,39 @@ def test_aggregates_need_one_scan_and_one_row_per_task(spark, tmp_path):
     plan = final_plan(found).split("Initial Plan")[0]
     assert plan.count("FileScan") == 1 and "partial_bit_or" in plan
     assert found.select(F.col("kinds_1")).first()[0] == 128
+
+
+def _kinds(spark, texts):
+    return spark.createDataFrame([(v,) for v in texts], "v string").select("v", kind(F.col("v")).alias("kind"))
+
+
+def test_whole_numbers_are_told_apart_without_casts(spark):
+    ends = [m + d for m in (1 << 31, 1 << 63, -(1 << 31), -(1 << 63)) for d in (-1, 0, 1)]
+    texts = [str(n) for n in [*ends, 0, 10**9, 10**10, 10**18, 10**19, 10**37, -(10**37)]]
+    texts += [*(f"+{t}" for t in texts if t[0] != "-"), *(t.replace("-", "-000") for t in texts), "0" * 45, "-0"]
+    found = _kinds(spark, texts)
+    plan = found._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert "as double" in plan and "as int)" not in plan and "as bigint)" not in plan
+    for text, number in collect(found):
+        sizes = [k for k, bits in ((INT, 31), (LONG, 63)) if -(1 << bits) <= int(text) < 1 << bits]
+        assert number == (sizes or [WHOLE])[0], text
+
+
+def test_texts_that_cannot_convert_are_kept_from_casts(spark):
+    numbers = "1d 2.5F -.5 3. 1e5 +1E-5 1e5f NaN -inf +Infinity INFINITY 0x1p3 0X.8P-1d".split()
+    numbers += [" 1.5", "1.5\t", "\n-inf ", "1" * 45, "1e999", " 5"]
+    moments = ["2010-1-7", "2010", " 2010-01-07 ", "+2010-01-07", "T10:20:30", "10:20:30", "2010-01-07T10:20Z"]
+    texts = "true no n/a 13/45/2010 soon e5 . - + 0x1 0xp nanf 1f5 2010-02-30 2010-13 12:61 T".split()
+    by_text = dict(collect(_kinds(spark, [*numbers, *moments, *texts])))
+    for text, double, moment in collect(
+        spark.createDataFrame([(t,) for t in by_text], "v string").select(
+            "v", F.expr("try_cast(v AS double) IS NOT NULL"), F.expr("try_cast(v AS timestamp) IS NOT NULL")
+        )
+    ):
+        number = by_text[text]
+        assert double == bool(number & (INT | LONG | WHOLE | DOUBLE)), text
+        assert double or moment == bool(number & (DATE | TIMESTAMP)), text
+    throwing = ["2010-01-07", "2010-01-07 10:20:30", "true", "n/a", "13/45/2010", "soon"]
+    shown = F.expr("v").rlike(_LIKE_DOUBLE), F.expr("v").rlike(_LIKE_TIMESTAMP)
+    let_by = spark.createDataFrame([(t,) for t in throwing], "v string").select(*shown)
+    assert [tuple(r) for r in let_by.collect()][:4] == [(False, True), (False, True), (False, False), (False, False)]
