@@ -54,10 +54,11 @@ def kind(value: Column) -> Column:
 
     whole = F.when(_within(value, (1 << 31) - 1), INT).when(_within(value, (1 << 63) - 1), LONG)
     return (
-        F.when(value.isNull() | (value == ""), F.lit(None).cast("int"))
-        .when(_is_whole(value), whole.otherwise(WHOLE))
-        .when(value.rlike(_LIKE_DOUBLE) & fits("double"), DOUBLE)
+        # First, as the digits' aggregate asks for it too: it is evaluated once for both.
+        F.when(_is_whole(value), whole.otherwise(WHOLE))
+        .when(value.isNull() | (value == ""), F.lit(None).cast("int"))
         .when(value.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\z") & fits("date"), DATE)
+        .when(value.rlike(_LIKE_DOUBLE) & fits("double"), DOUBLE)
         .when(value.rlike(_LIKE_TIMESTAMP) & fits("timestamp"), TIMESTAMP)
         .when(F.lower(value).isin("true", "false"), BOOLEAN)
         .otherwise(TEXT)
