@@ -15,6 +15,7 @@ MALFORMED = "_malformed_line"
 #: What such lines are counted under.
 MALFORMED_LINES = "malformed_lines"
 _DATES = ("Order Date", "Ship Date")
+_RARELY_REPEATED = ("Order ID", "Unit Price", "Total Revenue", "Total Cost", "Total Profit")
 _CSV = {
     "header": True,
     "escape": '"',
@@ -37,8 +38,14 @@ def read_sales_text(spark: SparkSession, path: str, **options: str) -> DataFrame
     return reader.schema(T.StructType(fields)).option("enforceSchema", False).csv(path)
 
 
+#: Holds for every text that converts to a whole number; a cast that fails throws, which costs far more.
+_LIKE_WHOLE = r"^[\x00-\x20\x7F]*[+-]?[0-9]+[\x00-\x20\x7F]*\z"
+
+
 def _converted(header: str, dtype: T.DataType) -> Column:
-    return F.col(f"`{header}`").try_cast(dtype)
+    value = F.col(f"`{header}`")
+    cast = value.try_cast(dtype)
+    return F.when(value.rlike(_LIKE_WHOLE), cast) if isinstance(dtype, T.LongType) else cast
 
 
 def _rejected(text: DataFrame) -> dict[str, tuple[Column, Column]]:
@@ -71,20 +78,22 @@ def split_rejects(text: DataFrame) -> DataFrame:
     Written partitioned by ``kind``, both come from one pass over the text.
     """
     raw = [c for c in text.columns if c != MALFORMED]
+    # One element for the row, and one for each field that may be rejected: null where it is not.
+    # Dropping nulls after the explosion stays in generated code; a function over the array does not.
+    row = F.struct(F.lit(None).cast("string").alias("column_name"), F.lit(None).cast("string").alias("raw_text"))
     fields = [
         F.when(bad, F.struct(F.lit(name).alias("column_name"), value.alias("raw_text")))
         for name, (bad, value) in _rejected(text).items()
     ]
-    none = F.lit(None).cast("struct<column_name:string,raw_text:string>")
     found = text.select(
         *(F.col(f"`{c}`") for c in raw),
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block_start"),
         F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("place"),
-        F.concat(F.array(none), F.array_compact(F.array(*fields))).alias("rejects"),
+        F.array(row, *fields).alias("rejects"),
     )
-    each = found.withColumn("reject", F.explode("rejects"))
-    is_row = F.col("reject").isNull()
+    each = found.withColumn("reject", F.explode("rejects")).where("reject IS NOT NULL")
+    is_row = F.col("reject.column_name").isNull()
     return each.select(
         F.when(is_row, "row").otherwise("reject").alias("kind"),
         *(F.when(is_row, F.col(f"`{c}`")).alias(c) for c in raw),
@@ -94,6 +103,24 @@ def split_rejects(text: DataFrame) -> DataFrame:
     )
 
 
+def write_split_rejects(text: DataFrame, path: str) -> None:
+    """Write ``split_rejects`` partitioned by ``kind``, in one pass and without sorting the rows.
+
+    A task keeps both kinds' files open, so it need not sort its rows by kind first. Fields that
+    rarely repeat are written without a dictionary, which would be given up after much hashing.
+    """
+    session, option = text.sparkSession.conf, "spark.sql.maxConcurrentOutputFileWriters"
+    writer = split_rejects(text).write.partitionBy("kind")
+    for header in _RARELY_REPEATED:
+        writer = writer.option(f"parquet.enable.dictionary#{header}", "false")
+    before = session.get(option)
+    session.set(option, max(2, int(before)))
+    try:
+        writer.parquet(path)
+    finally:
+        session.set(option, before)
+
+
 def rejects(text: DataFrame) -> DataFrame:
     """One row per typed column, and one for malformed lines: how many fields were rejected."""
     counts = reject_counts(text)

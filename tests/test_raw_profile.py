@@ -7,7 +7,14 @@ import pytest
 from helpers import HEADERS, collect, csv_row, write_raw_csv
 from salesmill.operators import column_list, first_rows, null_counts
 from salesmill.schema import NULL_TEXTS
-from salesmill.sources.sales_csv import MALFORMED, read_sales_text, rejects, split_rejects
+from salesmill.sources.sales_csv import (
+    MALFORMED,
+    read_sales_text,
+    rejects,
+    split_rejects,
+    typed_sales,
+    write_split_rejects,
+)
 
 
 def test_null_texts_in_every_column(spark, tmp_path):
@@ -90,3 +97,30 @@ def test_rejects_are_split_in_one_write(spark, tmp_path):
     assert {r.place for r in bad.where("column_name = 'units_sold'").collect()} == {2}
     counts = {name: n for name, n in collect(rejects(text)) if n}
     assert counts == dict(collect(bad.groupBy("column_name").count()))
+
+
+def test_splitting_stays_in_generated_code_and_sorts_nothing(spark, tmp_path):
+    rows = [csv_row(Order_ID=str(i), Units_Sold="many" if i % 3 else "5") for i in range(9)]
+    text = read_sales_text(spark, write_raw_csv(tmp_path / "s.csv", rows))
+    found = split_rejects(text)
+    assert "lambda" not in found._jdf.queryExecution().optimizedPlan().toString()
+    option = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(option)
+    write_split_rejects(text, str(tmp_path / "out"))
+    assert spark.conf.get(option) == before
+    back = spark.read.parquet(str(tmp_path / "out"))
+    columns = [f"`{c}`" for c in found.columns]
+    whole = sorted(collect(found), key=repr)
+    assert sorted(collect(back.select(*columns)), key=repr) == whole and len(whole) == 15
+    assert [len(list((tmp_path / "out" / f"kind={k}").glob("*.parquet"))) for k in ("row", "reject")] == [1, 1]
+
+
+def test_whole_numbers_convert_as_by_a_cast(spark):
+    odd = [chr(c) for c in [*range(0x180), 0x2003, 0x3000, 0xFEFF, 0x663]]
+    texts = [f"{a}{n}{b}" for c in odd for n in ("5", "-5") for a, b in ((c, ""), ("", c), (c, c))]
+    texts += ["", "+", "-", "many", "1.5", "5.", "1e3", "+7", "--7", "007", str(1 << 63), str(-(1 << 63))]
+    text = spark.createDataFrame([(t, t) for t in texts], "`Units Sold` string, raw string")
+    typed = typed_sales(text).select("raw", "`Units Sold`")
+    assert "RLIKE" in typed._jdf.queryExecution().optimizedPlan().toString()
+    cast = text.selectExpr("raw", "try_cast(raw AS bigint)")
+    assert sorted(collect(typed), key=repr) == sorted(collect(cast), key=repr)
