@@ -3,6 +3,7 @@ from salesmill.functions.columns import (
     parse_sales_date,
     percent_of,
     plain_number,
+    sales_date_text,
 )
 
 __all__ = [
@@ -10,4 +11,5 @@ __all__ = [
     "parse_sales_date",
     "percent_of",
     "plain_number",
+    "sales_date_text",
 ]

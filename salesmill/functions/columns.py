@@ -14,6 +14,13 @@ def parse_sales_date(text: Column) -> Column:
     return F.coalesce(F.try_to_date(text, DATE_FORMAT), iso)
 
 
+def sales_date_text(date: Column) -> Column:
+    """A date as ``M/d/yyyy``, from its parts: formatting by pattern goes through a timestamp."""
+    year = F.year(date)
+    parts = F.concat_ws("/", F.month(date), F.day(date), year)
+    return F.when(year.between(1000, 9999), parts).otherwise(F.date_format(date, DATE_FORMAT))
+
+
 def percent_of(part: Column, whole: Column) -> Column:
     """``part / whole * 100`` to two digits, null where ``whole`` is zero."""
     return F.round(F.try_divide(part.cast("double"), whole.cast("double")) * 100, 2)

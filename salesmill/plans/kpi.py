@@ -244,12 +244,17 @@ def kpi_below_join(
     return _finish(grouped, kpi, None, True)
 
 
+#: Keys that ``one_pass`` first groups by together: all three have few values, whatever the data.
+_FEW = (MONTHLY.key, CHANNELS.key, PRIORITIES.key)
+
+
 def one_pass(fact: DataFrame) -> DataFrame:
     """The parts of all KPI tables, and the null-date counts, from one scan of the fact.
 
-    One grouping set per table. The groups number in the hundreds, so each task reduces
-    its rows to that many before the shuffle. Write the result, then read the tables off
-    it with ``tables_from_one_pass``.
+    The groups number in the hundreds or few thousands, so each task reduces its rows to that many
+    before the shuffle. A row is added up once for the keys of ``_FEW`` together and once for each
+    other key, not once per table; the tables and the total come from these sums, which are additive.
+    Write the result, then read the tables off it with ``tables_from_one_pass``.
     """
     keys = [kpi.key for kpi in KPIS.values() if kpi.key]
     groups = [f"group_{key}" for key in keys]
@@ -257,21 +262,46 @@ def one_pass(fact: DataFrame) -> DataFrame:
         *[_group_column(key).alias(group) for key, group in zip(keys, groups)],
         *map(_part_value, _PART_INPUT),
     )
-    grain = F.lit(SUMMARY.name)
-    for kpi in KPIS.values():
-        if kpi.key:
-            grain = F.when(F.grouping(f"group_{kpi.key}") == 0, kpi.name).otherwise(grain)
-    sets = [[]] + [[F.col(group)] for group in groups]
-    return rows.groupingSets(sets, *groups).agg(grain.alias("grain"), *map(_part, _PART_INPUT))
+    sets = [[key for key in keys if key in _FEW], *([key] for key in keys if key not in _FEW)]
+    columns = [[F.col(f"group_{key}") for key in own] for own in sets]
+    which = F.lit(0)
+    for i, own in enumerate(sets[1:], 1):
+        which = F.when(F.grouping(f"group_{own[0]}") == 0, i).otherwise(which)
+    summed = rows.groupingSets(columns, *groups).agg(which.alias("which"), *map(_part, _PART_INPUT))
+    types = {f.name: f.dataType for f in rows.schema}
+
+    def group(key: str | None) -> Column:
+        """The group of one table that a sum belongs to; other keys are null."""
+        name = next(name for name, kpi in KPIS.items() if kpi.key == key)
+        own = (
+            (F.col(g) if g == f"group_{key}" else F.lit(None).cast(types[g])).alias(g)
+            for g in groups
+        )
+        return F.struct(F.lit(name).alias("grain"), *own)
+
+    targets = F.array(*map(group, [None, *sets[0]]))
+    for i, own in enumerate(sets[1:], 1):
+        targets = F.when(F.col("which") == i, F.array(*map(group, own))).otherwise(targets)
+    dealt = summed.select(F.explode(targets).alias("target"), *_PART_INPUT)
+    dealt = dealt.select("target.*", *_PART_INPUT)
+    added = [
+        (F.coalesce(F.sum(part), F.lit(0)) if _is_count(part) else F.sum(part)).alias(part)
+        for part in _PART_INPUT
+    ]
+    return dealt.groupBy(*groups, "grain").agg(*added)
+
+
+def _is_count(part: str) -> bool:
+    """Whether a part is a count, which is never null."""
+    return part in ("n", "margin_n") or part.startswith("null_")
 
 
 def _total_parts(parts: DataFrame) -> DataFrame:
     """The grand total, which Spark leaves out of grouping sets over no rows at all."""
     row = parts.filter(F.col("grain") == SUMMARY.name)
-    counts = [name for name in _PART_INPUT if name in ("n", "margin_n") or name.startswith("null_")]
     return row.agg(
         *[
-            (F.coalesce(F.max(name), F.lit(0)) if name in counts else F.max(name)).alias(name)
+            (F.coalesce(F.max(name), F.lit(0)) if _is_count(name) else F.max(name)).alias(name)
             for name in _PART_INPUT
         ]
     )

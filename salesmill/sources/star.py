@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from salesmill.functions import sales_date_text
 from salesmill.plans.clean import add_profit_margin, add_time_features
-from salesmill.schema import CLEANED_SCHEMA, DATE_COLUMNS, DATE_FORMAT, MONEY, RENAME
+from salesmill.schema import CLEANED_SCHEMA, DATE_COLUMNS, MONEY, RENAME
 
 # Prices have two decimals: products of whole cents and percents are exact, and far cheaper
 # than decimals made from doubles, which go through text.
@@ -118,7 +119,5 @@ def raw_sales(
     """The same lines as a raw file has them: headers with spaces, dates as text."""
     wanted = {h: n for h, n in RENAME.items() if columns is None or h in columns}
     fact = sales_fact(spark, sf_dir, list(wanted.values()))
-    texts = {
-        name: F.date_format(name, DATE_FORMAT) for name in wanted.values() if name in DATE_COLUMNS
-    }
+    texts = {name: sales_date_text(F.col(name)) for name in wanted.values() if name in DATE_COLUMNS}
     return fact.withColumns(texts).withColumnsRenamed({n: h for h, n in wanted.items()})

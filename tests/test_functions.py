@@ -10,6 +10,7 @@ from helpers import collect
 from salesmill.functions import (
     margin_pct,
     parse_sales_date,
+    sales_date_text,
     plain_number,
 )
 
@@ -89,3 +90,12 @@ def test_plain_number_reads_back_the_same(spark, values):
     texts = [row[0] for row in collect(df.select(plain_number(F.col("v"))))]
     assert [float(t) for t in texts] == values
     assert not any("E" in t for t in texts)
+
+
+def test_date_text_is_the_pattern_s(spark):
+    days = ["2010-01-07", "2012-12-31", "0999-02-03", "1000-01-01", "9999-12-31", "+10000-01-01", "0001-01-01", "-0004-02-28"]
+    df = spark.createDataFrame([(d,) for d in [*days, None]], "d string").select(F.col("d").cast("date").alias("d"))
+    made, formatted = sales_date_text(F.col("d")), F.date_format("d", "M/d/yyyy")
+    rows = df.select(made, formatted).collect()
+    assert rows[0][0] == "1/7/2010" and rows[-1][0] is None
+    assert [r[0] for r in rows] == [r[1] for r in rows]

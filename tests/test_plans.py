@@ -119,3 +119,12 @@ def test_hot_keys_are_split_in_large_joins(spark, sf_dir, tmp_path, conf):
     plan = final_plan(df)
     assert "SortMergeJoin(skew=true)" in plan
     assert collect(df) == expected
+
+
+def test_one_pass_adds_a_row_up_once_for_all_keys_of_few_values(spark, sf_dir):
+    df = one_pass(sales_fact(spark, sf_dir, one_pass_columns()))
+    (expand,) = (
+        line for line in df._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Expand" in line
+    )
+    # Months, channels and priorities together, countries, items; the last bracket names the columns.
+    assert expand.split("Expand ")[1].split("]], [")[0].count("[") - 1 == 3
